@@ -23,7 +23,7 @@ _NEXT = "2000-01-01"
 _ACTIVITY_SQL = f"""
     activity AS (
         SELECT o_custkey,
-               min(year(o_orderdate)) FILTER (o_orderdate < '{_CUT}') AS firstSub,
+               CAST(min(year(o_orderdate)) FILTER (o_orderdate < '{_CUT}') AS INTEGER) AS firstSub,
                CAST(sum(CASE WHEN o_orderdate < '{_CUT}' THEN 1 END) AS BIGINT) AS all_time_views,
                CAST(sum(CASE WHEN o_orderdate >= '{_LAST}' AND o_orderdate < '{_CUT}' THEN 1 END)
                     AS BIGINT) AS last_month_views,

@@ -131,13 +131,13 @@ def filter_select_limit(spark, sf):
 @query(
     "ratio_column",
     "SELECT l_orderkey, l_linenumber, l_partkey, "
-    "round(l_extendedprice / nullif(l_quantity, 0), 4) AS unit_price, "
+    "l_extendedprice / nullif(l_quantity, 0) AS unit_price, "
     "l_discount * 100 AS discount_percent FROM lineitem",
 )
 def ratio_column(spark, sf):
     return read_table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey",
-        C.rounded(C.ratio("l_extendedprice", "l_quantity"), 4).alias("unit_price"),
+        C.ratio("l_extendedprice", "l_quantity").alias("unit_price"),
         C.scaled("l_discount", 100).alias("discount_percent"),
     )
 
