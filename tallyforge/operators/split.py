@@ -34,3 +34,15 @@ def split(
     df: DataFrame, share: float, key: str | None = None, seed: int = 0
 ) -> tuple[DataFrame, DataFrame]:
     return key_split(df, key, share, seed) if key else random_split(df, share, seed)
+
+
+def marked(key: str | None, share: float, seed: int = 0) -> list[Column]:
+    """The hold-out mark as a column to keep with a table (none without a key)."""
+    return [hold_out(key, share, seed).alias("_held")] if key else []
+
+
+def marked_split(df: DataFrame, share: float, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+    """(training rows, hold-out rows) by the mark, by a seeded draw if there is none."""
+    if "_held" not in df.columns:
+        return random_split(df, share, seed)
+    return df.filter(~F.col("_held")).drop("_held"), df.filter("_held").drop("_held")

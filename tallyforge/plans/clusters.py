@@ -20,7 +20,7 @@ def kmeans_sweep(
     categorical: Sequence[str] = (),
     ks: Iterable[int] = range(2, 9),
     seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int = 8,
     features: str | None = None,
 ) -> DataFrame:
     """(k, sse, silhouette, sizes, centres), one row per number of clusters.

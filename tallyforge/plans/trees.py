@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.features import with_features
 from ..operators.metrics import accuracy
-from ..operators.split import split
+from ..operators.split import marked, marked_split
 from ..session import persisted
 
 
@@ -32,14 +32,14 @@ def tree_vs_forest(
     values; ``bins`` must reach the largest number of categories.
     """
     data = with_features(df, numeric, categorical, encode=False)
-    columns = [*([key] if key else []), F.col(label).cast("double").alias("label"), "features"]
+    columns = [F.col(label).cast("double").alias("label"), "features", *marked(key, holdout, seed)]
     makers = {
         "tree": DecisionTreeClassifier(maxDepth=depth, maxBins=bins, seed=seed),
         "forest": RandomForestClassifier(maxDepth=depth, numTrees=trees, maxBins=bins, seed=seed),
     }
     rows = []
     with persisted(data.select(*columns)) as kept:
-        train, held = split(kept, holdout, key, seed)
+        train, held = marked_split(kept, holdout, seed)
         for name in models:
             model = makers[name].fit(train)
             result = accuracy(model.transform(held)).first()

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Row, functions as F
 
 from ..operators.features import feature_stages, with_features
 from ..operators.metrics import accuracy, class_likelihoods, class_rates, confusion, regression_metrics
-from ..operators.split import split
+from ..operators.split import marked, marked_split, split
 from ..session import persisted
 
 
@@ -105,16 +105,16 @@ def tune_linreg(
     holdout: float = 0.2,
     key: str | None = None,
     seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> Tuned:
     """Linear regression chosen by r2 on the validation part.
 
     Categories are numbered over the whole table, so none is unknown in the hold-out.
     """
     data = with_features(df, numeric, categorical)
-    columns = [*([key] if key else []), F.col(label).cast("double").alias("label"), "features"]
-    with persisted(data.select(*columns)) as kept:
-        train, held = split(kept, holdout, key, seed)
+    columns = [F.col(label).cast("double").alias("label"), "features"]
+    with persisted(data.select(*columns, *marked(key, holdout, seed))) as kept:
+        train, held = marked_split(kept, holdout, seed)
         search = _search(
             LinearRegression(), RegressionEvaluator(metricName="r2"),
             reg, elastic, train_ratio, seed, parallelism,
@@ -122,7 +122,7 @@ def tune_linreg(
         fitted = search.fit(train)
         best = fitted.bestModel
         report = _regression_report(best, train, held)
-    train, held = split(data.select(*columns), holdout, key, seed)
+    _, held = split(data.withColumn("label", columns[0]), holdout, key, seed)
     return Tuned(best, report, _grid_table(df, search, fitted), best.transform(held))
 
 
@@ -137,21 +137,22 @@ def tune_linreg_pipeline(
     holdout: float = 0.2,
     key: str | None = None,
     seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> Tuned:
     """As :func:`tune_linreg`, as one pipeline fitted on the training part alone.
 
     A category first met in the hold-out is given an index of its own.
     """
-    wanted = [*([key] if key else []), label, *numeric, *categorical]
-    data = df.select(*dict.fromkeys(wanted)).withColumn("label", F.col(label).cast("double"))
+    label_column = F.col(label).cast("double").alias("label")
+    inputs = [c for c in dict.fromkeys([*numeric, *categorical]) if c != "label"]
+    data = df.withColumn("label", label_column)
     search = _search(
         LinearRegression(), RegressionEvaluator(metricName="r2"),
         reg, elastic, train_ratio, seed, parallelism,
     )
     stages: list[Estimator] = feature_stages(numeric, categorical, handle_invalid="keep")
-    with persisted(data) as kept:
-        train, held = split(kept, holdout, key, seed)
+    with persisted(df.select(label_column, *inputs, *marked(key, holdout, seed))) as kept:
+        train, held = marked_split(kept, holdout, seed)
         fitted = Pipeline(stages=[*stages, search]).fit(train)
         *steps, tuned = fitted.stages
         best = tuned.bestModel
@@ -162,7 +163,7 @@ def tune_linreg_pipeline(
             return part.select("label", "features")
 
         report = _regression_report(best, encoded(train), encoded(held))
-    train, held = split(data, holdout, key, seed)
+    _, held = split(data, holdout, key, seed)
     return Tuned(fitted, report, _grid_table(df, search, tuned), fitted.transform(held))
 
 
@@ -186,7 +187,7 @@ def tune_logreg(
     holdout: float = 0.1,
     key: str | None = None,
     seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int = 8,
     metric: str = "areaUnderROC",
 ) -> TunedClassifier:
     """Logistic regression chosen by ``metric``: areaUnderROC, areaUnderPR, or r2 of the
@@ -197,9 +198,9 @@ def tune_logreg(
         else BinaryClassificationEvaluator(metricName=metric)
     )
     data = with_features(df, numeric, categorical)
-    columns = [*([key] if key else []), F.col(label).cast("double").alias("label"), "features"]
-    with persisted(data.select(*columns)) as kept:
-        train, held = split(kept, holdout, key, seed)
+    columns = [F.col(label).cast("double").alias("label"), "features"]
+    with persisted(data.select(*columns, *marked(key, holdout, seed))) as kept:
+        train, held = marked_split(kept, holdout, seed)
         search = _search(
             LogisticRegression(), evaluator, reg, elastic, train_ratio, seed, parallelism
         )
@@ -212,7 +213,7 @@ def tune_logreg(
             *_RATES,
         ).first()
         report = _report_table(df, best, metrics, ["accuracy_train", "accuracy_holdout", *_RATES])
-    train, held = split(data.select(*columns), holdout, key, seed)
+    _, held = split(data.withColumn("label", columns[0]), holdout, key, seed)
     predictions = best.transform(held)
     return TunedClassifier(
         best, report, _grid_table(df, search, fitted), predictions,

@@ -1,0 +1,87 @@
+"""Lookup joins must give the plain join's rows, whichever way they are carried out."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyforge.operators import joins
+
+from .fixtures import rows
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    # Key 7 holds a third of the rows, keys above 40 have no lookup row, some keys are null.
+    fact = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 7)
+        .when(F.col("id") % 50 == 1, None)
+        .otherwise(F.col("id") % 60)
+        .alias("k"),
+        F.col("id").alias("row"),
+    )
+    dim = spark.range(41).select(
+        F.col("id").alias("k"), F.concat(F.lit("name "), F.col("id")).alias("name")
+    )
+    return fact, dim.union(dim.filter("k = 7").withColumn("name", F.lit("second")))
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("max_rows", [0, 1000])
+def test_same_rows_as_plain_join(tables, how, max_rows):
+    fact, dim = tables
+    found = joins.lookup_join(fact, dim, "k", how, max_rows=max_rows)
+    plain = fact.join(dim, "k", how)
+    assert found.columns == plain.columns
+    assert sorted(rows(found), key=repr) == sorted(rows(plain), key=repr)
+
+
+def test_large_lookup_is_not_broadcast(spark, tables):
+    fact, dim = tables
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = joins.lookup_join(fact, dim, "k")
+        large = joins.lookup_join(fact, dim, "k", max_rows=3)
+        text = lambda df: df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin [k" in text(small)
+        assert "SortMergeJoin [k" in text(large) and "_salt" in text(large)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_hot_key_is_found_and_bounded(tables):
+    fact, _ = tables
+    hot = joins.hot_keys(fact, ["k"], share=10)
+    assert 1 <= len(hot) <= 10
+    assert max(n for _, n in hot) in (4, 5)
+    assert joins.hot_keys(fact.filter("false"), ["k"]) == []
+
+
+def test_hot_key_is_spread(spark, tables):
+    fact, _ = tables
+    hot = dict(joins.hot_keys(fact, ["k"], share=10))
+    salts = max(hot.values())
+    spread = (
+        fact.filter("k = 7").select(F.pmod(F.xxhash64("row"), F.lit(salts)).alias("s"))
+        .groupBy("s").count().collect()
+    )
+    assert len(spread) == salts
+    assert max(r["count"] for r in spread) < 1010 / salts * 1.3
+
+
+def test_several_key_columns(spark):
+    fact = spark.range(600).select((F.col("id") % 2).alias("a"), F.lit("x").alias("b"), "id")
+    dim = spark.createDataFrame([(0, "x", 10), (1, "x", 11), (1, "y", 12)], "a long, b string, v int")
+    found = joins.lookup_join(fact, dim, ["a", "b"], max_rows=0)
+    assert found.count() == 600
+    assert sorted(rows(found.groupBy("v").count())) == [(10, 300), (11, 300)]
+
+
+def test_measured_size(spark):
+    df = spark.createDataFrame([("abc", 1), (None, 2)], "s string, n int")
+    assert joins.measured_size(df) == (2, 3 + 2 * 16 * 2)
+    assert not joins.is_small(df, max_bytes=10)
+
+
+def test_unsupported_join_kind(tables):
+    with pytest.raises(ValueError):
+        joins.lookup_join(*tables, "k", "full")
