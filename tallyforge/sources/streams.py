@@ -46,6 +46,7 @@ def table_stream(
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    df = reader.parquet(f"{folder}/{name}*.parquet")
+    # A pattern, since a stream cannot start from the path of a single file.
+    df = reader.parquet(f"{folder}/{name}.parque[t]")
     naive = [c for c, kind in df.dtypes if kind == "timestamp_ntz"]
     return df.withColumns({c: F.col(c).cast("timestamp") for c in naive}) if naive else df
