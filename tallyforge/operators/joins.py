@@ -43,6 +43,8 @@ def lookup_join(
     on: str | Sequence[str],
     how: str = "inner",
     spread: Sequence[str] | None = None,
+    sketch: DataFrame | None = None,
+    skewed: bool = True,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
@@ -51,13 +53,17 @@ def lookup_join(
 
     ``spread`` names fact columns that tell rows of one key apart (all other columns
     if not given); hot keys are split by their hash when ``dim`` has to be shuffled.
+    ``sketch`` is a table to look for hot keys in, if one with about the same keys is
+    cheaper to read than ``fact``. Pass ``skewed=False`` where a key has one fact row.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join kind {how!r}")
     keys = [on] if isinstance(on, str) else list(on)
     if is_small(dim, max_rows, max_bytes):
         return fact.join(F.broadcast(dim), keys, how)
-    return salted_join(fact, dim, keys, how, spread)
+    if not skewed:
+        return fact.join(dim, keys, how)
+    return salted_join(fact, dim, keys, how, spread, sketch)
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> list[tuple[int, int]]:
@@ -82,6 +88,7 @@ def salted_join(
     on: str | Sequence[str],
     how: str = "inner",
     spread: Sequence[str] | None = None,
+    sketch: DataFrame | None = None,
     share: int = HOT_SHARE,
 ) -> DataFrame:
     """Shuffle join in which each hot key of ``fact`` is split over several partitions.
@@ -91,7 +98,7 @@ def salted_join(
     lists are bounded by ``share``, so the salt table can always be broadcast.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    hot = hot_keys(fact, keys, share)
+    hot = hot_keys(sketch if sketch is not None else fact, keys, share)
     if not hot:
         return fact.join(dim, keys, how)
     spark = fact.sparkSession

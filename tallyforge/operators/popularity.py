@@ -23,7 +23,9 @@ def watched_per_user(views: DataFrame, chapters: DataFrame) -> DataFrame:
     split by user.
     """
     seen = views.select("userId", "chapterId").distinct()
-    placed = lookup_join(seen, chapters.select("chapterId", "courseId"), "chapterId", spread=["userId"])
+    placed = lookup_join(
+        seen, chapters.select("chapterId", "courseId"), "chapterId", spread=["userId"], sketch=views
+    )
     return placed.groupBy("userId", "courseId").agg(F.count(F.lit(1)).alias("watched"))
 
 

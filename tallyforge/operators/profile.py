@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations, combinations_with_replacement
 
@@ -30,62 +31,88 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
 
 
-def _pair_sums(df: DataFrame, pairs: list[tuple[str, str]]) -> dict[tuple[str, str], float | None]:
-    """Pearson correlation of each pair, from two scans whatever the number of pairs.
+def _origins(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
+    """A value of each column to count from: the first one among a few rows. Sums of
+    squares then stay accurate for values far from zero."""
+    sample = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).head(100)
+    return {
+        c: next((r[c] for r in sample if r[c] is not None and math.isfinite(r[c])), 0.0) for c in cols
+    }
 
-    The first scan finds means and null counts, the second sums products of the
-    centred values, which is numerically safe and keeps the aggregate small enough
-    for generated code. Pairs of columns without nulls share their sums; the others
-    are summed over the rows where both are present. A constant column gives None.
+
+def _pearson(n, sa, sb, aa, bb, ab, flat: bool) -> float | None:
+    if not n or flat:
+        return None
+    spread = (aa - sa * sa / n) * (bb - sb * sb / n)
+    return (ab - sa * sb / n) / math.sqrt(spread) if spread > 0 else None
+
+
+def _pair_correlations(
+    df: DataFrame, pairs: list[tuple[str, str]]
+) -> dict[tuple[str, str], float | None]:
+    """Pearson correlation of each pair over the rows where both are present; None if one
+    of the two is constant there.
+
+    One scan serves all pairs: each column's sums are shared by its pairs, which keeps
+    the aggregate small enough for generated code. Only pairs with a column that turns
+    out to hold nulls need sums of their own, from a second scan.
     """
-    cols = sorted({c for pair in pairs for c in pair})
-    first = df.agg(
+    cols = list(dict.fromkeys(c for pair in pairs for c in pair))
+    origin = _origins(df, cols)
+    x = {c: F.col(c).cast("double") - F.lit(origin[c]) for c in cols}
+    at = {c: i for i, c in enumerate(cols)}
+    crossed = [(a, b) for a, b in pairs if a != b]
+    got = df.agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
-        *[F.count(c).alias(f"c{i}") for i, c in enumerate(cols)],
+        *[F.count(c).alias(f"n{i}") for c, i in at.items()],
+        *[F.min(x[c]).alias(f"low{i}") for c, i in at.items()],
+        *[F.max(x[c]).alias(f"high{i}") for c, i in at.items()],
+        *[F.sum(x[c]).alias(f"s{i}") for c, i in at.items()],
+        *[F.sum(x[c] * x[c]).alias(f"q{i}") for c, i in at.items()],
+        *[F.sum(x[a] * x[b]).alias(f"p{at[a]}_{at[b]}") for a, b in crossed],
     ).first()
-    rows = first["n"]
-    mean = {c: first[f"m{i}"] or 0.0 for i, c in enumerate(cols)}
-    full = {c for i, c in enumerate(cols) if first[f"c{i}"] == rows}
-    x = {c: F.col(c).cast("double") - F.lit(mean[c]) for c in cols}
-
-    wanted: dict[tuple, Column] = {}
-    for a, b in pairs:
-        if a in full and b in full:
-            wanted[("s", a)], wanted[("s", b)] = F.sum(x[a]), F.sum(x[b])
-            wanted[("p", a, a)], wanted[("p", b, b)] = F.sum(x[a] * x[a]), F.sum(x[b] * x[b])
-            wanted[("p", a, b)] = F.sum(x[a] * x[b])
-        else:
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            xa, xb = F.when(both, x[a]), F.when(both, x[b])
-            wanted[("n", a, b)] = F.count_if(both)
-            wanted[("sa", a, b)], wanted[("sb", a, b)] = F.sum(xa), F.sum(xb)
-            wanted[("aa", a, b)], wanted[("bb", a, b)] = F.sum(xa * xa), F.sum(xb * xb)
-            wanted[("p", a, b)] = F.sum(x[a] * x[b])
-    names = {key: f"v{i}" for i, key in enumerate(wanted)}
-    second = df.agg(*[expr.alias(names[key]) for key, expr in wanted.items()]).first()
-    got = {key: second[name] or 0.0 for key, name in names.items()}
-
-    found = {}
-    for a, b in pairs:
-        if a in full and b in full:
-            n, sa, sb = rows, got[("s", a)], got[("s", b)]
-            aa, bb, ab = got[("p", a, a)], got[("p", b, b)], got[("p", a, b)]
-        else:
-            n, sa, sb = got[("n", a, b)], got[("sa", a, b)], got[("sb", a, b)]
-            aa, bb, ab = got[("aa", a, b)], got[("bb", a, b)], got[("p", a, b)]
-        if not n:
-            found[(a, b)] = None
-            continue
-        spread = (aa - sa * sa / n) * (bb - sb * sb / n)
-        found[(a, b)] = (ab - sa * sb / n) / spread**0.5 if spread > 0 else None
-    return found
+    whole = {c for c, i in at.items() if got[f"n{i}"] == got["n"]}
+    flat = {c for c, i in at.items() if got[f"low{i}"] == got[f"high{i}"]}
+
+    def product(a, b):
+        return got[f"q{at[a]}"] if a == b else got[f"p{at[a]}_{at[b]}"]
+
+    def shared(a, b):
+        i, j = at[a], at[b]
+        return _pearson(
+            got[f"n{i}"], got[f"s{i}"], got[f"s{j}"], got[f"q{i}"], got[f"q{j}"], product(a, b),
+            a in flat or b in flat,
+        )
+
+    gaps = [(a, b) for a, b in pairs if a != b and not (a in whole and b in whole)]
+    found = {(a, b): shared(a, b) for a, b in pairs if (a, b) not in set(gaps)}
+    if gaps:
+        found |= _gapped_correlations(df, gaps, x)
+    return {pair: found[pair] for pair in pairs}
+
+
+def _gapped_correlations(
+    df: DataFrame, pairs: list[tuple[str, str]], x: dict[str, Column]
+) -> dict[tuple[str, str], float | None]:
+    sums = []
+    for i, (a, b) in enumerate(pairs):
+        both = x[a].isNotNull() & x[b].isNotNull()
+        xa, xb = F.when(both, x[a]), F.when(both, x[b])
+        parts = {
+            "n": F.count_if(both),
+            "sa": F.sum(xa), "sb": F.sum(xb),
+            "aa": F.sum(xa * xa), "bb": F.sum(xb * xb), "ab": F.sum(xa * xb),
+            "flat": (F.min(xa) == F.max(xa)) | (F.min(xb) == F.max(xb)),
+        }
+        sums.append(F.struct(*[e.alias(k) for k, e in parts.items()]).alias(f"pair{i}"))
+    got = df.agg(*sums).first()
+    return {pair: _pearson(**got[f"pair{i}"].asDict()) for i, pair in enumerate(pairs)}
 
 
 def corr_target(df: DataFrame, target: str, cols: Sequence[str] | None = None) -> DataFrame:
     """(col1, col2, corr) of the target with every numeric column."""
     cols = list(cols) if cols is not None else numeric_columns(df)
-    found = _pair_sums(df, [(target, c) for c in cols])
+    found = _pair_correlations(df, [(target, c) for c in cols])
     return df.sparkSession.createDataFrame(
         [(a, b, r) for (a, b), r in found.items()], "col1 string, col2 string, corr double"
     )
@@ -94,7 +121,7 @@ def corr_target(df: DataFrame, target: str, cols: Sequence[str] | None = None) -
 def corr_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """(col1, col2, corr) for all ordered pairs of numeric columns."""
     cols = list(cols) if cols is not None else numeric_columns(df)
-    found = _pair_sums(df, list(combinations_with_replacement(cols, 2)))
+    found = _pair_correlations(df, list(combinations_with_replacement(cols, 2)))
     rows = [(a, b, r) for (a, b), r in found.items()]
     rows += [(b, a, found[(a, b)]) for a, b in combinations(cols, 2)]
     return df.sparkSession.createDataFrame(rows, "col1 string, col2 string, corr double")

@@ -27,7 +27,7 @@ def word_counts(df: DataFrame, text: str, stop: DataFrame | Iterable[str] | None
         words = words.filter(~F.col("word").isin(*stop))
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
     if isinstance(stop, DataFrame):
-        counts = lookup_join(counts, stop.select("word"), "word", "left_anti")
+        counts = lookup_join(counts, stop.select("word"), "word", "left_anti", skewed=False)
     return counts
 
 

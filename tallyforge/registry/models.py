@@ -75,20 +75,34 @@ def _customers(spark, sf):
     SELECT c_custkey, payment_method_type, coalesce(firstSub, 0) AS firstSub,
            coalesce(all_time_views, 0) AS all_time_views,
            coalesce(last_month_views, 0) AS last_month_views,
-           coalesce(next_month_views, 0) AS views,
-           CASE WHEN next_month_views > 0 THEN 0 ELSE 1 END AS stops,
+           CASE WHEN next_month_views > 0 THEN 0 ELSE 1 END AS label,
            CASE WHEN all_time_views >= 5 THEN 1 ELSE 0 END AS regular
     FROM customers WHERE is_cancelled = false
     """,
 )
 def null_label_prep(spark, sf):
-    customers = _customers(spark, sf)
-    stops = viewing.prepare_churn(customers).select("c_custkey", F.col("next_month_views").alias("stops"))
-    views = viewing.prepare_views(customers).select(
+    return viewing.prepare_churn(_customers(spark, sf)).select(
         "c_custkey", "payment_method_type", "firstSub", "all_time_views", "last_month_views",
-        F.col("next_month_views").alias("views"), C.at_least("all_time_views", 5).alias("regular"),
+        F.col("next_month_views").alias("label"), C.at_least("all_time_views", 5).alias("regular"),
+    )
+
+
+@query(
+    "views_prep",
+    f"""
+    WITH {_ACTIVITY_SQL}
+    SELECT c_custkey, payment_method_type, coalesce(firstSub, 0) AS firstSub,
+           coalesce(all_time_views, 0) AS all_time_views,
+           coalesce(last_month_views, 0) AS last_month_views,
+           coalesce(next_month_views, 0) AS label
+    FROM customers WHERE is_cancelled = false
+    """,
+)
+def views_prep(spark, sf):
+    return viewing.prepare_views(_customers(spark, sf)).select(
+        "c_custkey", "payment_method_type", "firstSub", "all_time_views", "last_month_views",
+        F.col("next_month_views").alias("label"),
     )
-    return views.join(stops, "c_custkey")
 
 
 @query(
@@ -496,14 +510,11 @@ def silhouette_given(spark, sf):
 
 def _ratings(spark, sf):
     """Quantity of each part per customer. Lines are summed per order and part first."""
-    lines = (
-        read_table(spark, sf, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
-        .agg(F.sum("l_quantity").alias("quantity"))
-    )
+    lines = read_table(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    summed = lines.groupBy("o_orderkey", "l_partkey").agg(F.sum("l_quantity").alias("quantity"))
     orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     return (
-        lookup_join(lines, orders, "o_orderkey", spread=["l_partkey"])
+        lookup_join(summed, orders, "o_orderkey", spread=["l_partkey"], sketch=lines)
         .groupBy(F.col("o_custkey").cast("int").alias("userId"), F.col("l_partkey").cast("int").alias("courseId"))
         .agg(F.sum("quantity").alias("rating"))
     )

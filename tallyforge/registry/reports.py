@@ -99,13 +99,10 @@ _BRANDS = [f"Brand#{i}" for i in range(1, 26)]
     + " FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_suppkey",
 )
 def user_item_pivot(spark, sf):
-    bought = (
-        read_table(spark, sf, "lineitem")
-        .groupBy("l_suppkey", F.col("l_partkey").alias("p_partkey"))
-        .agg(F.sum("l_quantity").alias("quantity"))
-    )
+    lines = read_table(spark, sf, "lineitem").withColumnRenamed("l_partkey", "p_partkey")
+    bought = lines.groupBy("l_suppkey", "p_partkey").agg(F.sum("l_quantity").alias("quantity"))
     brands = read_table(spark, sf, "part").select("p_partkey", "p_brand")
-    joined = lookup_join(bought, brands, "p_partkey", spread=["l_suppkey"])
+    joined = lookup_join(bought, brands, "p_partkey", spread=["l_suppkey"], sketch=lines)
     return crosstab.pivot_sum(joined, "l_suppkey", "p_brand", "quantity", _BRANDS)
 
 
@@ -250,13 +247,13 @@ _POPULARITY_SQL = """
 
 def _views(spark, sf):
     """A supplier's nation views the parts it ships; repeated shipments count once."""
-    shipped = (
-        read_table(spark, sf, "lineitem")
-        .select(F.col("l_suppkey").alias("s_suppkey"), F.col("l_partkey").alias("chapterId"))
-        .distinct()
+    lines = read_table(spark, sf, "lineitem").select(
+        F.col("l_suppkey").alias("s_suppkey"), F.col("l_partkey").alias("chapterId")
     )
     nations = read_table(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").alias("userId"))
-    return lookup_join(shipped, nations, "s_suppkey", spread=["chapterId"]).select("userId", "chapterId")
+    return lookup_join(
+        lines.distinct(), nations, "s_suppkey", spread=["chapterId"], sketch=lines
+    ).select("userId", "chapterId")
 
 
 def _chapters(spark, sf):

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..plans import streams as jobs
 from ..session import scratch_path
 from ..sources.streams import table_stream
 from ..sources.tables import read_table, register_view
@@ -25,10 +26,20 @@ def _upserted(spark, stream, name, keys):
     return latest_rows(spark, path, keys)
 
 
-def _messages(spark, sf):
-    """The events as messages: a binary value and a timestamp."""
-    return table_stream(spark, sf, "events").select(
-        F.encode("event_type", "utf-8").alias("value"), F.col("ts").alias("timestamp")
+# Input taken by one micro-batch of a replay, so that a long history is worked off in
+# steps, each of them a restart point.
+_BATCH_INPUT = 256 << 30
+
+
+def _events(spark, sf):
+    return table_stream(spark, sf, "events", max_bytes=_BATCH_INPUT)
+
+
+def _messages(spark, sf, *fields):
+    """The events as messages: a binary value, a timestamp."""
+    value = F.concat_ws(",", *(fields or ["event_type"]))
+    return _events(spark, sf).select(
+        F.encode(value, "utf-8").alias("value"), F.col("ts").alias("timestamp")
     )
 
 
@@ -49,7 +60,7 @@ def _flat(df):
 
 @query("tumbling_seconds", _TUMBLING_SQL)
 def tumbling_seconds(spark, sf):
-    counts = _flat(W.seconds_watched(_messages(spark, sf)))
+    counts = _flat(jobs.course_seconds(_messages(spark, sf)))
     table = _upserted(spark, counts, "tumbling", ["start", "end", "course_name"])
     return _naive(table, "start", "end")
 
@@ -78,32 +89,33 @@ def _sliding_sql(size_s, slide_s):
     """
 
 
-def _sliding(spark, sf, name, size, slide):
-    panes = W.pane_counts(table_stream(spark, sf, "events"), "ts", "event_type", slide)
-    table = _upserted(spark, panes, name, ["pane", "event_type"])
-    return _naive(W.slide_panes(table, "event_type", size, slide), "start", "end")
+def _sliding(spark, panes, key, size, slide):
+    table = _upserted(spark, panes, f"panes_{key}", ["pane", key])
+    windows = W.slide_panes(table, key, size, slide).withColumnRenamed(key, "event_type")
+    return _naive(windows, "start", "end")
 
 
 @query("sliding_views", _sliding_sql(3600, 60))
 def sliding_views(spark, sf):
     """60-minute windows every minute, in each the most frequent type first."""
-    return W.rank_batch(_sliding(spark, sf, "sliding", "60 minutes", "1 minute"), "event_type")
+    panes = jobs.course_view_panes(_messages(spark, sf), "1 minute")
+    counts = _sliding(spark, panes, "course_name", "60 minutes", "1 minute")
+    return W.rank_batch(counts, "event_type")
 
 
 @query("level_window", _sliding_sql(60, 2))
 def level_window(spark, sf):
-    """1-minute windows every 2 seconds."""
-    return _sliding(spark, sf, "levels", "1 minute", "2 seconds")
+    """1-minute windows every 2 seconds, over ``level,date`` lines."""
+    panes = jobs.log_level_panes(_messages(spark, sf, "event_type", F.col("ts").cast("string")))
+    return _sliding(spark, panes, "level", "1 minute", "2 seconds")
 
 
 @query("sliding_direct", _sliding_sql(3600, 600))
 def sliding_direct(spark, sf):
     """60-minute windows every 10 minutes, held as window state in the stream itself."""
-    counts = W.window_counts(
-        table_stream(spark, sf, "events"), "ts", "event_type", "60 minutes", "10 minutes"
-    )
-    table = _upserted(spark, counts, "sliding_direct", ["start", "end", "event_type"])
-    return _naive(table, "start", "end")
+    counts = jobs.course_views(_messages(spark, sf), "60 minutes", "10 minutes")
+    table = _upserted(spark, counts, "sliding_direct", ["start", "end", "course_name"])
+    return _naive(table.withColumnRenamed("course_name", "event_type"), "start", "end")
 
 
 @query(
@@ -119,7 +131,9 @@ def sliding_direct(spark, sf):
     """,
 )
 def windowed_append(spark, sf):
-    """Windows are written once, when the watermark has passed their end."""
+    """Windows are written once, when the watermark has passed their end. The replay is one
+    micro-batch: its files need not be in time order, and a row behind the watermark of an
+    earlier batch would be left out."""
     counts = W.window_counts(
         table_stream(spark, sf, "events"), "ts", "event_type", "1 hour", watermark="10 minutes"
     )
@@ -136,7 +150,7 @@ def windowed_append(spark, sf):
 def stream_enrich(spark, sf):
     """Names of the customers in credit; others are unknown ids."""
     names = read_table(spark, sf, "customer").filter("c_acctbal > 0").select("c_custkey", "c_name")
-    stream = table_stream(spark, sf, "events").select(
+    stream = _events(spark, sf).select(
         "event_id", "event_type", F.col("user_id").alias("c_custkey")
     )
     path = scratch_path(spark, "enrich")

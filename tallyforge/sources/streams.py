@@ -32,7 +32,7 @@ def table_stream(
     folder: str,
     name: str,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Replay of a parquet table as a stream.
 

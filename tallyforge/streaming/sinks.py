@@ -65,11 +65,7 @@ def latest_rows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFram
     """Current table of a change log: for each key the row of its last micro-batch."""
     log = spark.read.parquet(path)
     values = [c for c in log.columns if c not in keys and c != BATCH]
-    return (
-        log.groupBy(*keys)
-        .agg(F.max_by(F.struct(*values), BATCH).alias("_last"))
-        .select(*keys, *[F.col(f"_last.{v}").alias(v) for v in values])
-    )
+    return log.groupBy(*keys).agg(*[F.max_by(v, BATCH).alias(v) for v in values])
 
 
 def append_stream(stream: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:

@@ -130,6 +130,11 @@ def test_correlations_of_shifted_values_stay_exact(spark):
     assert rows(profile.corr_target(df, "x", ["y"]))[0][2] == pytest.approx(-1.0, abs=1e-12)
 
 
+def test_correlation_with_a_constant_column_is_null(spark):
+    df = spark.range(1000).select(F.lit(0.1).alias("x"), F.col("id").alias("y"))
+    assert rows(profile.corr_target(df, "x", ["x", "y"])) == [("x", "x", None), ("x", "y", None)]
+
+
 def test_correlation_of_an_empty_table(spark):
     df = spark.createDataFrame([], "a double, b double")
     assert rows(profile.corr_target(df, "a", ["b"])) == [("a", "b", None)]
