@@ -6,9 +6,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.features import with_features
+from ..session import persisted
 
 
 @dataclass
@@ -18,6 +20,36 @@ class Fitted:
     predictions: DataFrame
 
 
+def linreg_grid(
+    df: DataFrame,
+    label: str,
+    numeric: Sequence[str],
+    categorical: Sequence[str] = (),
+    reg: Sequence[float] = (0.01, 0.1, 0.5),
+    elastic: Sequence[float] = (0.0, 0.5, 1.0),
+    tolerance: float = 1e-6,
+) -> DataFrame:
+    """(reg_param, elastic_net_param, intercept, coefficients): one fit of the whole table
+    per point of the grid."""
+    data = with_features(df, numeric, categorical)
+    estimator = LinearRegression(solver="normal", tol=tolerance)
+    grid = (
+        ParamGridBuilder()
+        .addGrid(estimator.regParam, list(reg))
+        .addGrid(estimator.elasticNetParam, list(elastic))
+        .build()
+    )
+    with persisted(data.select(F.col(label).cast("double").alias("label"), "features")) as kept:
+        models = estimator.fit(kept, grid)
+    return df.sparkSession.createDataFrame(
+        [
+            (m.getRegParam(), m.getElasticNetParam(), float(m.intercept), [float(c) for c in m.coefficients])
+            for m in models
+        ],
+        "reg_param double, elastic_net_param double, intercept double, coefficients array<double>",
+    )
+
+
 def linreg(df: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str] = ()) -> Fitted:
     """Least squares over the whole table, solved from one pass over it.
 

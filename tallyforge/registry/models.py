@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..operators import features as feat, metrics, split
 from ..operators.joins import lookup_join
-from ..plans import clusters, recommend, regression, trees, tuning, viewing
+from ..plans import classification, clusters, recommend, regression, trees, tuning, viewing
 from ..plans.trials import trial_rows
 from ..session import checkpointed
 from ..sources.tables import read_table
@@ -285,6 +285,95 @@ def _lines(spark, sf):
 _LINE_NUMERIC = ("l_quantity", "l_discount", "tax_share")
 
 
+# Least squares with an elastic net has a closed form for a single feature: with r the
+# correlation and s the label's deviation, the standardised slope is r, drawn towards zero
+# by elastic * reg / s, divided by 1 + (1 - elastic) * reg / s.
+_NET_SQL = """
+    slope_of AS (
+        SELECT *, (sy / sx) * sign(r) * greatest(abs(r) - elastic * reg / sy, 0)
+                  / (1 + (1 - elastic) * reg / sy) AS b
+        FROM moments
+    )
+"""
+
+
+def _net_quantities(spark, sf):
+    """Quantity by discounted quantity."""
+    return read_table(spark, sf, "lineitem").select(
+        "l_orderkey", F.col("l_quantity"),
+        (F.col("l_quantity") * (1 - F.col("l_discount"))).alias("net_quantity"),
+    )
+
+
+@query(
+    "linreg_grid_fits",
+    f"""
+    WITH points AS (SELECT l_quantity AS y, l_quantity * (1 - l_discount) AS x FROM lineitem),
+    moments AS (
+        SELECT reg, elastic, avg(x) AS mx, avg(y) AS my, stddev_pop(x) AS sx, stddev_pop(y) AS sy,
+               corr(x, y) AS r
+        FROM points, (VALUES (0.01::DOUBLE), (0.1), (0.5)) g(reg), (VALUES (0.0::DOUBLE), (0.5), (1.0)) e(elastic)
+        GROUP BY reg, elastic
+    ),
+    {_NET_SQL}
+    SELECT reg AS reg_param, elastic AS elastic_net_param, round(my - b * mx, 4) AS intercept,
+           round(b, 4) AS slope
+    FROM slope_of
+    """,
+)
+def linreg_grid_fits(spark, sf):
+    fits = regression.linreg_grid(
+        _net_quantities(spark, sf), "l_quantity", ["net_quantity"], tolerance=1e-10
+    )
+    return fits.select(
+        "reg_param", "elastic_net_param", F.round("intercept", 4).alias("intercept"),
+        F.round(F.col("coefficients")[0], 4).alias("slope"),
+    )
+
+
+@query(
+    "linreg_holdout",
+    f"""
+    WITH points AS (
+        SELECT l_quantity AS y, l_quantity * (1 - l_discount) AS x,
+               CAST('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || '/42'), 1, 8) AS BIGINT)
+                   < CAST(floor(0.2 * 4294967296) AS BIGINT) AS held
+        FROM lineitem
+    ),
+    moments AS (
+        SELECT 0.1::DOUBLE AS reg, 0.0::DOUBLE AS elastic, avg(x) AS mx, avg(y) AS my,
+               stddev_pop(x) AS sx, stddev_pop(y) AS sy, corr(x, y) AS r
+        FROM points WHERE NOT held
+    ),
+    {_NET_SQL},
+    scored AS (SELECT held, y, my + b * (x - mx) AS p FROM points, slope_of),
+    quality AS (
+        SELECT held, sqrt(avg((p - y) * (p - y))) AS rmse,
+               1 - avg((p - y) * (p - y)) / var_pop(y) AS r2
+        FROM scored GROUP BY held
+    )
+    SELECT round(my - b * mx, 5) AS intercept, round(b, 5) AS slope,
+           round(t.rmse, 5) AS rmse_train, round(t.r2, 6) AS r2_train,
+           round(h.rmse, 5) AS rmse_holdout, round(h.r2, 6) AS r2_holdout,
+           reg AS reg_param, elastic AS elastic_net_param
+    FROM slope_of, quality t, quality h WHERE NOT t.held AND h.held
+    """,
+)
+def linreg_holdout(spark, sf):
+    """The tuned job with a grid of one point, where SQL can follow all of it."""
+    report = tuning.tune_linreg(
+        _net_quantities(spark, sf), "l_quantity", ["net_quantity"],
+        reg=[0.1], elastic=[0.0], key="l_orderkey",
+    ).report
+    return report.select(
+        F.round("intercept", 5).alias("intercept"),
+        F.round(F.col("coefficients")[0], 5).alias("slope"),
+        F.round("rmse_train", 5).alias("rmse_train"), F.round("r2_train", 6).alias("r2_train"),
+        F.round("rmse_holdout", 5).alias("rmse_holdout"), F.round("r2_holdout", 6).alias("r2_holdout"),
+        "reg_param", "elastic_net_param",
+    )
+
+
 @query("linreg_tuned")
 def linreg_tuned(spark, sf):
     return tuning.tune_linreg(
@@ -315,6 +404,62 @@ def next_month_views(spark, sf):
 # --- classification ---------------------------------------------------------------
 
 
+@query(
+    "logreg_fit",
+    """
+    SELECT o_orderpriority, count(*) AS orders,
+           round(avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END::DOUBLE), 4) AS likelihood,
+           CASE WHEN avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END) > 0.5
+                THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction
+    FROM orders GROUP BY o_orderpriority
+    """,
+)
+def logreg_fit(spark, sf):
+    """Finished orders by priority. With one category as the only feature, the likelihood
+    of each category is its share of positives."""
+    orders = read_table(spark, sf, "orders").select(
+        "o_orderpriority", (F.col("o_orderstatus") == "F").cast("int").alias("finished")
+    )
+    scored = classification.logreg(orders, "finished", [], ["o_orderpriority"], tolerance=1e-12)
+    return scored.groupBy("o_orderpriority", F.round("likelihood", 4).alias("likelihood"), "prediction").agg(
+        F.count(F.lit(1)).alias("orders")
+    )
+
+
+_RULE_SQL = """
+    rows_of AS (
+        SELECT o_orderpriority, CASE WHEN o_totalprice >= 250000 THEN 1 ELSE 0 END AS label,
+               CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '/42'), 1, 8) AS BIGINT)
+                   < CAST(floor(0.2 * 4294967296) AS BIGINT) AS held
+        FROM orders
+    ),
+    rule AS (
+        SELECT o_orderpriority, CASE WHEN avg(label) > 0.5 THEN 1 ELSE 0 END AS prediction
+        FROM rows_of WHERE NOT held GROUP BY o_orderpriority
+    )
+"""
+
+
+@query(
+    "tree_one_category",
+    f"""
+    WITH {_RULE_SQL}
+    SELECT 'tree' AS model, count(*) AS holdout_rows,
+           round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END::DOUBLE), 8) AS accuracy
+    FROM rows_of JOIN rule USING (o_orderpriority) WHERE held
+    """,
+)
+def tree_one_category(spark, sf):
+    """Dear orders by priority. A tree over one category says each category's majority."""
+    orders = read_table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderpriority", C.at_least("o_totalprice", 250000).alias("label")
+    )
+    found = trees.tree_vs_forest(
+        orders, "label", [], ["o_orderpriority"], key="o_orderkey", models=["tree"]
+    )
+    return found.select("model", "holdout_rows", F.round("accuracy", 8).alias("accuracy"))
+
+
 @query("churn_logistic")
 def churn_logistic(spark, sf):
     return viewing.stop_watching(_customers(spark, sf), key="c_custkey").report
@@ -458,6 +603,21 @@ def _vectors(spark, sf):
     )
 
 
+@query(
+    "kmeans_separated",
+    "SELECT 3 AS k, 0.0::DOUBLE AS sse, 1.0::DOUBLE AS silhouette, count(*) AS size "
+    "FROM lineitem GROUP BY l_returnflag",
+)
+def kmeans_separated(spark, sf):
+    """Lines at as many places as there are flags: the clusters must be those places."""
+    lines = read_table(spark, sf, "lineitem").select("l_returnflag")
+    found = clusters.kmeans_sweep(lines, [], ["l_returnflag"], ks=[3])
+    return found.select(
+        "k", F.round("sse", 6).alias("sse"), F.round("silhouette", 6).alias("silhouette"),
+        F.explode("sizes").alias("size"),
+    )
+
+
 @query("kmeans_sweep")
 def kmeans_sweep(spark, sf):
     return clusters.kmeans_sweep(_vectors(spark, sf), features="features")
@@ -509,14 +669,13 @@ def silhouette_given(spark, sf):
 
 
 def _ratings(spark, sf):
-    """Quantity of each part per customer. Lines are summed per order and part first."""
+    """Quantity of each part per customer."""
     lines = read_table(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
-    summed = lines.groupBy("o_orderkey", "l_partkey").agg(F.sum("l_quantity").alias("quantity"))
     orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     return (
-        lookup_join(summed, orders, "o_orderkey", spread=["l_partkey"], sketch=lines)
+        lookup_join(lines, orders, "o_orderkey", spread=["l_partkey", "l_linenumber", "l_suppkey"])
         .groupBy(F.col("o_custkey").cast("int").alias("userId"), F.col("l_partkey").cast("int").alias("courseId"))
-        .agg(F.sum("quantity").alias("rating"))
+        .agg(F.sum("l_quantity").alias("rating"))
     )
 
 

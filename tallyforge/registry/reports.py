@@ -89,6 +89,9 @@ def pivot_year_stats_listed(spark, sf):
     )
 
 
+# Columns that tell lines of one part or supplier apart.
+_LINE = ("l_orderkey", "l_linenumber", "l_shipdate")
+
 _BRANDS = [f"Brand#{i}" for i in range(1, 26)]
 
 
@@ -100,10 +103,9 @@ _BRANDS = [f"Brand#{i}" for i in range(1, 26)]
 )
 def user_item_pivot(spark, sf):
     lines = read_table(spark, sf, "lineitem").withColumnRenamed("l_partkey", "p_partkey")
-    bought = lines.groupBy("l_suppkey", "p_partkey").agg(F.sum("l_quantity").alias("quantity"))
     brands = read_table(spark, sf, "part").select("p_partkey", "p_brand")
-    joined = lookup_join(bought, brands, "p_partkey", spread=["l_suppkey"], sketch=lines)
-    return crosstab.pivot_sum(joined, "l_suppkey", "p_brand", "quantity", _BRANDS)
+    joined = lookup_join(lines, brands, "p_partkey", spread=_LINE)
+    return crosstab.pivot_sum(joined, "l_suppkey", "p_brand", "l_quantity", _BRANDS)
 
 
 # --- projections and predicates ---------------------------------------------------
@@ -246,14 +248,12 @@ _POPULARITY_SQL = """
 
 
 def _views(spark, sf):
-    """A supplier's nation views the parts it ships; repeated shipments count once."""
-    lines = read_table(spark, sf, "lineitem").select(
-        F.col("l_suppkey").alias("s_suppkey"), F.col("l_partkey").alias("chapterId")
+    """A supplier's nation views the parts it ships."""
+    lines = read_table(spark, sf, "lineitem").withColumnsRenamed(
+        {"l_suppkey": "s_suppkey", "l_partkey": "chapterId"}
     )
     nations = read_table(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").alias("userId"))
-    return lookup_join(
-        lines.distinct(), nations, "s_suppkey", spread=["chapterId"], sketch=lines
-    ).select("userId", "chapterId")
+    return lookup_join(lines, nations, "s_suppkey", spread=_LINE).select("userId", "chapterId")
 
 
 def _chapters(spark, sf):
