@@ -10,8 +10,16 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    FractionalType,
+    IntegralType,
+    MapType,
+    StringType,
+    StructType,
+)
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -26,8 +34,13 @@ def measured_size(df: DataFrame) -> tuple[int, int]:
 
     One scan of the table's columns with a partial aggregate per task.
     """
-    variable = [f.name for f in df.schema.fields if isinstance(f.dataType, (StringType, BinaryType))]
-    lengths = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in variable]
+    lengths = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            lengths.append(F.octet_length(F.to_json(F.struct(f.name))))
+        elif isinstance(f.dataType, (StringType, BinaryType)):
+            lengths.append(F.octet_length(f.name))
+    lengths = [F.coalesce(F.sum(n), F.lit(0)) for n in lengths]
     row = df.agg(F.count(F.lit(1)).alias("n"), reduce(add, lengths, F.lit(0)).alias("b")).first()
     return row["n"], row["b"] + row["n"] * 16 * len(df.columns)
 
@@ -66,13 +79,32 @@ def lookup_join(
     return salted_join(fact, dim, keys, how, spread, sketch)
 
 
+def _key_hash(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Hash of the key columns, the same for equal keys of different integer types."""
+    parts = []
+    for key in keys:
+        kind = df.schema[key].dataType
+        if isinstance(kind, FractionalType):
+            raise ValueError(f"join key {key!r} is fractional: cast it first")
+        parts.append(F.col(key).cast("long") if isinstance(kind, IntegralType) else F.col(key))
+    return F.xxhash64(*parts)
+
+
+def _same_kind(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> bool:
+    return all(
+        a.schema[k].dataType == b.schema[k].dataType
+        or (isinstance(a.schema[k].dataType, IntegralType) and isinstance(b.schema[k].dataType, IntegralType))
+        for k in keys
+    )
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> list[tuple[int, int]]:
     """(key hash, number of salts) of the keys holding more than 1/``share`` of the rows.
 
     A bounded sketch finds them in one pass; its counts only steer the split, so an
     error in them costs balance, never a row.
     """
-    top = df.select(F.xxhash64(*keys).alias("h")).agg(
+    top = df.select(_key_hash(df, keys).alias("h")).agg(
         F.count(F.lit(1)).alias("n"),
         F.expr(f"approx_top_k(h, {share}, {_TRACKED})").alias("top"),
     ).first()
@@ -98,6 +130,8 @@ def salted_join(
     lists are bounded by ``share``, so the salt table can always be broadcast.
     """
     keys = [on] if isinstance(on, str) else list(on)
+    if not _same_kind(fact, dim, keys):
+        raise ValueError(f"join keys {keys} differ in type: cast one side")
     hot = hot_keys(sketch if sketch is not None else fact, keys, share)
     if not hot:
         return fact.join(dim, keys, how)
@@ -105,7 +139,7 @@ def salted_join(
     salts = F.broadcast(spark.createDataFrame(hot, "_hash long, _salts int"))
     apart = list(spread) if spread else [c for c in fact.columns if c not in keys]
     salted_fact = (
-        fact.withColumn("_hash", F.xxhash64(*keys))
+        fact.withColumn("_hash", _key_hash(fact, keys))
         .join(salts, "_hash", "left")
         .withColumn(
             "_salt",
@@ -114,7 +148,7 @@ def salted_join(
         .drop("_hash", "_salts")
     )
     salted_dim = (
-        dim.withColumn("_hash", F.xxhash64(*keys))
+        dim.withColumn("_hash", _key_hash(dim, keys))
         .join(salts, "_hash", "left")
         .withColumn(
             "_salt",

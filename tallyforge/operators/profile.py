@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations, combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -27,6 +28,19 @@ def partition_profile(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def partition_counts(steps: dict[str, DataFrame]) -> DataFrame:
+    """(step, partitions, rows) of named stages of a job; partitions without rows do not
+    count. The wide step of a job has as many as its shuffle left."""
+    counted = [
+        df.groupBy(F.spark_partition_id().alias("p"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("partitions"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
+        .select(F.lit(step).alias("step"), "partitions", "rows")
+        for step, df in steps.items()
+    ]
+    return reduce(DataFrame.unionAll, counted)
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
 

@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.sql import DataFrame
 
 from ..operators.features import with_features
 from ..operators.metrics import silhouette
-from ..session import persisted
+from ..session import in_parallel, persisted
 
 
 def kmeans_sweep(
@@ -26,8 +24,7 @@ def kmeans_sweep(
     """(k, sse, silhouette, sizes, centres), one row per number of clusters.
 
     ``features`` names a vector column to use instead of assembling one. The vectors are
-    kept once for all fits; up to ``parallelism`` fits run at a time, so that the short
-    stages of one fill the gaps of another.
+    kept once for all fits, ``parallelism`` of which run at a time.
     """
     vectors = df.select(features) if features else with_features(df, numeric, categorical).select("features")
     column = features or "features"
@@ -39,12 +36,7 @@ def kmeans_sweep(
             centres = [[float(x) for x in c] for c in model.clusterCenters()]
             return k, model.summary.trainingCost, score, model.summary.clusterSizes, centres
 
-        ks = list(ks)
-        pool = ThreadPool(min(parallelism, len(ks)))
-        try:
-            rows = pool.map(inheritable_thread_target(df.sparkSession)(fit), ks, chunksize=1)
-        finally:
-            pool.close()
+        rows = in_parallel(df.sparkSession, fit, ks, parallelism)
     return df.sparkSession.createDataFrame(
         rows,
         "k int, sse double, silhouette double, sizes array<long>, centres array<array<double>>",

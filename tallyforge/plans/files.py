@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.columns import field, scaled
 from ..operators.crosstab import month_counts, month_pivot, pivot_stats
 from ..operators.popularity import popularity
-from ..operators.profile import key_sizes
+from ..operators.profile import key_sizes, partition_counts
 from ..operators.text import top_words
 from ..sources.tables import read_csv, read_delimited, read_lines, stop_words
 
@@ -34,6 +34,15 @@ def log_level_sizes(spark: SparkSession, path: str) -> DataFrame:
     return key_sizes(log_lines(spark, path), "level")
 
 
+def log_partitions(spark: SparkSession, path: str) -> DataFrame:
+    """(step, partitions, rows) before and after the narrow and the wide step of
+    :func:`log_level_sizes`."""
+    pairs = log_lines(spark, path)
+    return partition_counts(
+        {"lines": read_lines(spark, path), "narrow": pairs, "wide": key_sizes(pairs, "level")}
+    )
+
+
 def exam_results(spark: SparkSession, path: str) -> DataFrame:
     """Mean and deviation of the score per subject and year (CSV with header)."""
     return pivot_stats(read_csv(spark, path), "subject", "year", "score")

@@ -10,7 +10,7 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.features import with_features
-from ..session import persisted
+from ..session import in_parallel, persisted
 
 
 @dataclass
@@ -28,11 +28,12 @@ def linreg_grid(
     reg: Sequence[float] = (0.01, 0.1, 0.5),
     elastic: Sequence[float] = (0.0, 0.5, 1.0),
     tolerance: float = 1e-6,
+    parallelism: int = 8,
 ) -> DataFrame:
     """(reg_param, elastic_net_param, intercept, coefficients): one fit of the whole table
     per point of the grid."""
     data = with_features(df, numeric, categorical)
-    estimator = LinearRegression(solver="normal", tol=tolerance)
+    estimator = LinearRegression(tol=tolerance)
     grid = (
         ParamGridBuilder()
         .addGrid(estimator.regParam, list(reg))
@@ -40,7 +41,9 @@ def linreg_grid(
         .build()
     )
     with persisted(data.select(F.col(label).cast("double").alias("label"), "features")) as kept:
-        models = estimator.fit(kept, grid)
+        models = in_parallel(
+            df.sparkSession, lambda point: estimator.fit(kept, point), grid, parallelism
+        )
     return df.sparkSession.createDataFrame(
         [
             (m.getRegParam(), m.getElasticNetParam(), float(m.intercept), [float(c) for c in m.coefficients])
@@ -57,7 +60,7 @@ def linreg(df: DataFrame, label: str, numeric: Sequence[str], categorical: Seque
     same rows.
     """
     data = with_features(df, numeric, categorical).withColumn("label", F.col(label).cast("double"))
-    model = LinearRegression(solver="normal").fit(data.select("label", "features"))
+    model = LinearRegression().fit(data.select("label", "features"))
     coefficients = df.sparkSession.createDataFrame(
         [(float(model.intercept), [float(c) for c in model.coefficients])],
         "intercept double, coefficients array<double>",

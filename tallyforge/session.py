@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
 from contextlib import contextmanager
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -89,9 +91,31 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 @contextmanager
 def persisted(df: DataFrame):
-    """``df`` kept in memory and on disk while the enclosed actions run."""
+    """``df`` kept in memory and on disk while the enclosed actions pass over it many times.
+
+    A table in fewer parts than there are cores (a few large files) is dealt out to all of
+    them first. A table large enough to matter has more parts than that and is never
+    shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        kept.count()
+        if kept.rdd.getNumPartitions() < cores:
+            few, kept = kept, kept.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+            kept.count()
+            few.unpersist()
         yield kept
     finally:
         kept.unpersist()
+
+
+def in_parallel(spark: SparkSession, fn: Callable, items: Iterable, threads: int) -> list:
+    """Results of ``fn`` for each item, in order. Up to ``threads`` calls submit their jobs at
+    a time, so that the short stages of one fill the gaps of another."""
+    items = list(items)
+    pool = ThreadPool(max(1, min(threads, len(items))))
+    try:
+        return pool.map(inheritable_thread_target(spark)(fn), items, chunksize=1)
+    finally:
+        pool.close()

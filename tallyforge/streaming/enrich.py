@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from ..operators.joins import BROADCAST_ROWS, is_small, lookup_join
+from ..operators.joins import BROADCAST_ROWS, is_small, salted_join
 from .sinks import append_batches, append_stream
 
 
@@ -30,6 +30,6 @@ def enrich_stream(
         return append_stream(stream.join(F.broadcast(dim), key, "left"), path, checkpoint, every)
 
     def join(batch: DataFrame) -> DataFrame:
-        return lookup_join(batch, dim, key, "left", spread, max_rows)
+        return salted_join(batch, dim, key, "left", spread)
 
     return append_batches(stream, path, checkpoint, every, join)

@@ -76,6 +76,35 @@ def test_several_key_columns(spark):
     assert sorted(rows(found.groupBy("v").count())) == [(10, 300), (11, 300)]
 
 
+@pytest.mark.parametrize("fact_kind,dim_kind", [("int", "long"), ("long", "int")])
+def test_integer_keys_of_different_width(tables, fact_kind, dim_kind):
+    fact, dim = tables
+    fact = fact.withColumn("k", F.col("k").cast(fact_kind))
+    dim = dim.withColumn("k", F.col("k").cast(dim_kind))
+    found = joins.lookup_join(fact, dim, "k", "left", max_rows=0)
+    assert sorted(rows(found), key=repr) == sorted(rows(fact.join(dim, "k", "left")), key=repr)
+
+
+def test_keys_that_cannot_be_hashed_alike_are_refused(tables):
+    fact, dim = tables
+    with pytest.raises(ValueError):
+        joins.salted_join(fact, dim.withColumn("k", F.col("k").cast("string")), "k")
+    double = [df.withColumn("k", F.col("k").cast("double")) for df in tables]
+    with pytest.raises(ValueError):
+        joins.salted_join(*double, "k")
+
+
+def test_hot_keys_of_another_table(tables):
+    fact, dim = tables
+    found = joins.salted_join(fact, dim, "k", sketch=fact.filter("k = 7"))
+    assert sorted(rows(found), key=repr) == sorted(rows(fact.join(dim, "k")), key=repr)
+
+
+def test_size_counts_nested_columns(spark):
+    df = spark.range(2).select(F.array_repeat(F.lit("abcdefgh"), 100).alias("a"))
+    assert joins.measured_size(df)[1] > 1600
+
+
 def test_measured_size(spark):
     df = spark.createDataFrame([("abc", 1), (None, 2)], "s string, n int")
     assert joins.measured_size(df) == (2, 3 + 2 * 16 * 2)

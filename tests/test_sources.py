@@ -55,6 +55,10 @@ def test_file_jobs(spark, tmp_path):
     sizes = dict(rows(jobs.log_level_sizes(spark, logs)))
     assert sizes == {"level": 1, "WARN": 2, "FATAL": 1}
 
+    steps = {r[0]: r[1:] for r in rows(jobs.log_partitions(spark, logs))}
+    assert steps["lines"] == steps["narrow"] == (1, 4)
+    assert steps["wide"][1] == 3 and 1 <= steps["wide"][0] <= 4
+
     exams = write(tmp_path / "exams.csv", ["student_id,subject,year,score", "1,Math,2005,10", "2,Math,2005,20"])
     assert rows(jobs.exam_results(spark, exams)) == [("Math", 15.0, 7.07)]
 
