@@ -89,20 +89,23 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+ROWS_PER_PART = 50_000
+
+
 @contextmanager
 def persisted(df: DataFrame):
     """``df`` kept in memory and on disk while the enclosed actions pass over it many times.
 
-    A table in fewer parts than there are cores (a few large files) is dealt out to all of
-    them first. A table large enough to matter has more parts than that and is never
-    shuffled here.
+    A table in a few large parts, fewer than there are cores, is dealt out to more of them
+    first. A large table has more parts than that and is never shuffled here; a small one
+    is left alone too, as more tasks would only cost more scheduling.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        kept.count()
-        if kept.rdd.getNumPartitions() < cores:
-            few, kept = kept, kept.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+        parts = min(cores, kept.count() // ROWS_PER_PART)
+        if kept.rdd.getNumPartitions() < parts:
+            few, kept = kept, kept.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
             kept.count()
             few.unpersist()
         yield kept
