@@ -12,6 +12,7 @@ GYM = [
 ]
 GYM_SCHEMA = "CompetitorID int, Gender string, Age int, Height int, Weight int, NoOfReps int"
 
+# Fixed values: (chapter, course), (user, chapter) and (course, title).
 CHAPTERS = [(96, 1), (97, 1), (98, 1), (99, 2), *[(c, 3) for c in range(100, 110)]]
 VIEWS = [(14, 96), (14, 97), (13, 96), (13, 96), (13, 96), (14, 99), (13, 100)]
 TITLES = [

@@ -1,5 +1,6 @@
 import pytest
 
+from tallyforge import session
 from tallyforge.plans import files as jobs
 from tallyforge.session import checkpoint_root, scratch_path, shuffle_partitions
 from tallyforge.sources import streams, tables
@@ -101,3 +102,30 @@ def test_shuffle_partitions_are_put_back(spark):
     with shuffle_partitions(spark, 10):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "10"
     assert spark.conf.get("spark.sql.shuffle.partitions") == old
+
+
+def test_persisted_tables_are_dealt_out_only_when_large(spark):
+    def parts(rows_, monkey):
+        with monkey.context() as m:
+            m.setattr(session, "ROWS_PER_PART", 100)
+            with session.persisted(spark.range(0, rows_, 1, 1)) as kept:
+                assert kept.is_cached and kept.count() == rows_
+                return kept.rdd.getNumPartitions()
+
+    cores = spark.sparkContext.defaultParallelism
+    monkey = pytest.MonkeyPatch
+    assert parts(150, monkey) == 1
+    assert parts(100 * cores, monkey) == cores
+    assert parts(1000 * cores, monkey) == cores
+
+
+def test_parallel_results_keep_their_order(spark):
+    found = session.in_parallel(spark, lambda n: spark.range(n).count(), [5, 0, 3, 9], 3)
+    assert found == [5, 0, 3, 9]
+    assert session.in_parallel(spark, str, [], 4) == []
+
+
+def test_checkpointed_table_has_no_lineage(spark):
+    df = session.checkpointed(spark.range(10).selectExpr("id % 3 AS k").distinct())
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("LogicalRDD") and df.count() == 3
