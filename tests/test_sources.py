@@ -81,9 +81,9 @@ def test_popularity_from_files(spark, tmp_path):
 
 
 def test_stream_options(spark):
-    assert streams.kafka_options("host:9092", "viewrecords") == {
+    assert streams.kafka_options("host:9092", "views") == {
         "kafka.bootstrap.servers": "host:9092",
-        "subscribe": "viewrecords",
+        "subscribe": "views",
         "startingOffsets": "latest",
     }
     assert streams.socket_options("host", 8989)["port"] == "8989"
