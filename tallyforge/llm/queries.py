@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyforge.session import scratch_path
 
-from . import bpe_codec, decontaminate, token_count, token_store
+from . import bpe_codec, decontaminate, token_count, token_store, toxicity, url_filter, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -56,3 +56,77 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes and tokens of every text."""
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_count.token_counts(_table(spark, folder, "documents"), path, keep=["doc_id"])
+
+
+@_query(
+    "op2_warc",
+    """
+    WITH sized AS (
+        SELECT page_id, coalesce(html, '') AS payload FROM pages
+    ), firsts AS (
+        SELECT *, min(page_id) OVER (PARTITION BY payload) AS first FROM sized
+    ), bits AS (
+        SELECT page_id, first, strlen(payload) AS payload_bytes, sha1(payload) AS hex FROM firsts
+    ), numbers AS (
+        SELECT *, list_transform(range(0, 32), lambda k: list_sum(list_transform(range(0, 5), lambda b:
+            (((strpos('0123456789abcdef', substr(hex, ((5 * k + b) // 4 + 1)::INT, 1)) - 1) >> (3 - (5 * k + b) % 4)::INT) & 1) << (4 - b)::INT))) AS fives
+        FROM bits
+    )
+    SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+        array_to_string(list_transform(fives, lambda v: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', v::INT + 1, 1)), '') AS payload_digest,
+        CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN page_id > first THEN first END AS refers_to
+    FROM numbers
+    """,
+)
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to archives and read back from them."""
+    archives = warc.write_archives(_table(spark, folder, "pages"), scratch_path(spark, "warc"))
+    return warc.read_archives(spark, archives, payloads=False).drop("url", "payload")
+
+
+#: Fixed rules of the query: host, path, action.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@_query(
+    "op5_url_filter",
+    """
+    WITH rules(rule_host, rule_path, action) AS (
+        VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+            ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+    ), rests AS (
+        SELECT row_number() OVER () AS k, page_id,
+            CASE WHEN contains(coalesce(url, ''), '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+        FROM pages
+    ), parts AS (
+        SELECT k, page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+            regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+        FROM rests
+    )
+    SELECT any_value(page_id) AS page_id, any_value(host) AS host, any_value(path) AS path,
+        arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+        coalesce(arg_max(action, length(rule_host || rule_path)), 'allow') AS verdict
+    FROM parts LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    GROUP BY k
+    """,
+)
+def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """The verdict on every page's url."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    return url_filter.judge(_table(spark, folder, "pages"), rules)
+
+
+@_query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Score and prediction of every document by a model trained outside fold 0."""
+    docs = _table(spark, folder, "documents")
+    model = toxicity.fit(docs, _table(spark, folder, "labels"))
+    scored = toxicity.score(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", (toxicity.fold_of(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")

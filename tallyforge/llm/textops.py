@@ -104,8 +104,8 @@ class Words:
         self.end = np.flatnonzero(closes) + 1
         self.row = np.searchsorted(self.start, at)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word."""
+    def hashes(self, prefix: int | None = None) -> np.ndarray:
+        """A 64-bit hash of each word, or of its first ``prefix`` bytes."""
         out = np.empty(len(self.start), np.uint64)
         first = 0
         while first < len(out):
@@ -116,9 +116,11 @@ class Words:
             total = np.zeros(len(part) + 1, np.uint64)
             np.cumsum(_BYTE_VALUE[part] * power[: len(part)], out=total[1:])
             a, b = self.start[first:end] - low, self.end[first:end] - low
+            if prefix is not None:
+                b = np.minimum(b, a + prefix)
             out[first:end] = (total[b] - total[a]) * inverse[a]
             first = end
-        return mix(out)
+        return mix(out if prefix is None else out + np.uint64(prefix))
 
     def text(self, first: int, end: int) -> bytes:
         """Words ``first`` to ``end`` with single spaces between them."""

@@ -187,7 +187,7 @@ def write_ids(
                         finish()
                     shard = row["shard"]
                     name = storage.fresh_name(f"shard-{shard:06d}", ".ids.zst")
-                    out = system.open_output_stream(f"{base}/{name}")
+                    out = system.open_output_stream(f"{base}/{name}", compression=None)
                     writer = ShardWriter(out)
                 writer.add(row["key"], row["frame"], row["size"], row["checksum"])
         if out is not None:
