@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyforge.session import scratch_path
 
-from . import bpe_codec, decontaminate, token_count, token_store, toxicity, url_filter, warc
+from . import ann, bpe_codec, decontaminate, ngram_join, token_count, token_store, toxicity, url_filter, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -130,3 +130,15 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.fit(docs, _table(spark, folder, "labels"))
     scored = toxicity.score(docs, model, keep=["doc_id"])
     return scored.select("doc_id", (toxicity.fold_of(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
+
+
+@_query("op6_nearest")
+def op6_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest found for every vector whose id is divisible by 50."""
+    return ann.nearest(_table(spark, folder, "embeddings"))
+
+
+@_query("op10_ngram_join")
+def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose 4-word shingles are at least 0.85 similar."""
+    return ngram_join.linked(_table(spark, folder, "documents"), shingle=4, above=85)
