@@ -1,15 +1,17 @@
 """Documents linked by the Jaccard similarity of their word shingles: a parity-sketch join.
 
-A set's parity sketch has a bit for each hash value, flipped once per shingle that has it. The
-sketches of two sets differ in no more bits than the sets in shingles. A similarity of at least
-t bounds that difference by (1 - t) / (1 + t) of both sizes together, so of one block more than
-the bound at least one is equal in both sketches (pigeonhole): documents of neighbouring sizes
-are joined on equal blocks. The Hamming distance of short sketches then drops most candidates,
-and the shingles of the rest are compared. No link is lost on the way, whatever the sizes.
+A set's sketch has blocks; each shingle is XORed into one of them. The sketches of two sets
+differ in no more blocks than the sets in shingles. A similarity of at least t bounds that
+difference by (1 - t) / (1 + t) of both sizes together, so of one block more than the bound at
+least one is equal in both sketches (pigeonhole): documents of neighbouring sizes are joined on
+equal blocks. Short sketches of single parity bits, whose Hamming distance is a lower bound of
+the difference too, then drop most candidates, and the shingles of the rest are compared. No
+link is lost on the way, whatever the sizes.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,13 +25,12 @@ from tallyforge.session import checkpointed
 from .components import components
 from .textops import SPACED, Words, mix, pieces, windows_hash
 
-#: Sizes of a band lie within this factor; a set near the upper end also joins the next band.
-BAND = 1.6
-#: Hash values per block of the sketch. Many, so that blocks of unlike sets differ.
-BLOCK_BITS = 1 << 12
-#: A block with fewer shingles says little: it is joined together with the blocks of a second
-#: and third, independent sketch, one of which must be equal as well.
-WEAK = 1
+#: Sizes of a band lie within this factor; a set near the upper end also joins the next bands.
+BAND = 1.25
+#: A block with fewer shingles says little. Each band has some blocks to spare, so that similar
+#: sets agree in more blocks than are weak, and weak ones need not be joined on; only a set with
+#: more weak blocks than that joins on them too.
+WEAK = 2
 #: Bits of the short sketch, per shingle, and at least.
 SHORT_BITS = 2
 SHORT_LEAST = 64
@@ -48,10 +49,12 @@ class Plan:
         return total * (self.below - self.above) // (self.below + self.above)
 
     def bands(self, size: int) -> list[int]:
-        """Upper ends of the bands that a set joins: its own, and the next if a similar set
-        may lie there."""
-        high = self.upper(size)
-        return [high, self.upper(high + 1)] if (high + 1) * self.above <= size * self.below else [high]
+        """Upper ends of the bands that a set joins: its own, and the next ones if a similar
+        set may lie there."""
+        found = [self.upper(size)]
+        while (found[-1] + 1) * self.above <= size * self.below:
+            found.append(self.upper(found[-1] + 1))
+        return found
 
     @staticmethod
     def upper(size: int) -> int:
@@ -61,32 +64,37 @@ class Plan:
         return high
 
     def keys(self, shingles: np.ndarray) -> np.ndarray:
-        """Join keys of a set: a hash of band, block number and the block's odd bits."""
-        return np.concatenate([self._blocks(shingles, high, 0, np.uint64(high)) for high in self.bands(len(shingles))])
+        """Join keys of a set: a hash of band, block number and the XOR of the block's shingles."""
+        return np.concatenate([self._blocks(shingles, high, 0, high) for high in self.bands(len(shingles))])
 
     def finer(self, shingles: np.ndarray, bucket: int, level: int) -> np.ndarray:
         """Keys that split a bucket of this set: its blocks in one more independent sketch."""
-        within = np.uint64(bucket % (1 << 64))
         for high in self.bands(len(shingles)):
-            if within in self._blocks(shingles, high, 0, np.uint64(high)):
-                return self._blocks(shingles, high, level, within)
-        return np.array([within])
+            if np.uint64(bucket % (1 << 64)) in self._blocks(shingles, high, 0, high):
+                return self._blocks(shingles, high, level, bucket)
+        return np.array([bucket % (1 << 64)], np.uint64)
 
-    def _blocks(self, shingles: np.ndarray, high: int, level: int, within: np.uint64) -> np.ndarray:
+    def spare(self, high: int) -> int:
+        """Blocks beyond the pigeonhole number: as many as are weak in most sets of the band."""
         count = self.difference(2 * high) + 1
+        if count == 1:
+            return 0
+        mean = high / BAND * self.above / self.below / count
+        weak = count * math.exp(-mean) * sum(mean**k / math.factorial(k) for k in range(WEAK))
+        return math.ceil(weak + 2 * math.sqrt(weak))
+
+    def _blocks(self, shingles: np.ndarray, high: int, level: int, within: int) -> np.ndarray:
+        spare = self.spare(high)
+        count = self.difference(2 * high) + 1 + spare
         value = mix(shingles + np.uint64(level + 1))
-        block = (value % np.uint64(count)).astype(np.int64)
-        bit = mix(value ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(BLOCK_BITS)
-        slot, flips = np.unique(block * BLOCK_BITS + bit.astype(np.int64), return_counts=True)
-        slot = slot[flips % 2 == 1]  # the odd bits of the sketch
-        owner = slot // BLOCK_BITS
-        total = np.zeros(count, np.uint64)
-        np.add.at(total, owner, mix((slot % BLOCK_BITS).astype(np.uint64) + np.uint64(1)))
-        key = mix(mix(total + mix(within + np.uint64(level))) + np.arange(count, dtype=np.uint64))
-        if level >= 2 or count == 1:
-            return key
-        weak = np.bincount(owner, minlength=count) < WEAK
-        return np.concatenate([key[~weak], *[self._blocks(shingles, high, level + 1, k) for k in key[weak]]])
+        block = ((value >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)).astype(np.int64)
+        sketch = np.arange(count, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((within * 31 + level) % (1 << 64))
+        sketch = mix(sketch)
+        np.bitwise_xor.at(sketch, block, mix(value))
+        if level or count == 1:
+            return sketch
+        weak = np.bincount(block, minlength=count) < WEAK
+        return sketch[~weak] if weak.sum() <= spare else sketch
 
 
 def short_sketch(shingles: np.ndarray) -> np.ndarray:
@@ -96,7 +104,7 @@ def short_sketch(shingles: np.ndarray) -> np.ndarray:
     while bits < SHORT_BITS * len(shingles):
         bits *= 2
     flips = np.bincount((mix(shingles) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(flips.astype(np.uint8), bitorder="little").view(np.int64)
+    return np.packbits(flips.astype(np.uint8), bitorder="little").view(np.uint64)
 
 
 def folded(sketch: np.ndarray, words: int) -> np.ndarray:
@@ -179,7 +187,7 @@ def _near(plan: Plan):
             for n, (x, y, m, k) in enumerate(zip(*columns)):
                 if min(m, k) * plan.below < max(m, k) * plan.above:
                     continue
-                x, y = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 words = min(len(x), len(y))
                 apart = int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum())
                 if apart <= plan.difference(m + k):
@@ -294,7 +302,7 @@ def _set_components(join: _Join, levels: int = 3) -> DataFrame:
     members = join.docs.mapInArrow(_keyed(plan), "bucket bigint, set bigint")
     for level in range(levels):
         whole = Window.partitionBy("bucket")
-        shared = members.withColumn("a", F.min("set").over(whole)).where((F.max("set").over(whole)) != F.col("a"))
+        shared = members.select("*", F.min("set").over(whole).alias("a"), F.max("set").over(whole).alias("z")).where("a <> z")
         shared = checkpointed(shared.select("bucket", "set", "a").distinct())
         stars = checkpointed(shared.where("set <> a").select("a", F.col("set").alias("b")).distinct())
         for best_only in (True, False):

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyforge.session import scratch_path
 
-from . import ann, bpe_codec, decontaminate, ngram_join, token_count, token_store, toxicity, url_filter, warc
+from . import ann, bpe_codec, decontaminate, ngram_join, substring_dedup, token_count, token_store, toxicity, url_filter, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -142,3 +142,10 @@ def op6_nearest(spark: SparkSession, folder: str) -> DataFrame:
 def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose 4-word shingles are at least 0.85 similar."""
     return ngram_join.linked(_table(spark, folder, "documents"), shingle=4, above=85)
+
+
+@_query("op8_substring_dedup")
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without the passages that earlier documents hold, and which those are."""
+    found = substring_dedup.deduplicated(_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_in", "text")

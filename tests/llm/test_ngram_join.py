@@ -74,7 +74,7 @@ def test_families_near_the_threshold(spark, monkeypatch, seed, paired):
     texts += [shared + " " + " ".join(f"u{k}x{j}" for j in range(5)) for k in range(30)]
     docs = [(7 * k + 1, t) for k, t in enumerate(texts)]
     df = spark.createDataFrame([(i, t, 0) for i, t in docs], "doc_id long, text string, set int").repartition(5)
-    for shingle, above in ((4, 85), (2, 50)):
+    for shingle, above in ((4, 85), (2, 70)):
         assert found(ngram_join.linked(df, shingle=shingle, above=above)) == brute(docs, shingle, above)
 
 
