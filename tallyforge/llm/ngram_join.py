@@ -35,7 +35,7 @@ WEAK = 2
 SHORT_BITS = 2
 SHORT_LEAST = 64
 #: Members of a bucket that are compared with one another rather than by a finer key.
-PAIRED = 16
+PAIRED = 256
 
 
 class Plan:
@@ -178,11 +178,11 @@ def _key_batch(keys: list[np.ndarray], sets: list[np.ndarray]) -> pa.RecordBatch
 
 
 def _near(plan: Plan):
-    """Pairs whose short sketches do not rule them out, with their Hamming distance."""
+    """Pairs whose short sketches do not rule them out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, distance = [], []
+            keep = []
             columns = [batch.column(c).to_pylist() for c in ("sketch_a", "sketch_b", "size_a", "size_b")]
             for n, (x, y, m, k) in enumerate(zip(*columns)):
                 if min(m, k) * plan.below < max(m, k) * plan.above:
@@ -192,9 +192,7 @@ def _near(plan: Plan):
                 apart = int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum())
                 if apart <= plan.difference(m + k):
                     keep.append(n)
-                    distance.append(apart)
-            part = batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(distance, pa.int32())], names=["a", "b", "apart"])
+            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
     return run
 
@@ -228,26 +226,24 @@ class _Join:
             .agg(F.min("key").alias("key"), F.first("size").alias("size"), F.first("sketch").alias("sketch"))
         )
 
-    def links(self, pairs: DataFrame, best_only: bool = False) -> DataFrame:
-        """The pairs (a, b) of sets that are similar. With ``best_only`` just the nearest
-        candidate of each b by sketch is compared."""
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) of sets that are similar."""
         side = lambda x: self.sets.select(F.col("set").alias(x), F.col("size").alias(f"size_{x}"), F.col("sketch").alias(f"sketch_{x}"))
-        near = pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_near(self.plan), "a bigint, b bigint, apart int")
-        if best_only:
-            near = near.groupBy("b").agg(F.min_by("a", F.struct("apart", "a")).alias("a"))
-        near = checkpointed(near.select("a", "b"))
-        needed = near.select(F.col("a").alias("set")).union(near.select("b")).distinct()
-        texts = checkpointed(self._texts(needed))
+        near = checkpointed(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_near(self.plan), "a bigint, b bigint"))
+        texts = checkpointed(self.texts(near.select(F.col("a").alias("set")).union(near.select("b")).distinct()))
         side = lambda x: texts.select(F.col("set").alias(x), F.col("text").alias(f"text_{x}"))
         paired = near.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
         return checkpointed(paired.mapInArrow(_verify(self.plan), "a bigint, b bigint"))
 
-    def _texts(self, needed: DataFrame) -> DataFrame:
-        """set and text, one text for each needed set: found by computing the ids anew, so that
-        only wanted texts are shuffled. While there are few, the wanted ids are broadcast."""
-        wanted = checkpointed(needed)
-        if wanted.count() <= 1_000_000:  # 8 bytes each
-            wanted = F.broadcast(wanted)
+    def texts(self, needed: DataFrame) -> DataFrame:
+        """set and text, one text for each needed set. The documents are picked by their keys,
+        then by the set computed anew, since keys may repeat or be null. While there are few,
+        the wanted keys are broadcast, so that other texts are not shuffled."""
+        wanted = checkpointed(needed.join(self.sets.select("set", "key"), "set"))
+        few = wanted.count() <= 1_000_000  # 16 bytes each
+        keys = wanted.select(F.col("key").alias("own")).where("own is not null").distinct()
+        picked = self.docs.join(F.broadcast(keys) if few else keys, F.col("key") == F.col("own"), "left_semi").select("text")
+        unnamed = self.docs.where("key is null").select("text")
         plan = self.plan
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +251,9 @@ class _Join:
                 sets = [_set_id(s) if len(s) else None for s in shingle_sets(batch.column("text"), plan.shingle)]
                 yield pa.RecordBatch.from_arrays([pa.array(sets, pa.int64()), batch.column("text")], names=["set", "text"])
 
-        return self.docs.mapInArrow(run, "set bigint, text string").join(wanted, "set", "left_semi").groupBy("set").agg(F.first("text").alias("text"))
+        named = picked.union(unnamed).mapInArrow(run, "set bigint, text string")
+        ids = wanted.select("set")
+        return named.join(F.broadcast(ids) if few else ids, "set", "left_semi").groupBy("set").agg(F.first("text").alias("text"))
 
 
 def _finer(plan: Plan, level: int):
@@ -287,14 +285,14 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return _labelled(_labelled(pairs, labels, "a"), labels, "b").where("in_a <> in_b").select("a", "b")
 
 
-def _set_components(join: _Join, levels: int = 3) -> DataFrame:
+def _set_components(join: _Join, levels: int = 2) -> DataFrame:
     """node and component of every set with a link.
 
-    Each bucket's members are first compared with its smallest (and of these, the nearest
-    first), which joins most of a group of near copies at a cost linear in its size. What is
-    left are buckets that hold more than one component: small ones compare the members of
-    different components; large ones are split by the blocks of one more sketch, and start
-    again. After the last level what still shares a bucket is compared throughout.
+    Each bucket's members are first compared with its smallest, which joins most of a group of
+    near copies at a cost linear in its size. What is left are buckets that hold more than one
+    component: up to PAIRED members, those of different components are compared; larger ones
+    are split by the blocks of one more sketch, and start again. After the last level what
+    still shares a bucket is compared throughout.
     """
     plan, spark = join.plan, join.docs.sparkSession
     edges = spark.createDataFrame([], "a bigint, b bigint")
@@ -304,30 +302,31 @@ def _set_components(join: _Join, levels: int = 3) -> DataFrame:
         whole = Window.partitionBy("bucket")
         shared = members.select("*", F.min("set").over(whole).alias("a"), F.max("set").over(whole).alias("z")).where("a <> z")
         shared = checkpointed(shared.select("bucket", "set", "a").distinct())
-        stars = checkpointed(shared.where("set <> a").select("a", F.col("set").alias("b")).distinct())
-        for best_only in (True, False):
-            pairs = checkpointed(_apart(stars, labels)) if best_only is False or level else stars
-            if not pairs.isEmpty():
-                edges = checkpointed(edges.union(join.links(pairs, best_only)))
-                labels = components(edges)
+        stars = shared.where("set <> a").select("a", F.col("set").alias("b")).distinct()
+        stars = checkpointed(_apart(stars, labels) if level else stars)
+        if not stars.isEmpty():
+            edges = checkpointed(edges.union(join.links(stars)))
+            labels = components(edges)
         placed = _labelled(shared.select("bucket", "set"), labels, "set")
-        open_buckets = placed.groupBy("bucket").agg(
+        unsettled = placed.groupBy("bucket").agg(
             F.count("*").alias("size"), F.min("in_set").alias("low"), F.max("in_set").alias("high")
         ).where("low <> high").select("bucket", "size")
-        unsettled = checkpointed(placed.join(open_buckets, "bucket"))
-        paired = unsettled if level == levels - 1 else unsettled.where(F.col("size") <= PAIRED)
+        unsettled = checkpointed(placed.join(unsettled, "bucket"))
+        last = level == levels - 1
+        paired = unsettled if last else unsettled.where(F.col("size") <= PAIRED)
         left = paired.select("bucket", F.col("set").alias("a"), F.col("in_set").alias("in_a"))
         right = paired.select("bucket", F.col("set").alias("b"), F.col("in_set").alias("in_b"))
-        pairs = checkpointed(left.join(right, "bucket").where("a < b and in_a <> in_b").select("a", "b").distinct())
+        pairs = left.join(right, "bucket").where("a < b and in_a <> in_b").select("a", "b").distinct()
+        pairs = checkpointed(pairs.join(stars, ["a", "b"], "left_anti"))
         if not pairs.isEmpty():
             edges = checkpointed(edges.union(join.links(pairs)))
             labels = components(edges)
         large = unsettled.where(F.col("size") > PAIRED)
-        if level == levels - 1 or large.isEmpty():
-            return labels
-        texts = checkpointed(join._texts(large.select("set").distinct()))
+        if last or large.isEmpty():
+            break
+        texts = checkpointed(join.texts(large.select("set").distinct()))
         wanted = large.groupBy("set").agg(F.collect_list("bucket").alias("buckets"))  # at most the keys of one set
-        members = texts.join(wanted, "set").mapInArrow(_finer(plan, level + 3), "bucket bigint, set bigint")
+        members = texts.join(wanted, "set").mapInArrow(_finer(plan, level + 1), "bucket bigint, set bigint")
     return labels
 
 
