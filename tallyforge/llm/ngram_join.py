@@ -34,8 +34,8 @@ WEAK = 2
 #: Bits of the short sketch, per shingle, and at least.
 SHORT_BITS = 2
 SHORT_LEAST = 64
-#: Members of a bucket that are compared with one another rather than by a finer key.
-PAIRED = 256
+#: Further members that all members of an unsettled bucket are compared with.
+PIVOTS = 3
 
 
 class Plan:
@@ -65,14 +65,7 @@ class Plan:
 
     def keys(self, shingles: np.ndarray) -> np.ndarray:
         """Join keys of a set: a hash of band, block number and the XOR of the block's shingles."""
-        return np.concatenate([self._blocks(shingles, high, 0, high) for high in self.bands(len(shingles))])
-
-    def finer(self, shingles: np.ndarray, bucket: int, level: int) -> np.ndarray:
-        """Keys that split a bucket of this set: its blocks in one more independent sketch."""
-        for high in self.bands(len(shingles)):
-            if np.uint64(bucket % (1 << 64)) in self._blocks(shingles, high, 0, high):
-                return self._blocks(shingles, high, level, bucket)
-        return np.array([bucket % (1 << 64)], np.uint64)
+        return np.concatenate([self._blocks(shingles, high) for high in self.bands(len(shingles))])
 
     def spare(self, high: int) -> int:
         """Blocks beyond the pigeonhole number: as many as are weak in most sets of the band."""
@@ -83,15 +76,15 @@ class Plan:
         weak = count * math.exp(-mean) * sum(mean**k / math.factorial(k) for k in range(WEAK))
         return math.ceil(weak + 2 * math.sqrt(weak))
 
-    def _blocks(self, shingles: np.ndarray, high: int, level: int, within: int) -> np.ndarray:
+    def _blocks(self, shingles: np.ndarray, high: int) -> np.ndarray:
         spare = self.spare(high)
         count = self.difference(2 * high) + 1 + spare
-        value = mix(shingles + np.uint64(level + 1))
+        value = mix(shingles + np.uint64(1))
         block = ((value >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)).astype(np.int64)
-        sketch = np.arange(count, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((within * 31 + level) % (1 << 64))
+        sketch = np.arange(count, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(high)
         sketch = mix(sketch)
         np.bitwise_xor.at(sketch, block, mix(value))
-        if level or count == 1:
+        if count == 1:
             return sketch
         weak = np.bincount(block, minlength=count) < WEAK
         return sketch[~weak] if weak.sum() <= spare else sketch
@@ -256,23 +249,6 @@ class _Join:
         return named.join(F.broadcast(ids) if few else ids, "set", "left_semi").groupBy("set").agg(F.first("text").alias("text"))
 
 
-def _finer(plan: Plan, level: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, sets = [], []
-            rows = zip(shingle_sets(batch.column("text"), plan.shingle), batch.column("set").to_pylist(), batch.column("buckets").to_pylist())
-            for shingles, own, buckets in rows:
-                for bucket in buckets:
-                    keys.append(plan.finer(shingles, bucket, level))
-                    sets.append(np.full(len(keys[-1]), own, np.int64))
-                if len(keys) >= 2000:
-                    yield _key_batch(keys, sets)
-                    keys, sets = [], []
-            yield _key_batch(keys, sets)
-
-    return run
-
-
 def _labelled(rows: DataFrame, labels: DataFrame, column: str) -> DataFrame:
     """``rows`` with the component of the set in ``column`` (itself where it has no link)."""
     known = labels.select(F.col("node").alias("tf_node"), "component")
@@ -285,48 +261,44 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return _labelled(_labelled(pairs, labels, "a"), labels, "b").where("in_a <> in_b").select("a", "b")
 
 
-def _set_components(join: _Join, levels: int = 2) -> DataFrame:
+def _set_components(join: _Join) -> DataFrame:
     """node and component of every set with a link.
 
-    Each bucket's members are first compared with its smallest, which joins most of a group of
-    near copies at a cost linear in its size. What is left are buckets that hold more than one
-    component: up to PAIRED members, those of different components are compared; larger ones
-    are split by the blocks of one more sketch, and start again. After the last level what
-    still shares a bucket is compared throughout.
+    Each bucket's members are first compared with its smallest, then, where the bucket holds
+    more than one component, with PIVOTS others picked by hash: both at a cost linear in the
+    bucket, and enough to join up a group of near copies. In buckets that still hold more than
+    one component every two members of different components are compared, so that no link is
+    lost; these are the sets that agree in a block and yet have no link.
     """
     plan, spark = join.plan, join.docs.sparkSession
     edges = spark.createDataFrame([], "a bigint, b bigint")
     labels = spark.createDataFrame([], "node bigint, component bigint")
+    tried = edges
+    whole = Window.partitionBy("bucket")
     members = join.docs.mapInArrow(_keyed(plan), "bucket bigint, set bigint")
-    for level in range(levels):
-        whole = Window.partitionBy("bucket")
-        shared = members.select("*", F.min("set").over(whole).alias("a"), F.max("set").over(whole).alias("z")).where("a <> z")
-        shared = checkpointed(shared.select("bucket", "set", "a").distinct())
-        stars = shared.where("set <> a").select("a", F.col("set").alias("b")).distinct()
-        stars = checkpointed(_apart(stars, labels) if level else stars)
-        if not stars.isEmpty():
-            edges = checkpointed(edges.union(join.links(stars)))
-            labels = components(edges)
+    shared = members.select("*", F.min("set").over(whole).alias("a"), F.max("set").over(whole).alias("z")).where("a <> z")
+    shared = checkpointed(shared.select("bucket", "set", "a").distinct())
+    for step in ("smallest", "pivots", "all"):
         placed = _labelled(shared.select("bucket", "set"), labels, "set")
-        unsettled = placed.groupBy("bucket").agg(
-            F.count("*").alias("size"), F.min("in_set").alias("low"), F.max("in_set").alias("high")
-        ).where("low <> high").select("bucket", "size")
-        unsettled = checkpointed(placed.join(unsettled, "bucket"))
-        last = level == levels - 1
-        paired = unsettled if last else unsettled.where(F.col("size") <= PAIRED)
-        left = paired.select("bucket", F.col("set").alias("a"), F.col("in_set").alias("in_a"))
-        right = paired.select("bucket", F.col("set").alias("b"), F.col("in_set").alias("in_b"))
-        pairs = left.join(right, "bucket").where("a < b and in_a <> in_b").select("a", "b").distinct()
-        pairs = checkpointed(pairs.join(stars, ["a", "b"], "left_anti"))
+        if step == "smallest":
+            pairs = shared.select("a", F.col("set").alias("b"))
+        else:
+            ends = placed.select("*", F.min("in_set").over(whole).alias("low"), F.max("in_set").over(whole).alias("high"))
+            shared = checkpointed(ends.where("low <> high").select("bucket", "set", "in_set"))
+            if step == "pivots":
+                some = F.array(*[F.struct(F.min_by("set", F.xxhash64("set", F.lit(k))).alias("set"), F.min_by("in_set", F.xxhash64("set", F.lit(k))).alias("label")) for k in range(PIVOTS)])
+                chosen = shared.groupBy("bucket").agg(some.alias("p")).select("bucket", F.explode(F.array_distinct("p")).alias("p"))
+                joined = shared.join(chosen, "bucket").where("in_set <> p.label").select("set", F.col("p.set").alias("other"))
+            else:
+                left = shared.select("bucket", "set", "in_set")
+                right = shared.select("bucket", F.col("set").alias("other"), F.col("in_set").alias("label"))
+                joined = left.join(right, "bucket").where("set < other and in_set <> label")
+            pairs = joined.select(F.least("set", "other").alias("a"), F.greatest("set", "other").alias("b"))
+        pairs = checkpointed(pairs.where("a <> b").distinct().join(tried, ["a", "b"], "left_anti"))
         if not pairs.isEmpty():
+            tried = tried.union(pairs)
             edges = checkpointed(edges.union(join.links(pairs)))
             labels = components(edges)
-        large = unsettled.where(F.col("size") > PAIRED)
-        if last or large.isEmpty():
-            break
-        texts = checkpointed(join.texts(large.select("set").distinct()))
-        wanted = large.groupBy("set").agg(F.collect_list("bucket").alias("buckets"))  # at most the keys of one set
-        members = texts.join(wanted, "set").mapInArrow(_finer(plan, level + 1), "bucket bigint, set bigint")
     return labels
 
 
