@@ -59,8 +59,9 @@ def try_month_number(name: Column | str) -> Column:
 
 
 def name_of_month(number: Column | str) -> Column:
-    """Month name of a calendar number 1..12."""
-    return F.element_at(F.array(*[F.lit(m) for m in MONTHS]), _col(number).cast("int"))
+    """Month name of a calendar number 1..12; null for null."""
+    index = _col(number).cast("int")
+    return F.when(index.isNotNull(), F.element_at(F.array(*[F.lit(m) for m in MONTHS]), index))
 
 
 def ratio(numerator: Column | str, denominator: Column | str) -> Column:

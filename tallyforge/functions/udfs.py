@@ -22,9 +22,10 @@ def register(spark: SparkSession) -> None:
     @F.pandas_udf("int")
     def month_index(names: pd.Series) -> pd.Series:
         found = names.str.lower().map(numbers)
-        if found.isna().any():
-            raise ValueError(f"not a month name: {names[found.isna()].iloc[0]!r}")
-        return found.astype("int32")
+        bad = found.isna() & names.notna()
+        if bad.any():
+            raise ValueError(f"not a month name: {names[bad].iloc[0]!r}")
+        return found.astype("Int32")
 
     @F.pandas_udf("string")
     def grouping(countries: pd.Series) -> pd.Series:

@@ -25,16 +25,17 @@ def month_counts(df: DataFrame, level: str, ts: str) -> DataFrame:
 
 
 def month_counts_sql(spark: SparkSession, view: str, level: str = "level", ts: str = "datetime") -> DataFrame:
-    """The same report as SQL text over a registered view."""
+    """The same report as SQL text over a registered view. A null or unreadable timestamp has
+    a null month in both."""
     names = ", ".join(f"'{m}'" for m in MONTHS)
     return spark.sql(
         f"""
         WITH monthly AS (
-            SELECT {level} AS level, month({ts}) AS m, count(*) AS total
+            SELECT {level} AS level, month(try_cast({ts} AS timestamp)) AS m, count(*) AS total
             FROM {view}
             GROUP BY ALL
         )
-        SELECT level, element_at(array({names}), m) AS month, total
+        SELECT level, CASE WHEN m IS NOT NULL THEN element_at(array({names}), m) END AS month, total
         FROM monthly
         ORDER BY m, level
         """

@@ -72,6 +72,7 @@ def lookup_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join kind {how!r}")
     keys = [on] if isinstance(on, str) else list(on)
+    _check_keys(fact, dim, keys)
     if is_small(dim, max_rows, max_bytes):
         return fact.join(F.broadcast(dim), keys, how)
     if not skewed:
@@ -79,6 +80,16 @@ def lookup_join(
     return salted_join(fact, dim, keys, how, spread, sketch)
 
 
+def _check_keys(fact: DataFrame, dim: DataFrame, keys: Sequence[str]) -> None:
+    """Keys that could not be hashed alike on both sides are refused, whatever the sizes."""
+    for key in keys:
+        kinds = [df.schema[key].dataType for df in (fact, dim)]
+        if any(isinstance(kind, FractionalType) for kind in kinds):
+            raise ValueError(f"join key {key!r} is fractional: cast it first")
+        if kinds[0] != kinds[1] and not all(isinstance(kind, IntegralType) for kind in kinds):
+            raise ValueError(f"join key {key!r} has different types: {kinds[0]}, {kinds[1]}")
+
+
 def _key_hash(df: DataFrame, keys: Sequence[str]) -> Column:
     """Hash of the key columns, the same for equal keys of different integer types."""
     parts = []

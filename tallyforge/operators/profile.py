@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 from itertools import combinations, combinations_with_replacement
@@ -45,82 +44,23 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
 
 
-def _origins(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
-    """A value of each column to count from: the first one among a few rows. Sums of
-    squares then stay accurate for values far from zero."""
-    sample = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).head(100)
-    return {
-        c: next((r[c] for r in sample if r[c] is not None and math.isfinite(r[c])), 0.0) for c in cols
-    }
-
-
-def _pearson(n, sa, sb, aa, bb, ab, flat: bool) -> float | None:
-    if not n or flat:
-        return None
-    spread = (aa - sa * sa / n) * (bb - sb * sb / n)
-    return (ab - sa * sb / n) / math.sqrt(spread) if spread > 0 else None
-
-
 def _pair_correlations(
     df: DataFrame, pairs: list[tuple[str, str]]
 ) -> dict[tuple[str, str], float | None]:
-    """Pearson correlation of each pair over the rows where both are present; None if one
-    of the two is constant there.
+    """Pearson correlation of each pair over the rows where both are present; None if one of
+    the two is constant there. NaN values give NaN.
 
-    One scan serves all pairs: each column's sums are shared by its pairs, which keeps
-    the aggregate small enough for generated code. Only pairs with a column that turns
-    out to hold nulls need sums of their own, from a second scan.
+    One scan serves all pairs. Spark's covariance and deviations merge centred moments, so
+    values far from zero lose no accuracy.
     """
-    cols = list(dict.fromkeys(c for pair in pairs for c in pair))
-    origin = _origins(df, cols)
-    x = {c: F.col(c).cast("double") - F.lit(origin[c]) for c in cols}
-    at = {c: i for i, c in enumerate(cols)}
-    crossed = [(a, b) for a, b in pairs if a != b]
-    got = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count(c).alias(f"n{i}") for c, i in at.items()],
-        *[F.min(x[c]).alias(f"low{i}") for c, i in at.items()],
-        *[F.max(x[c]).alias(f"high{i}") for c, i in at.items()],
-        *[F.sum(x[c]).alias(f"s{i}") for c, i in at.items()],
-        *[F.sum(x[c] * x[c]).alias(f"q{i}") for c, i in at.items()],
-        *[F.sum(x[a] * x[b]).alias(f"p{at[a]}_{at[b]}") for a, b in crossed],
-    ).first()
-    whole = {c for c, i in at.items() if got[f"n{i}"] == got["n"]}
-    flat = {c for c, i in at.items() if got[f"low{i}"] == got[f"high{i}"]}
-
-    def product(a, b):
-        return got[f"q{at[a]}"] if a == b else got[f"p{at[a]}_{at[b]}"]
-
-    def shared(a, b):
-        i, j = at[a], at[b]
-        return _pearson(
-            got[f"n{i}"], got[f"s{i}"], got[f"s{j}"], got[f"q{i}"], got[f"q{j}"], product(a, b),
-            a in flat or b in flat,
-        )
-
-    gaps = [(a, b) for a, b in pairs if a != b and not (a in whole and b in whole)]
-    found = {(a, b): shared(a, b) for a, b in pairs if (a, b) not in set(gaps)}
-    if gaps:
-        found |= _gapped_correlations(df, gaps, x)
-    return {pair: found[pair] for pair in pairs}
-
-
-def _gapped_correlations(
-    df: DataFrame, pairs: list[tuple[str, str]], x: dict[str, Column]
-) -> dict[tuple[str, str], float | None]:
-    sums = []
+    found = []
     for i, (a, b) in enumerate(pairs):
-        both = x[a].isNotNull() & x[b].isNotNull()
-        xa, xb = F.when(both, x[a]), F.when(both, x[b])
-        parts = {
-            "n": F.count_if(both),
-            "sa": F.sum(xa), "sb": F.sum(xb),
-            "aa": F.sum(xa * xa), "bb": F.sum(xb * xb), "ab": F.sum(xa * xb),
-            "flat": (F.min(xa) == F.max(xa)) | (F.min(xb) == F.max(xb)),
-        }
-        sums.append(F.struct(*[e.alias(k) for k, e in parts.items()]).alias(f"pair{i}"))
-    got = df.agg(*sums).first()
-    return {pair: _pearson(**got[f"pair{i}"].asDict()) for i, pair in enumerate(pairs)}
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        both = x.isNotNull() & y.isNotNull()
+        spread = F.stddev_samp(F.when(both, x)) * F.stddev_samp(F.when(both, y))
+        found.append(F.try_divide(F.covar_samp(x, y), spread).alias(f"pair{i}"))
+    got = df.agg(*found).first() if pairs else []
+    return dict(zip(pairs, got))
 
 
 def corr_target(df: DataFrame, target: str, cols: Sequence[str] | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.features import with_features
 from ..operators.metrics import accuracy
-from ..operators.split import marked, marked_split
+from ..operators.split import marked_split, with_mark
 from ..session import persisted
 
 
@@ -31,8 +31,8 @@ def tree_vs_forest(
     Categories enter as indices with their metadata, so trees split them as sets of
     values; ``bins`` must reach the largest number of categories.
     """
-    data = with_features(df, numeric, categorical, encode=False)
-    columns = [F.col(label).cast("double").alias("label"), "features", *marked(key, holdout, seed)]
+    data = with_features(with_mark(df, key, holdout, seed), numeric, categorical, encode=False)
+    columns = [F.col(label).cast("double").alias("label"), "features", "_held"]
     makers = {
         "tree": DecisionTreeClassifier(maxDepth=depth, maxBins=bins, seed=seed),
         "forest": RandomForestClassifier(maxDepth=depth, numTrees=trees, maxBins=bins, seed=seed),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Row, functions as F
 
 from ..operators.features import feature_stages, with_features
 from ..operators.metrics import accuracy, class_likelihoods, class_rates, confusion, regression_metrics
-from ..operators.split import marked, marked_split, split
+from ..operators.split import marked_split, with_mark
 from ..session import persisted
 
 
@@ -111,9 +111,9 @@ def tune_linreg(
 
     Categories are numbered over the whole table, so none is unknown in the hold-out.
     """
-    data = with_features(df, numeric, categorical)
+    data = with_features(with_mark(df, key, holdout, seed), numeric, categorical)
     columns = [F.col(label).cast("double").alias("label"), "features"]
-    with persisted(data.select(*columns, *marked(key, holdout, seed))) as kept:
+    with persisted(data.select(*columns, "_held")) as kept:
         train, held = marked_split(kept, holdout, seed)
         search = _search(
             LinearRegression(), RegressionEvaluator(metricName="r2"),
@@ -122,7 +122,7 @@ def tune_linreg(
         fitted = search.fit(train)
         best = fitted.bestModel
         report = _regression_report(best, train, held)
-    _, held = split(data.withColumn("label", columns[0]), holdout, key, seed)
+    _, held = marked_split(data.withColumn("label", columns[0]), holdout, seed)
     return Tuned(best, report, _grid_table(df, search, fitted), best.transform(held))
 
 
@@ -145,13 +145,13 @@ def tune_linreg_pipeline(
     """
     label_column = F.col(label).cast("double").alias("label")
     inputs = [c for c in dict.fromkeys([*numeric, *categorical]) if c != "label"]
-    data = df.withColumn("label", label_column)
+    data = with_mark(df, key, holdout, seed).withColumn("label", label_column)
     search = _search(
         LinearRegression(), RegressionEvaluator(metricName="r2"),
         reg, elastic, train_ratio, seed, parallelism,
     )
     stages: list[Estimator] = feature_stages(numeric, categorical, handle_invalid="keep")
-    with persisted(df.select(label_column, *inputs, *marked(key, holdout, seed))) as kept:
+    with persisted(data.select("label", *inputs, "_held")) as kept:
         train, held = marked_split(kept, holdout, seed)
         fitted = Pipeline(stages=[*stages, search]).fit(train)
         *steps, tuned = fitted.stages
@@ -163,7 +163,7 @@ def tune_linreg_pipeline(
             return part.select("label", "features")
 
         report = _regression_report(best, encoded(train), encoded(held))
-    _, held = split(data, holdout, key, seed)
+    _, held = marked_split(data, holdout, seed)
     return Tuned(fitted, report, _grid_table(df, search, tuned), fitted.transform(held))
 
 
@@ -197,9 +197,9 @@ def tune_logreg(
         if metric == "r2"
         else BinaryClassificationEvaluator(metricName=metric)
     )
-    data = with_features(df, numeric, categorical)
+    data = with_features(with_mark(df, key, holdout, seed), numeric, categorical)
     columns = [F.col(label).cast("double").alias("label"), "features"]
-    with persisted(data.select(*columns, *marked(key, holdout, seed))) as kept:
+    with persisted(data.select(*columns, "_held")) as kept:
         train, held = marked_split(kept, holdout, seed)
         search = _search(
             LogisticRegression(), evaluator, reg, elastic, train_ratio, seed, parallelism
@@ -213,7 +213,7 @@ def tune_logreg(
             *_RATES,
         ).first()
         report = _report_table(df, best, metrics, ["accuracy_train", "accuracy_holdout", *_RATES])
-    _, held = split(data.withColumn("label", columns[0]), holdout, key, seed)
+    _, held = marked_split(data.withColumn("label", columns[0]), holdout, seed)
     predictions = best.transform(held)
     return TunedClassifier(
         best, report, _grid_table(df, search, fitted), predictions,

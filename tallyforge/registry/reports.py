@@ -156,7 +156,8 @@ _COUNTRY_SQL = f"list_extract([{_sql_list(_NATION_CODES)}], c_nationkey + 1)"
 
 
 def _nation_code(column):
-    return F.element_at(F.array(*[F.lit(c) for c in _NATION_CODES]), F.col(column) + 1)
+    codes = F.array(*[F.lit(c) for c in _NATION_CODES])
+    return F.when(F.col(column).isNotNull(), F.element_at(codes, F.col(column) + 1))
 
 
 @query(

@@ -27,6 +27,7 @@ def build_session(
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -89,25 +90,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-ROWS_PER_PART = 50_000
-
-
 @contextmanager
 def persisted(df: DataFrame):
     """``df`` kept in memory and on disk while the enclosed actions pass over it many times.
 
-    A table in a few large parts, fewer than there are cores, is dealt out to more of them
-    first. A large table has more parts than that and is never shuffled here; a small one
-    is left alone too, as more tasks would only cost more scheduling.
+    Its partitions stay as they are, whatever the number of rows or cores, since what Spark
+    draws at random depends on them.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        parts = min(cores, kept.count() // ROWS_PER_PART)
-        if kept.rdd.getNumPartitions() < parts:
-            few, kept = kept, kept.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
-            kept.count()
-            few.unpersist()
+        kept.count()
         yield kept
     finally:
         kept.unpersist()

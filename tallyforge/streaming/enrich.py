@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..operators.joins import BROADCAST_ROWS, is_small, salted_join
-from .sinks import append_batches, append_stream
+from .sinks import append_batches
 
 
 def enrich_stream(
@@ -23,13 +23,16 @@ def enrich_stream(
 ) -> StreamingQuery:
     """Start a left join of a stream with a static table into a parquet table at ``path``.
 
-    An unknown id gives null. A small table is broadcast. A larger one is joined batch by
-    batch, where the hot keys of each batch can be found and split.
+    An unknown id gives null. Batches are joined one by one and written to folders of their
+    own (``batch_id``), whatever the size of the table, so it may grow between two runs on one
+    checkpoint. A small table is broadcast; with a larger one the hot keys of each batch are
+    found and split.
     """
-    if is_small(dim, max_rows):
-        return append_stream(stream.join(F.broadcast(dim), key, "left"), path, checkpoint, every)
+    small = is_small(dim, max_rows)
 
     def join(batch: DataFrame) -> DataFrame:
+        if small:
+            return batch.join(F.broadcast(dim), key, "left")
         return salted_join(batch, dim, key, "left", spread)
 
     return append_batches(stream, path, checkpoint, every, join)
