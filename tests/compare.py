@@ -7,7 +7,7 @@ import pandas as pd
 
 def _plain(df: pd.DataFrame) -> list[tuple]:
     def value(x):
-        if x is None or x is pd.NaT or (isinstance(x, float) and x != x):
+        if x is None or x is pd.NaT or x is pd.NA or (isinstance(x, float) and x != x):
             return None
         return x.isoformat() if isinstance(x, pd.Timestamp) else x
 
@@ -23,7 +23,8 @@ def difference(actual: pd.DataFrame, expected: pd.DataFrame) -> str | None:
     kinds = {
         c: (actual[c].dtype, expected[c].dtype)
         for c in actual.columns
-        if actual[c].dtype.kind != expected[c].dtype.kind or actual[c].dtype.itemsize != expected[c].dtype.itemsize
+        if not (actual[c].isna().any() or expected[c].isna().any())  # nulls change pandas' types
+        and (actual[c].dtype.kind != expected[c].dtype.kind or actual[c].dtype.itemsize != expected[c].dtype.itemsize)
     }
     a, b = _plain(actual), _plain(expected)
     if len(a) != len(b):
