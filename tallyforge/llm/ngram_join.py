@@ -34,6 +34,9 @@ WEAK = 2
 #: Bits of the short sketch, per shingle, and at least.
 SHORT_BITS = 2
 SHORT_LEAST = 64
+#: 64-bit words of the sketch that travels with the members of an unsettled bucket; of one
+#: length for all sets, so that any two compare.
+WORDS = 8
 #: Further members that all members of an unsettled bucket are compared with.
 PIVOTS = 3
 
@@ -100,6 +103,12 @@ def short_sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(flips.astype(np.uint8), bitorder="little").view(np.uint64)
 
 
+def fixed_sketch(shingles: np.ndarray) -> np.ndarray:
+    """WORDS words of parity bits, whatever the size of the set."""
+    flips = np.bincount((mix(shingles) % np.uint64(64 * WORDS)).astype(np.int64), minlength=64 * WORDS) & 1
+    return np.packbits(flips.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def folded(sketch: np.ndarray, words: int) -> np.ndarray:
     """Halved by XOR until it has ``words`` words: the sketch with fewer bits of the same set."""
     while len(sketch) > words:
@@ -127,17 +136,21 @@ def _set_id(shingles: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(shingles.tobytes()) - (1 << 63)
 
 
+_FIXED = [f"s{k}" for k in range(WORDS)]
+
+
 def _profiles(plan: Plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets, sizes, sketches = [], [], []
+            sets, sizes, sketches, fixed = [], [], [], []
             for shingles in shingle_sets(batch.column("text"), plan.shingle):
                 sets.append(_set_id(shingles) if len(shingles) else None)
                 sizes.append(len(shingles))
                 sketches.append(short_sketch(shingles).tobytes() if len(shingles) else None)
+                fixed.append(fixed_sketch(shingles))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(sets, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary())],
-                names=["key", "set", "size", "sketch"],
+                [batch.column("key"), pa.array(sets, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary()), *[pa.array([f[k] for f in fixed], pa.int64()) for k in range(WORDS)]],
+                names=["key", "set", "size", "sketch", *_FIXED],
             )
 
     return run
@@ -213,10 +226,10 @@ class _Join:
     def __init__(self, docs: DataFrame, plan: Plan):
         self.plan = plan
         self.docs = docs
-        self.profiles = checkpointed(docs.mapInArrow(_profiles(plan), "key bigint, set bigint, size bigint, sketch binary"))
+        self.profiles = checkpointed(docs.mapInArrow(_profiles(plan), "key bigint, set bigint, size bigint, sketch binary, " + ", ".join(f"{c} bigint" for c in _FIXED)))
         self.sets = checkpointed(
             self.profiles.where("set is not null").groupBy("set")
-            .agg(F.min("key").alias("key"), F.first("size").alias("size"), F.first("sketch").alias("sketch"))
+            .agg(F.min("key").alias("key"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), *[F.first(c).alias(c) for c in _FIXED])
         )
 
     def links(self, pairs: DataFrame) -> DataFrame:
@@ -261,14 +274,30 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return _labelled(_labelled(pairs, labels, "a"), labels, "b").where("in_a <> in_b").select("a", "b")
 
 
+def _bucket_pairs(members: DataFrame, plan: Plan) -> DataFrame:
+    """set and other of the members of a bucket that are in different components and that the
+    sizes and the Hamming distance of their fixed sketches, a lower bound of the difference, do
+    not rule out. The bounds are part of the join's condition, so a large family of documents
+    alike below the threshold is compared, but makes no rows."""
+    left = members.select(*[F.col(c).alias(f"a_{c}" if c in _FIXED else c) for c in ("bucket", "set", "in_set", "size", *_FIXED)])
+    right = members.select(*[F.col(c).alias(f"b_{c}") for c in ("bucket", "set", "in_set", "size", *_FIXED)])
+    apart = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in _FIXED[1:]), F.bit_count(F.col("a_s0").bitwiseXOR(F.col("b_s0"))))
+    fits = (
+        (F.col("bucket") == F.col("b_bucket")) & (F.col("set") < F.col("b_set")) & (F.col("in_set") != F.col("b_in_set"))
+        & (F.least("size", "b_size") * plan.below >= F.greatest("size", "b_size") * plan.above)
+        & (apart * (plan.below + plan.above) <= (F.col("size") + F.col("b_size")) * (plan.below - plan.above))
+    )
+    return left.join(right, fits).select("set", F.col("b_set").alias("other"))
+
+
 def _set_components(join: _Join) -> DataFrame:
     """node and component of every set with a link.
 
     Each bucket's members are first compared with its smallest, then, where the bucket holds
     more than one component, with PIVOTS others picked by hash: both at a cost linear in the
     bucket, and enough to join up a group of near copies. In buckets that still hold more than
-    one component every two members of different components are compared, so that no link is
-    lost; these are the sets that agree in a block and yet have no link.
+    one component every two members of different components are compared (sketches first), so
+    that no link is lost; these are the sets that agree in a block and yet have no link.
     """
     plan, spark = join.plan, join.docs.sparkSession
     edges = spark.createDataFrame([], "a bigint, b bigint")
@@ -290,9 +319,7 @@ def _set_components(join: _Join) -> DataFrame:
                 chosen = shared.groupBy("bucket").agg(some.alias("p")).select("bucket", F.explode(F.array_distinct("p")).alias("p"))
                 joined = shared.join(chosen, "bucket").where("in_set <> p.label").select("set", F.col("p.set").alias("other"))
             else:
-                left = shared.select("bucket", "set", "in_set")
-                right = shared.select("bucket", F.col("set").alias("other"), F.col("in_set").alias("label"))
-                joined = left.join(right, "bucket").where("set < other and in_set <> label")
+                joined = _bucket_pairs(shared.join(join.sets.select("set", "size", *_FIXED), "set"), plan)
             pairs = joined.select(F.least("set", "other").alias("a"), F.greatest("set", "other").alias("b"))
         pairs = checkpointed(pairs.where("a <> b").distinct().join(tried, ["a", "b"], "left_anti"))
         if not pairs.isEmpty():
