@@ -15,7 +15,9 @@ import numpy as np
 import pyarrow as pa
 import pyspark.sql.functions as F
 import pyspark.sql.types as T
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+
+from tallyforge.session import checkpointed
 
 from .textops import ALNUM, Words, pieces
 
@@ -136,8 +138,9 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(raw, -40, 40)))
 
 
-def train(texts: list[np.ndarray], labels: np.ndarray, epochs: int = 6, rate: float = 0.01, decay: float = 1e-4, **shape) -> Model:
-    """``texts`` holds the word features of each text. Adam on logistic loss, both labels
+def train(texts: list[np.ndarray], labels: np.ndarray, epochs: int = 6, rate: float = 0.01, decay: float = 1e-4, languages: np.ndarray | None = None, **shape) -> Model:
+    """``texts`` holds the word features of each text, of which only the leading bits are used
+    if ``languages`` (the number of each text's language) is given. Adam on logistic loss, both labels
     weighing the same, a third of the words' own buckets left out at random at each step; a
     fifth of the texts is kept back for the thresholds. With one label only (or no texts) every
     score is on that label's side of 0.5 (or 0.5)."""
@@ -196,16 +199,17 @@ def train(texts: list[np.ndarray], labels: np.ndarray, epochs: int = 6, rate: fl
                 second[k] += 0.01 * (pull[k] ** 2 - second[k])
                 v -= rate * (first[k] / (1 - 0.9**step) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8) + decay * v)
             model.offset -= rate * float(np.sign(error.sum()))
-    _calibrate(model, [texts[i] for i in held], labels[held])
+    _calibrate(model, [texts[i] for i in held], labels[held], None if languages is None else languages[held])
     return model
 
 
-def _calibrate(model: Model, texts: list[np.ndarray], labels: np.ndarray, least: int = 20) -> None:
+def _calibrate(model: Model, texts: list[np.ndarray], labels: np.ndarray, language: np.ndarray | None = None, least: int = 20) -> None:
     """For each language the threshold with the fewest errors on texts not trained on, in the
     middle of its gap; a language with too few of either label keeps that of all texts."""
     row = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
     hashes = np.concatenate(texts)
-    raw, language = model.raw(hashes, row), model.languages(hashes[:, 0], row)
+    raw = model.raw(hashes, row)
+    language = model.languages(hashes[:, 0], row) if language is None else language
 
     def best(mask: np.ndarray) -> float | None:
         value, label = raw[mask], labels[mask]
@@ -232,8 +236,9 @@ def fold_of(key: F.Column) -> F.Column:
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     """Train on labelled texts outside fold 0. At most SAMPLE_ROWS of them (those with the
     smallest hash of the key, so the same at any layout) and SAMPLE_WORDS of their words are
-    fetched as word hashes; nothing else reaches the driver. Null texts, keys and labels teach
-    nothing. Conflicting labels of a key: the larger counts."""
+    fetched, as the 16 leading bits of each word hash; nothing else reaches the driver. Null
+    texts, keys and labels teach nothing. Conflicting labels of a key: the larger counts; of
+    several texts with one key, the one whose hashes sort first."""
     marks = (
         labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & (fold_of(F.col(key)) != 0))
         .groupBy(F.col(key).alias("tf_key")).agg(F.max(label).cast("int").alias("tf_label"))
@@ -242,25 +247,28 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     chosen = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("tf_key"), F.col(text).alias("tf_text")).join(F.broadcast(marks), "tf_key")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model()
         for batch in batches:
-            out = []
+            out, language = [], []
             for _, _, raw, at in pieces(batch.column("tf_text")):
                 words = Words(raw, at, ALNUM)
                 hashes = features(words)
-                out += [hashes[a:b].tobytes() for a, b in zip(words.row[:-1], words.row[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column("tf_key"), batch.column("tf_label"), pa.array(out, pa.binary())], names=["tf_key", "tf_label", "words"])
-
-    found = chosen.select("tf_key", "tf_label", "tf_text").mapInArrow(hashed, T.StructType([chosen.schema["tf_key"], T.StructField("tf_label", T.IntegerType()), T.StructField("words", T.BinaryType())]))
-    ordered = found.select("*", F.sum(F.octet_length("words")).over(_running()).alias("so_far")).where(F.col("so_far") <= 8 * (1 + len(PREFIXES)) * SAMPLE_WORDS)
-    rows = ordered.select("tf_label", "words").collect()
-    return train([np.frombuffer(r.words, np.uint64).reshape(-1, 1 + len(PREFIXES)) for r in rows], np.array([r.tf_label for r in rows], np.int64))
-
-
-def _running():
-    """Over the bounded sample only: at most SAMPLE_ROWS rows (and their repeated keys)."""
-    from pyspark.sql import Window
-
-    return Window.orderBy(F.xxhash64("tf_key"), "tf_key", "words").rowsBetween(Window.unboundedPreceding, 0)
+                language += model.languages(hashes[:, 0], words.row).tolist()
+                short = (hashes >> np.uint64(48)).astype(np.uint16)
+                out += [short[a:b].tobytes() for a, b in zip(words.row[:-1], words.row[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column("tf_key"), batch.column("tf_label"), pa.array(language, pa.int32()), pa.array(out, pa.binary())], names=["tf_key", "tf_label", "language", "words"])
+
+    kind = T.StructType([chosen.schema["tf_key"], T.StructField("tf_label", T.IntegerType()), T.StructField("language", T.IntegerType()), T.StructField("words", T.BinaryType())])
+    found = chosen.select("tf_key", "tf_label", "tf_text").mapInArrow(hashed, kind)
+    found = checkpointed(found.groupBy("tf_key").agg(F.min(F.struct("words", "language", "tf_label")).alias("w")).select("tf_key", "w.*"))
+    # Narrow rows, at most SAMPLE_ROWS of them, decide which texts still fit.
+    width = 2 * (1 + len(PREFIXES))
+    fitting = found.select("tf_key", F.sum(F.octet_length("words")).over(Window.orderBy(F.xxhash64("tf_key"), "tf_key").rowsBetween(Window.unboundedPreceding, 0)).alias("so_far"))
+    fitting = fitting.where(F.col("so_far") <= width * SAMPLE_WORDS).select("tf_key")
+    rows = found.join(F.broadcast(fitting), "tf_key").toArrow()
+    rows = rows.sort_by("tf_key")
+    texts = [np.frombuffer(w, np.uint16).reshape(-1, 1 + len(PREFIXES)).astype(np.uint64) << np.uint64(48) for w in rows.column("words").to_pylist()]
+    return train(texts, rows.column("tf_label").to_numpy().astype(np.int64), languages=rows.column("language").to_numpy())
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, prefix: str = "") -> DataFrame:
