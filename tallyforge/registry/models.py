@@ -674,7 +674,7 @@ def _ratings(spark, sf):
     orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     return (
         lookup_join(lines, orders, "o_orderkey", spread=["l_partkey", "l_linenumber", "l_suppkey"])
-        .groupBy(F.col("o_custkey").cast("int").alias("userId"), F.col("l_partkey").cast("int").alias("courseId"))
+        .groupBy(F.col("o_custkey").alias("userId"), F.col("l_partkey").alias("courseId"))
         .agg(F.sum("l_quantity").alias("rating"))
     )
 
@@ -687,7 +687,7 @@ def als_top5(spark, sf):
 @query(
     "recs_with_history",
     """
-    SELECT CAST(o_custkey AS INTEGER) AS userId, CAST(l_partkey AS INTEGER) AS courseId,
+    SELECT o_custkey AS userId, l_partkey AS courseId,
            sum(l_quantity) AS rating, 5 AS recommended
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL
     """,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import columns as C
+from ..functions import columns as C, udfs
 from ..operators import crosstab, popularity as pop, profile, text
 from ..operators.joins import lookup_join
 from ..sources.tables import literal_table, read_table, register_view
@@ -35,6 +35,15 @@ def level_month_sql(spark, sf):
     return crosstab.month_counts_sql(spark, "logs_by_month")
 
 
+@query("level_month_udf", _MONTH_COUNTS_SQL)
+def level_month_udf(spark, sf):
+    """The same report, put in calendar order by the function registered for SQL."""
+    udfs.register(spark)
+    counts = crosstab.month_counts(read_table(spark, sf, "orders"), "o_orderpriority", "o_orderdate")
+    register_view(counts, "level_months")
+    return spark.sql("SELECT * FROM level_months ORDER BY getMonthNumber(month), level")
+
+
 @query(
     "month_numbers",
     "SELECT o_orderkey, strftime(o_orderdate, '%B') AS month_name, "
@@ -160,17 +169,17 @@ def _nation_code(column):
     return F.when(F.col(column).isNotNull(), F.element_at(codes, F.col(column) + 1))
 
 
-@query(
-    "category_regroup",
-    f"""
+_REGROUP_SQL = f"""
     WITH coded AS (SELECT c_custkey, {_COUNTRY_SQL} AS country FROM customer)
     SELECT c_custkey, country,
            CASE WHEN country IN ({_sql_list(C.KEPT_COUNTRIES)}) THEN country
                 WHEN country IN ({_sql_list(C.EUROPEAN_COUNTRIES)}) THEN 'EUROPE'
                 ELSE 'OTHER' END AS country_group
     FROM coded
-    """,
-)
+    """
+
+
+@query("category_regroup", _REGROUP_SQL)
 def category_regroup(spark, sf):
     coded = read_table(spark, sf, "customer").select(
         "c_custkey", _nation_code("c_nationkey").alias("country")
@@ -178,6 +187,15 @@ def category_regroup(spark, sf):
     return coded.withColumn("country_group", C.country_group("country"))
 
 
+@query("category_regroup_udf", _REGROUP_SQL)
+def category_regroup_udf(spark, sf):
+    """The same groups by the function registered for SQL."""
+    udfs.register(spark)
+    coded = read_table(spark, sf, "customer").select("c_custkey", _nation_code("c_nationkey").alias("country"))
+    register_view(coded, "coded_customers")
+    return spark.sql("SELECT c_custkey, country, countryGrouping(country) AS country_group FROM coded_customers")
+
+
 @query(
     "literal_lookup",
     """
@@ -331,6 +349,17 @@ def partition_profile(spark, sf):
     return parts.groupBy("event_type").agg(F.sum("rows").alias("rows"))
 
 
+@query(
+    "partition_counts",
+    "SELECT 'dealt' AS step, CAST(7 AS BIGINT) AS partitions, count(*) AS rows FROM events "
+    "UNION ALL SELECT 'merged', 3, count(*) FROM events",
+)
+def partition_counts(spark, sf):
+    """Partitions of the events dealt out in turn, and after merging neighbours."""
+    dealt = read_table(spark, sf, "events").select("event_type").repartition(7)
+    return profile.partition_counts({"dealt": dealt, "merged": dealt.coalesce(3)})
+
+
 _NUMERIC = ("l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 

@@ -295,6 +295,27 @@ def test_recommendations(spark):
         assert len(values) == 5 and values == sorted(values, reverse=True)
 
 
+def test_recommendations_for_keys_beyond_integers_and_some_users(spark):
+    far = 3_000_000_000
+    rows = [(far + u, far * 2 + i, float((u * i) % 5 + 1)) for u in range(6) for i in range(4)]
+    rows += [(None, far, 1.0), (far, None, 1.0)]
+    table = spark.createDataFrame(rows, "userId long, courseId long, rating double")
+    asked = spark.createDataFrame([(far + 1,), (far + 1,), (far + 4,), (7,)], "userId long")
+    everyone = {r["userId"]: r["recommendations"] for r in recommend.recommend(table, 2).collect()}
+    some = {r["userId"]: r["recommendations"] for r in recommend.recommend(table, 2, users=asked).collect()}
+    assert set(everyone) == {far + u for u in range(6)} and set(some) == {far + 1, far + 4}
+    for u, found in some.items():
+        assert [x["courseId"] for x in found] == [x["courseId"] for x in everyone[u]]
+        assert all(x["courseId"] >= 2 * far for x in found)
+
+
+def test_dense_ids_follow_the_order_of_the_keys(spark):
+    table = spark.range(0, 500).selectExpr("7 * id + 3000000000 AS k").repartition(9)
+    rows = recommend.dense_ids(table.union(table), "k", "n").collect()
+    assert sorted((r["k"], r["n"]) for r in rows) == [(7 * i + 3_000_000_000, i) for i in range(500)]
+    assert recommend.dense_ids(table.limit(0), "k", "n").count() == 0
+
+
 def test_recommendations_are_the_best_of_the_factors(spark):
     model = recommend.fit_ratings(ratings(spark))
     users = dict(rows(model.userFactors))
