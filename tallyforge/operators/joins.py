@@ -19,6 +19,7 @@ from pyspark.sql.types import (
     MapType,
     StringType,
     StructType,
+    UserDefinedType,
 )
 
 BROADCAST_ROWS = 500_000
@@ -36,8 +37,9 @@ def measured_size(df: DataFrame) -> tuple[int, int]:
     """
     lengths = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, (ArrayType, MapType, StructType)):
-            lengths.append(F.octet_length(F.to_json(F.struct(f.name))))
+        if isinstance(f.dataType, (ArrayType, MapType, StructType, UserDefinedType)):
+            # A number takes two bytes of JSON at least, and 16 in memory at most.
+            lengths.append(8 * F.octet_length(F.to_json(F.struct(f.name))))
         elif isinstance(f.dataType, (StringType, BinaryType)):
             lengths.append(F.octet_length(f.name))
     lengths = [F.coalesce(F.sum(n), F.lit(0)) for n in lengths]

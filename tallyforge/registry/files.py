@@ -56,8 +56,7 @@ def csv_infer(spark, sf):
 @query("csv_glob", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def csv_glob(spark, sf):
     path = scratch_path(spark, "csv_glob")
-    suppliers = read_table(spark, sf, "supplier")
-    suppliers.repartition(4, "s_suppkey").write.option("header", True).csv(path)
+    read_table(spark, sf, "supplier").write.option("header", True).csv(path)
     return read_csv(
         spark, f"{path}/*.csv", "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"
     )

@@ -1,6 +1,8 @@
 """Lookup joins must give the plain join's rows, whichever way they are carried out."""
 
+import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tallyforge.operators import joins
@@ -114,3 +116,11 @@ def test_measured_size(spark):
 def test_unsupported_join_kind(tables):
     with pytest.raises(ValueError):
         joins.lookup_join(*tables, "k", "full")
+
+
+def test_size_of_vectors_and_arrays_is_counted(spark):
+    rows = [(i, Vectors.dense(np.random.default_rng(i).random(5000)), [0] * 5000) for i in range(10)]
+    table = spark.createDataFrame(rows, ["k", "v", "a"])
+    for column in ("v", "a"):
+        n, size = joins.measured_size(table.select("k", column))
+        assert n == 10 and size >= 10 * 5000 * 8
