@@ -205,9 +205,8 @@ def feature_vector(spark, sf):
     """,
 )
 def split_sizes(spark, sf):
-    train, held = split.key_split(read_table(spark, sf, "orders"), "o_orderkey", 0.2, seed=7)
-    both = train.withColumn("part", F.lit("train")).unionAll(held.withColumn("part", F.lit("holdout")))
-    return both.groupBy("part").agg(
+    marked = split.with_mark(read_table(spark, sf, "orders"), "o_orderkey", 0.2, seed=7)
+    return marked.groupBy(F.when(F.col("_held"), "holdout").otherwise("train").alias("part")).agg(
         F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("key_sum")
     )
 

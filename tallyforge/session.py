@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable
@@ -71,7 +72,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("spark.checkpoint.dir must name a folder all executors can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyforge-"))
     return context.getCheckpointDir().rstrip("/")
