@@ -114,7 +114,7 @@ def user_item_pivot(spark, sf):
     lines = read_table(spark, sf, "lineitem").withColumnRenamed("l_partkey", "p_partkey")
     brands = read_table(spark, sf, "part").select("p_partkey", "p_brand")
     joined = lookup_join(lines, brands, "p_partkey", spread=_LINE)
-    return crosstab.pivot_sum(joined, "l_suppkey", "p_brand", "l_quantity", _BRANDS)
+    return crosstab.pivot_sum(joined, "l_suppkey", "p_brand", "l_quantity")
 
 
 # --- projections and predicates ---------------------------------------------------
