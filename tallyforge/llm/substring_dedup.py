@@ -32,6 +32,12 @@ REACH = PARAGRAPH + WINNOW - 1
 #: 1 - (1 - 0.8^2)^2 = 87 %, and a passage of 60 words has several paragraphs.
 BANDS = 2
 ROWS = 2
+#: The last bits of a bucket are the number of its band.
+BAND_MASK = 7
+#: Further members that all members of an unsettled bucket are compared with.
+PIVOTS = 3
+#: Contents a task remembers, to send copies once.
+SEEN = 200_000
 BROADCAST_ROWS = 500_000
 
 
@@ -83,33 +89,69 @@ def _signed(values: np.ndarray) -> pa.Array:
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """bucket (its last bits are the band), content and doc. Of the holders of a content in one
+    task two different documents are enough here: all are looked up once passages are known."""
+    seen: dict[int, int | None] = {}
     for batch in batches:
         keys = batch.column("key").to_numpy(zero_copy_only=False)
         for first, end, raw, at in pieces(batch.column("text")):
             found = Paragraphs(Words(raw, at, SPACED))
             owner = keys[first:end][found.text]
+            keep = []
+            for n, (content, doc) in enumerate(zip(found.content.tolist(), owner.tolist())):
+                if content not in seen:
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen[content] = doc
+                elif seen[content] is None or seen[content] == doc:
+                    continue
+                else:
+                    seen[content] = None
+                keep.append(n)
+            keep = np.array(keep, np.int64)
+            buckets = (found.keys[:, keep] & ~np.uint64(BAND_MASK)) | np.arange(BANDS, dtype=np.uint64)[:, None]
             yield pa.RecordBatch.from_arrays(
-                [_signed(found.keys.ravel()), pa.array(np.tile(owner, BANDS), pa.int64()), pa.array(np.tile(found.first_word(), BANDS).astype(np.int32)), _signed(np.tile(found.content, BANDS))],
-                names=["bucket", "doc", "at", "content"],
+                [_signed(buckets.ravel()), _signed(np.tile(found.content[keep], BANDS)), pa.array(np.tile(owner[keep], BANDS), pa.int64())],
+                names=["bucket", "content", "doc"],
             )
 
 
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every paragraph: doc, at, content."""
+    for batch in batches:
+        keys = batch.column("key").to_numpy(zero_copy_only=False)
+        for first, end, raw, at in pieces(batch.column("text")):
+            found = Paragraphs(Words(raw, at, SPACED), bands=False)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[first:end][found.text], pa.int64()), pa.array(found.first_word().astype(np.int32)), _signed(found.content)],
+                names=["doc", "at", "content"],
+            )
+
+
+def _sketch(shingles: np.ndarray) -> int:
+    """64 parity bits: those of two sets differ in no more places than the sets in shingles."""
+    flips = np.bincount((mix(shingles) % np.uint64(64)).astype(np.int64), minlength=64) & 1
+    return int(np.packbits(flips.astype(np.uint8), bitorder="little").view(np.int64)[0])
+
+
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """content and distinct shingles of the wanted places of each text."""
+    """content, distinct shingles and their sketch of the wanted contents of each text."""
     for batch in batches:
-        contents, shingles = [], []
+        contents, shingles, sketches = [], [], []
         wanted = batch.column("wanted").to_pylist()
         for first, end, raw, at in pieces(batch.column("text")):
             found = Paragraphs(Words(raw, at, SPACED), bands=False)
-            place = found.first_word()
             for k in range(first, end):
                 own = slice(*np.searchsorted(found.text, [k - first, k - first + 1]))
-                asked = {(w["at"], w["content"]) for w in wanted[k]}
-                for p, c, s in zip(place[own].tolist(), found.content[own].view(np.int64).tolist(), found.at[own].tolist()):
-                    if (p, c) in asked:
+                asked = set(wanted[k])
+                for c, s in zip(found.content[own].view(np.int64).tolist(), found.at[own].tolist()):
+                    if c in asked:
+                        asked.remove(c)
+                        distinct = np.unique(found.shingles[s : s + PARAGRAPH - SHINGLE + 1])
                         contents.append(c)
-                        shingles.append(np.unique(found.shingles[s : s + PARAGRAPH - SHINGLE + 1]).view(np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(contents, pa.int64()), pa.array(shingles, pa.list_(pa.int64()))], names=["content", "shingles"])
+                        shingles.append(distinct.view(np.int64))
+                        sketches.append(_sketch(distinct))
+        yield pa.RecordBatch.from_arrays([pa.array(contents, pa.int64()), pa.array(shingles, pa.list_(pa.int64())), pa.array(sketches, pa.int64())], names=["content", "shingles", "sketch"])
 
 
 def _bounded(df: DataFrame) -> DataFrame:
@@ -118,30 +160,89 @@ def _bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept
 
 
+def _similar(pairs: DataFrame, sets: DataFrame, above: float) -> DataFrame:
+    """The pairs (a, b) of contents whose shingles are similar."""
+    side = lambda c, s: sets.select(F.col("content").alias(c), F.col("s").alias(s))
+    both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
+    common = F.size(F.array_intersect("x", "y"))
+    return both.where(common >= F.lit(above) * (F.size("x") + F.size("y") - common)).select("a", "b")
+
+
+def _member_pairs(members: DataFrame, above: float) -> DataFrame:
+    """a and b of the members of a bucket that are in different components and that the Hamming
+    distance of their sketches, a lower bound of the difference, does not rule out. The bounds
+    are part of the join's condition: paragraphs alike below the threshold make no rows."""
+    names = ("bucket", "content", "low", "high", "label", "n", "sketch")
+    left, right = (members.select(*[F.col(c).alias(f"{side}_{c}") for c in names]) for side in "ab")
+    apart = F.bit_count(F.col("a_sketch").bitwiseXOR(F.col("b_sketch")))
+    fits = (
+        (F.col("a_bucket") == F.col("b_bucket")) & (F.col("a_content") < F.col("b_content")) & (F.col("a_label") != F.col("b_label"))
+        & (F.least("a_low", "b_low") != F.greatest("a_high", "b_high"))
+        & (apart * (1 + above) <= (F.col("a_n") + F.col("b_n")) * (1 - above) + 1e-6)
+    )
+    return left.join(right, fits).select(F.col("a_content").alias("a"), F.col("b_content").alias("b"))
+
+
+def _passages(members: DataFrame, sets: DataFrame, above: float) -> DataFrame:
+    """node and component of every content that is similar to one of another document.
+
+    The members of a bucket are first compared with its first holder, then, where the bucket
+    holds more than one component, with PIVOTS others picked by hash, both at a cost linear in
+    the bucket. In buckets that still hold more than one, every two members of different
+    components are compared (sketches first). Contents of one and the same document are never
+    linked to each other: its windows overlap.
+    """
+    spark, whole = members.sparkSession, Window.partitionBy("bucket")
+    edges = spark.createDataFrame([], "a bigint, b bigint")
+    labels = spark.createDataFrame([], "node bigint, component bigint")
+    tried = edges
+    for step in ("first", "pivots", "all"):
+        known = labels.select(F.col("node").alias("content"), "component")
+        placed = members.drop("label").join(known, "content", "left").withColumn("label", F.coalesce("component", "content")).drop("component")
+        ends = placed.select("*", F.min("label").over(whole).alias("least"), F.max("label").over(whole).alias("most"), F.min("low").over(whole).alias("from"), F.max("high").over(whole).alias("to"))
+        members = checkpointed(ends.where("least <> most and from <> to").select("bucket", "content", "low", "high", "label"))
+        if step == "all":
+            joined = _member_pairs(members.join(sets.select("content", F.size("s").alias("n"), "sketch"), "content"), above)
+        else:
+            chosen = F.struct("content", "low", "high", "label")
+            if step == "first":
+                some = F.array(F.min_by(chosen, F.struct("low", "content")))
+            else:
+                some = F.array(*[F.min_by(chosen, F.xxhash64("content", F.lit(k))) for k in range(PIVOTS)])
+            pivots = members.groupBy("bucket").agg(some.alias("p")).select("bucket", F.explode(F.array_distinct("p")).alias("p"))
+            met = members.join(pivots, "bucket").where(F.col("label") != F.col("p.label")).where(F.least("low", "p.low") != F.greatest("high", "p.high"))
+            joined = met.select(F.least("content", "p.content").alias("a"), F.greatest("content", "p.content").alias("b"))
+        pairs = checkpointed(joined.distinct().join(tried, ["a", "b"], "left_anti"))
+        if not pairs.isEmpty():
+            tried = tried.union(pairs)
+            edges = checkpointed(edges.union(_similar(pairs, sets, above)))
+            labels = components(edges)
+    return labels
+
+
 def repeated(docs: DataFrame, key: str, text: str, above: float = 0.8) -> DataFrame:
     """doc, at, content and first: each paragraph that an earlier document holds, and which."""
     base = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
-    units = base.mapInArrow(_units, "bucket bigint, doc bigint, at int, content bigint")
+    units = base.mapInArrow(_units, "bucket bigint, content bigint, doc bigint")
     whole = Window.partitionBy("bucket")
     shared = units.select(
-        "doc", "at", "content", F.min(F.struct("doc", "at", "content")).over(whole).alias("a"), F.max("doc").over(whole).alias("last")
-    ).where("a.doc <> last")
-    shared = checkpointed(shared.select("doc", "at", "content", F.col("a.content").alias("other")))
-    pairs = checkpointed(shared.where("content <> other").select(F.col("other").alias("a"), F.col("content").alias("b")).distinct())
+        "bucket", "content", "doc", F.min("doc").over(whole).alias("from"), F.max("doc").over(whole).alias("to"),
+        (F.min("content").over(whole) != F.max("content").over(whole)).alias("mixed"),
+    ).where(F.col("from") != F.col("to")).where(F.col("mixed") | (F.col("bucket").bitwiseAND(F.lit(BAND_MASK)) == 0))
+    shared = checkpointed(shared.groupBy("bucket", "content", "mixed").agg(F.min("doc").alias("low"), F.max("doc").alias("high")))
+    members = shared.where("mixed").select("bucket", "content", "low", "high")
     labels = docs.sparkSession.createDataFrame([], "node bigint, component bigint")
-    if not pairs.isEmpty():
-        places = shared.groupBy("content").agg(F.min(F.struct("doc", "at")).alias("p"))
-        asked = pairs.select(F.col("a").alias("content")).union(pairs.select("b")).distinct()
-        wanted = asked.join(places, "content").groupBy("p.doc").agg(F.collect_list(F.struct("p.at", "content")).alias("wanted"))
+    if not members.isEmpty():
+        wanted = members.select("low", "content").distinct().groupBy(F.col("low").alias("doc")).agg(F.collect_list("content").alias("wanted"))
         sets = base.join(_bounded(wanted), F.col("key") == F.col("doc")).select("text", "wanted")
-        sets = checkpointed(sets.mapInArrow(_extract, "content bigint, shingles array<bigint>").groupBy("content").agg(F.first("shingles").alias("s")))
-        both = pairs.join(sets.select(F.col("content").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("content").alias("b"), F.col("s").alias("y")), "b")
-        common = F.size(F.array_intersect("x", "y"))
-        similar = both.where(common >= F.lit(above) * (F.size("x") + F.size("y") - common)).select("a", "b")
-        labels = components(similar)
+        sets = sets.mapInArrow(_extract, "content bigint, shingles array<bigint>, sketch bigint")
+        sets = checkpointed(sets.groupBy("content").agg(F.first("shingles").alias("s"), F.first("sketch").alias("sketch")))
+        labels = _passages(members, sets, above)
+    copies = shared.where("low <> high").select("content").distinct()
     known = labels.select(F.col("node").alias("content"), "component")
-    placed = shared.select("doc", "at", "content").distinct().join(known, "content", "left").withColumn("passage", F.coalesce("component", "content"))
-    placed = checkpointed(placed.select("doc", "at", "content", "passage"))
+    passages = copies.join(known, "content", "full").select("content", F.coalesce("component", "content").alias("passage"))
+    places = base.mapInArrow(_places, "doc bigint, at int, content bigint")
+    placed = checkpointed(places.join(_bounded(passages), "content"))
     firsts = placed.groupBy("passage").agg(F.min("doc").alias("first"))
     return placed.join(firsts, "passage").where("doc <> first").select("doc", "at", "content", "first")
 
@@ -158,8 +259,9 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", above
     never a passage of their own. Long texts are worked on whole. An empty table gives no rows;
     a column with the name of a new one is an error.
 
-    One shuffle of narrow rows, about a fifth of a row per word. A passage that very many
-    documents share is compared with its first holder only, so its cost is linear.
+    One shuffle of narrow rows, BANDS / 8 of a row per word. Copies of a paragraph are sent once
+    by each task. Different paragraphs of a bucket are compared with a few of its members, at a
+    linear cost, and what is then still unconnected pair by pair (sketches first).
     """
     new = [prefix + c for c in ("n_words", "n_removed", "kept_in")]
     if clash := set(docs.columns) & set(new):

@@ -1,9 +1,12 @@
+import itertools
 import random
 
+import numpy as np
 import pytest
 
 from tallyforge.llm import substring_dedup
 from tallyforge.llm.queries import QUERIES
+from tallyforge.llm.textops import SPACED, Words
 
 
 def words(r, n):
@@ -74,3 +77,54 @@ def test_odd_rows(spark):
     gone = sorted((x.doc_id or 0, x.x_n_removed > 0, x.x_kept_in) for x in found)
     assert gone == [(0, False, []), (1, False, []), (2, False, []), (3, False, []), (3, False, []), (4, True, [3]), (5, False, []), (6, True, [3]), (7, False, []), (7, True, [3])]
     assert substring_dedup.deduplicated(df.limit(0), prefix="x_").count() == 0
+
+
+def template_documents(r, n):
+    """Texts that share a template below the threshold, each with a near copy further on."""
+    template = words(r, 60).split()
+    docs = {}
+    for k in range(n):
+        own = [w if r.random() > 0.04 else f"o{r.randrange(10**7)}" for w in template] if k % 2 else words(r, 60).split()
+        near = own[:]
+        near[r.randrange(60)] = "changed"
+        docs[k], docs[1000 + k] = " ".join(own), " ".join(near)
+    return docs
+
+
+def brute_force(docs, colliding):
+    """(doc, at) of the paragraphs to be cut, over all pairs of different documents, or those
+    with a band in common."""
+    units, contents = [], {}
+    for doc, text in docs.items():
+        raw = np.frombuffer(text.encode(), np.uint8)
+        found = substring_dedup.Paragraphs(Words(raw, np.array([0, len(raw)]), SPACED))
+        for k, at in enumerate(found.at.tolist()):
+            shingles = frozenset(found.shingles[at : at + substring_dedup.PARAGRAPH - substring_dedup.SHINGLE + 1].tolist())
+            units.append((doc, at, int(found.content[k]), shingles, found.keys[:, k]))
+            contents.setdefault(int(found.content[k]), units[-1])
+    root = {c: c for c in contents}
+
+    def top(c):
+        while root[c] != c:
+            c = root[c]
+        return c
+
+    holders = {}
+    for u in units:
+        holders.setdefault(u[2], set()).add(u[0])
+    for x, y in itertools.combinations(contents.values(), 2):
+        common = len(x[3] & y[3])
+        if common >= 0.8 * (len(x[3]) + len(y[3]) - common) and len(holders[x[2]] | holders[y[2]]) > 1 and (not colliding or (x[4] == y[4]).any()):
+            root[top(x[2])] = top(y[2])
+    first = {}
+    for doc, _, c, *_ in units:
+        first[top(c)] = min(first.get(top(c), doc), doc)
+    return {(doc, at) for doc, at, c, *_ in units if doc != first[top(c)]}
+
+
+def test_members_of_a_bucket_meet(spark):
+    """Near copies whose bucket has an unlike paragraph as its first holder."""
+    docs = template_documents(random.Random(11), 150)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(4)
+    found = {(x.doc, x["at"]) for x in substring_dedup.repeated(df, "doc_id", "text").collect()}
+    assert found == brute_force(docs, colliding=True)
