@@ -28,9 +28,9 @@ PARAGRAPH = 32
 WINNOW = 16
 #: Any passage of so many words shared word by word is found.
 REACH = PARAGRAPH + WINNOW - 1
-#: Bands of ROWS MinHash values: at a similarity of 0.8 one paragraph collides with
-#: 1 - (1 - 0.8^2)^2 = 87 %, and a passage of 60 words has several paragraphs.
-BANDS = 2
+#: Bands of ROWS MinHash values: at a similarity of 0.8 one pair of paragraphs collides with
+#: 1 - (1 - 0.8^2)^5 = 99.4 %.
+BANDS = 5
 ROWS = 2
 #: The last bits of a bucket are the number of its band.
 BAND_MASK = 7
