@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyspark.sql.functions as F
 import pyspark.sql.types as T
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 
 from tallyforge.session import checkpointed
 
@@ -65,6 +65,8 @@ class Model:
     bias: dict[int, np.ndarray] = field(init=False)
     out: np.ndarray = field(init=False)
     offset: float = 0.0
+    #: False where there was no text to train on: every score is 0.5 then.
+    trained: bool = True
     floor: np.ndarray = field(init=False)
 
     def __post_init__(self):
@@ -148,6 +150,7 @@ def train(texts: list[np.ndarray], labels: np.ndarray, epochs: int = 6, rate: fl
     if len(set(labels.tolist())) < 2:
         model.out[:] = 0
         model.offset = 0.0 if not len(labels) else (4.0 if labels[0] else -4.0)
+        model.trained = len(labels) > 0
         return model
     r = np.random.default_rng(model.seed)
     order = r.permutation(len(texts))
@@ -236,7 +239,8 @@ def fold_of(key: F.Column) -> F.Column:
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     """Train on labelled texts outside fold 0. At most SAMPLE_ROWS of them (those with the
     smallest hash of the key, so the same at any layout) and SAMPLE_WORDS of their words are
-    fetched, as the 16 leading bits of each word hash; nothing else reaches the driver. Null
+    fetched, as the 16 leading bits of each word hash; nothing else reaches the driver. A text
+    that does not fit what is left of SAMPLE_WORDS is passed over alone. Null
     texts, keys and labels teach nothing. Conflicting labels of a key: the larger counts; of
     several texts with one key, the one whose hashes sort first."""
     marks = (
@@ -261,10 +265,16 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     kind = T.StructType([chosen.schema["tf_key"], T.StructField("tf_label", T.IntegerType()), T.StructField("language", T.IntegerType()), T.StructField("words", T.BinaryType())])
     found = chosen.select("tf_key", "tf_label", "tf_text").mapInArrow(hashed, kind)
     found = checkpointed(found.groupBy("tf_key").agg(F.min(F.struct("words", "language", "tf_label")).alias("w")).select("tf_key", "w.*"))
-    # Narrow rows, at most SAMPLE_ROWS of them, decide which texts still fit.
+    # At most SAMPLE_ROWS narrow rows decide on the driver which texts fit: one that does not is
+    # passed over, and those after it are tried.
     width = 2 * (1 + len(PREFIXES))
-    fitting = found.select("tf_key", F.sum(F.octet_length("words")).over(Window.orderBy(F.xxhash64("tf_key"), "tf_key").rowsBetween(Window.unboundedPreceding, 0)).alias("so_far"))
-    fitting = fitting.where(F.col("so_far") <= width * SAMPLE_WORDS).select("tf_key")
+    sizes = found.select("tf_key", F.octet_length("words").alias("n")).orderBy(F.xxhash64("tf_key"), "tf_key").collect()
+    chosen, left = [], width * SAMPLE_WORDS
+    for own, n in sizes:
+        if n <= left:
+            chosen.append((own,))
+            left -= n
+    fitting = docs.sparkSession.createDataFrame(chosen, T.StructType([found.schema["tf_key"]]))
     rows = found.join(F.broadcast(fitting), "tf_key").toArrow()
     rows = rows.sort_by("tf_key")
     texts = [np.frombuffer(w, np.uint16).reshape(-1, 1 + len(PREFIXES)).astype(np.uint64) << np.uint64(48) for w in rows.column("words").to_pylist()]

@@ -1,4 +1,5 @@
 import hashlib
+import zlib
 
 import corpus_pipeline
 
@@ -20,3 +21,12 @@ def test_stages_on_given_table(spark, tmp_path):
     assert last.keys() == ids
     for r in docs.collect():
         assert last[r.doc_id].decoded_sha256 == hashlib.sha256(r.text.encode()).hexdigest()
+
+
+def test_no_training_text_keeps_all(spark, tmp_path):
+    """Labels that are missing, null, held out or of no document."""
+    docs = spark.createDataFrame([(k, f"some text {k}") for k in range(20)], "doc_id long, text string")
+    held = next(k for k in range(20) if zlib.crc32(str(k).encode()) % 5 == 0)
+    for n, rows in enumerate(([], [(1, None)], [(held, 1)], [(999, 1)])):
+        spark.createDataFrame(rows, "doc_id long, toxic int").write.parquet(f"{tmp_path}/{n}/labels.parquet")
+        assert corpus_pipeline.without_toxic(spark, docs, f"{tmp_path}/{n}").count() == 20

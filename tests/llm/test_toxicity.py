@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyspark.sql.functions as F
 import pytest
 
 from tallyforge.llm import toxicity
@@ -44,3 +45,15 @@ def test_odd_rows(spark):
     assert toxicity.score(docs.limit(0), model, prefix="x_").count() == 0
     empty = toxicity.fit(docs, labels.limit(0))
     assert {r.x_score for r in toxicity.score(docs, empty, prefix="x_").collect()} == {0.5}
+
+
+def test_text_over_the_word_bound_is_passed_over_alone(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_WORDS", 1000)
+    keys = [k for k in range(200) if zlib.crc32(str(k).encode()) % 5]
+    rows = spark.createDataFrame([(k,) for k in keys], "doc_id long")
+    order = [r.doc_id for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    docs = spark.createDataFrame([(k, "word " * (1001 if k == order[0] else 5)) for k in keys], "doc_id long, text string")
+    taught = {}
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels, languages: taught.update(sizes=sorted(map(len, texts))))
+    toxicity.fit(docs, rows.withColumn("toxic", F.lit(1)))
+    assert taught["sizes"] == [5] * (len(keys) - 1)
