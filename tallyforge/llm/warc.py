@@ -31,6 +31,7 @@ _RECORD = "urn:x-tallyforge:page:"
 
 ARCHIVE_BYTES = 256 << 20
 BLOCK_BYTES = 8 << 20
+#: Most headers end within so many bytes; for longer ones more is read.
 HEADER_BYTES = 64 << 10
 BROADCAST_ROWS = 500_000
 
@@ -130,6 +131,25 @@ def successor(head: bytes, at: int, size: int) -> int | None:
     return after if after <= size else None
 
 
+def _successor(file, head: bytes, at: int, size: int) -> int | None:
+    """As ``successor``, reading on while the header goes beyond ``head``; what is read doubles
+    and is searched once. A magic inside a payload may so be read up to the end of the file."""
+    if b"\r\n\r\n" in head:
+        return successor(head, at, size)
+    parts, tail, have = [head], head[-3:], len(head)
+    while at + have < size:
+        file.seek(at + have)
+        more = file.read(min(max(have, HEADER_BYTES), size - at - have))
+        if not more:
+            return None
+        parts.append(more)
+        have += len(more)
+        if b"\r\n\r\n" in tail + more:
+            return successor(b"".join(parts), at, size)
+        tail = (tail + more)[-3:]
+    return None
+
+
 def _blocks(archives: DataFrame, block: int) -> DataFrame:
     rows = archives.where("size > 0").select("path", "size", F.explode(F.sequence(F.lit(0).cast("bigint"), ((F.col("size") - 1) / block).cast("bigint"))).alias("block"))
     return rows.repartition("path", "block")
@@ -147,15 +167,15 @@ def candidates(archives: DataFrame, block: int = BLOCK_BYTES) -> DataFrame:
                 with system.open_input_file(path) as file:
                     file.seek(low)
                     data = file.read(min(block + HEADER_BYTES, size - low))
-                places, at = [], data.find(MAGIC)
-                while 0 <= at < block:
-                    places.append(at)
-                    at = data.find(MAGIC, at + 1)
-                out: dict[int, int] = {}
-                for at in reversed(places):
-                    after = successor(data[at : at + HEADER_BYTES], low + at, size)
-                    if after is not None:
-                        out[low + at] = out.get(after, after)
+                    places, at = [], data.find(MAGIC)
+                    while 0 <= at < block:
+                        places.append(at)
+                        at = data.find(MAGIC, at + 1)
+                    out: dict[int, int] = {}
+                    for at in reversed(places):
+                        after = _successor(file, data[at : at + HEADER_BYTES], low + at, size)
+                        if after is not None:
+                            out[low + at] = out.get(after, after)
                 yield pa.RecordBatch.from_arrays([pa.array([row["path"]] * len(out), pa.string()), pa.array(out.keys(), pa.int64()), pa.array(out.values(), pa.int64())], names=["path", "at", "out"])
 
     return _blocks(archives, block).mapInArrow(scan, "path string, at bigint, out bigint")
@@ -210,7 +230,7 @@ def read_archives(spark: SparkSession, archives: DataFrame, block: int = BLOCK_B
                             file.seek(at)
                             data, low = file.read(min(1 << 20, row["size"] - at)), at
                         head = data[at - low : at - low + HEADER_BYTES]
-                        after = successor(head, at, row["size"])
+                        after = _successor(file, head, at, row["size"])
                         if after is None:
                             raise ValueError(f"damaged record at {at} of {path}")
                         if after - low > len(data):

@@ -1,4 +1,5 @@
 import random
+from urllib.parse import unquote
 
 import duckdb
 import pytest
@@ -85,3 +86,13 @@ def test_archives_threshold_and_empty(spark, tmp_path):
     archives = warc.write_archives(df, f"{tmp_path}/a", least=3)
     assert sorted((r.page_id, r.refers_to) for r in warc.read_archives(spark, archives).collect()) == [(1, None), (2, None), (3, None), (4, 3)]
     assert warc.read_archives(spark, warc.write_archives(df.limit(0), f"{tmp_path}/b")).count() == 0
+
+
+@pytest.mark.parametrize("block", [50_000, 8 << 20])
+def test_long_urls(spark, tmp_path, block):
+    """Headers longer than HEADER_BYTES, at the end of an archive too."""
+    rows = [(k, "http://u/" + "é" * n, f"text {k}") for k, n in enumerate((3, 20_000, 0, 10_922, 10_700, 100_000))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    archives = warc.write_archives(df, f"{tmp_path}/w")
+    found = {r.page_id: (unquote(r.url), bytes(r.payload).decode()) for r in warc.read_archives(spark, archives, block).collect()}
+    assert found == {k: (u, t) for k, u, t in rows}
