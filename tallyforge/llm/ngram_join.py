@@ -37,6 +37,8 @@ SHORT_LEAST = 64
 #: 64-bit words of the sketch that travels with the members of an unsettled bucket; of one
 #: length for all sets, so that any two compare.
 WORDS = 8
+#: Narrow rows that are broadcast at most.
+BROADCAST_ROWS = 500_000
 #: Further members that all members of an unsettled bucket are compared with.
 PIVOTS = 3
 
@@ -149,8 +151,8 @@ def _profiles(plan: Plan):
                 sketches.append(short_sketch(shingles).tobytes() if len(shingles) else None)
                 fixed.append(fixed_sketch(shingles))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(sets, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary()), *[pa.array([f[k] for f in fixed], pa.int64()) for k in range(WORDS)]],
-                names=["key", "set", "size", "sketch", *_FIXED],
+                [batch.column("key"), batch.column("copy"), pa.array(sets, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary()), *[pa.array([f[k] for f in fixed], pa.int64()) for k in range(WORDS)]],
+                names=["key", "copy", "set", "size", "sketch", *_FIXED],
             )
 
     return run
@@ -226,7 +228,7 @@ class _Join:
     def __init__(self, docs: DataFrame, plan: Plan):
         self.plan = plan
         self.docs = docs
-        self.profiles = checkpointed(docs.mapInArrow(_profiles(plan), "key bigint, set bigint, size bigint, sketch binary, " + ", ".join(f"{c} bigint" for c in _FIXED)))
+        self.profiles = checkpointed(docs.withColumn("copy", F.xxhash64("text")).mapInArrow(_profiles(plan), "key bigint, copy bigint, set bigint, size bigint, sketch binary, " + ", ".join(f"{c} bigint" for c in _FIXED)))
         self.sets = checkpointed(
             self.profiles.where("set is not null").groupBy("set")
             .agg(F.min("key").alias("key"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), *[F.first(c).alias(c) for c in _FIXED])
@@ -354,3 +356,34 @@ def linked(
     return rows.join(named, F.col("tf_set") == F.col("set"), "left").select(
         F.col("tf_key").alias(key), "n_shingles", F.when(F.col("tf_set").isNull(), F.col("tf_key")).otherwise(F.col("component_id")).alias("component_id")
     )
+
+
+def one_of_each(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, above: int = 80, below: int = 100,
+) -> DataFrame:
+    """The rows of ``docs`` without those that ``linked`` ties to another: one row of each
+    component stays.
+
+    It is the row with the smallest key (null last), of several texts with that key the one
+    whose hash is smallest, and of rows that repeat key and text any one. Rows are decided one
+    by one, so a key with two texts may lose one and keep the other. Rows without words stay.
+    Rows are told apart by key and a 64-bit hash of the text.
+    """
+    join = _Join(docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text")), Plan(above, below, shingle))
+    rows = join.profiles.where("set is not null").groupBy("key", "copy", "set").agg(F.count("*").alias("n"))
+    rows = checkpointed(_labelled(rows, _set_components(join), "set").select("key", "copy", "n", "in_set"))
+    order = F.struct(F.col("key").isNull().alias("nameless"), "key", "copy")
+    best = rows.groupBy("in_set").agg(F.min(order).alias("best"), F.sum("n").alias("total")).where("total > 1")
+    placed = checkpointed(rows.join(best, "in_set").select(F.col("key").alias("tf_key"), F.col("copy").alias("tf_copy"), "n", (order == F.col("best")).alias("stays")).where("n > 1 or not stays"))
+
+    def named(part: DataFrame) -> DataFrame:
+        part = part.select("tf_key", "tf_copy")
+        return F.broadcast(part) if part.count() <= BROADCAST_ROWS else part
+
+    same = F.col(key).cast("bigint").eqNullSafe(F.col("tf_key")) & (F.xxhash64(text) == F.col("tf_copy"))
+    left = docs.join(named(placed.where("not stays")), same, "left_anti")
+    repeats = placed.where("stays")
+    if repeats.isEmpty():
+        return left
+    repeats = named(repeats)
+    return left.join(repeats, same, "left_anti").unionByName(left.join(repeats, same, "left_semi").dropDuplicates([key, text]))
