@@ -34,7 +34,7 @@ BANDS = 5
 ROWS = 2
 #: The last bits of a bucket are the number of its band.
 BAND_MASK = 7
-#: Further members that all members of an unsettled bucket are compared with.
+#: Members besides the first holder that all members of a bucket are compared with.
 PIVOTS = 3
 #: Contents a task remembers, to send copies once.
 SEEN = 200_000
@@ -186,17 +186,16 @@ def _member_pairs(members: DataFrame, above: float) -> DataFrame:
 def _passages(members: DataFrame, sets: DataFrame, above: float) -> DataFrame:
     """node and component of every content that is similar to one of another document.
 
-    The members of a bucket are first compared with its first holder, then, where the bucket
-    holds more than one component, with PIVOTS others picked by hash, both at a cost linear in
-    the bucket. In buckets that still hold more than one, every two members of different
-    components are compared (sketches first). Contents of one and the same document are never
+    The members of a bucket are first compared with its first holder and with PIVOTS others
+    picked by hash, at a cost linear in the bucket. In buckets that still hold more than one
+    component, every two members of different components are compared (sketches first). Contents of one and the same document are never
     linked to each other: its windows overlap.
     """
     spark, whole = members.sparkSession, Window.partitionBy("bucket")
     edges = spark.createDataFrame([], "a bigint, b bigint")
     labels = spark.createDataFrame([], "node bigint, component bigint")
     tried = edges
-    for step in ("first", "pivots", "all"):
+    for step in ("pivots", "all"):
         known = labels.select(F.col("node").alias("content"), "component")
         placed = members.drop("label").join(known, "content", "left").withColumn("label", F.coalesce("component", "content")).drop("component")
         ends = placed.select("*", F.min("label").over(whole).alias("least"), F.max("label").over(whole).alias("most"), F.min("low").over(whole).alias("from"), F.max("high").over(whole).alias("to"))
@@ -205,10 +204,7 @@ def _passages(members: DataFrame, sets: DataFrame, above: float) -> DataFrame:
             joined = _member_pairs(members.join(sets.select("content", F.size("s").alias("n"), "sketch"), "content"), above)
         else:
             chosen = F.struct("content", "low", "high", "label")
-            if step == "first":
-                some = F.array(F.min_by(chosen, F.struct("low", "content")))
-            else:
-                some = F.array(*[F.min_by(chosen, F.xxhash64("content", F.lit(k))) for k in range(PIVOTS)])
+            some = F.array(F.min_by(chosen, F.struct("low", "content")), *[F.min_by(chosen, F.xxhash64("content", F.lit(k))) for k in range(PIVOTS)])
             pivots = members.groupBy("bucket").agg(some.alias("p")).select("bucket", F.explode(F.array_distinct("p")).alias("p"))
             met = members.join(pivots, "bucket").where(F.col("label") != F.col("p.label")).where(F.least("low", "p.low") != F.greatest("high", "p.high"))
             joined = met.select(F.least("content", "p.content").alias("a"), F.greatest("content", "p.content").alias("b"))
