@@ -1,8 +1,9 @@
 """Benchmark decontamination: which words of a document lie in windows of benchmark items.
 
 Wu-Manber search over words. For each window length one table of shifts, indexed by the hash of
-a block of words, says how far the search may jump; where it may not jump, the window's suffix
-hash picks a bucket of test windows, and a direct comparison of the words confirms. All texts of
+a block of words, says how far the search may jump; where it may not jump, the hash of the whole window
+(not of its suffix, as in the published method) picks a bucket of test windows, and a direct
+comparison of the words confirms, so the results are the same. All texts of
 a piece are searched in step: every cursor (one per stretch of a text) jumps by its own shift.
 """
 
