@@ -84,11 +84,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the checkpoint folder and read from there (cuts the lineage)."""
-    root, context = checkpoint_root(df.sparkSession), df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(root)
-    return df.checkpoint(eager=True)
+    """``df`` written as Parquet to the checkpoint folder and read from there.
+
+    Cuts the lineage, and with it the size that Spark estimates for the plan: a table read
+    from files has the size of its files. (``DataFrame.checkpoint`` keeps the estimate, and
+    joins multiply estimates, so in a loop their digits double from round to round.)
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
