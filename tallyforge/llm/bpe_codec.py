@@ -18,6 +18,7 @@ import pyspark.sql.functions as F
 import pyspark.sql.types as T
 from pyspark.sql import DataFrame
 
+from .textops import free_name
 from .vocab import PIECES, PieceCache, rank_file, read_file
 
 _NONE = 1 << 62
@@ -124,8 +125,8 @@ def _mapped(df: DataFrame, maker, path: str, source: str, keep: list[str] | None
         raise ValueError(f"column {into} is there already: choose another name")
     shared = df.sparkSession.sparkContext.broadcast(read_file(path))
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(into, T.BinaryType())])
-    run = maker(shared, keep, schema.names, "tf_source")
-    return df.select(*keep, F.col(source).alias("tf_source")).mapInArrow(run, schema)
+    own = free_name("tf_source", keep)
+    return df.select(*keep, F.col(source).alias(own)).mapInArrow(maker(shared, keep, schema.names, own), schema)
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None, into: str = "ids") -> DataFrame:
@@ -150,12 +151,13 @@ def digests(encoded: DataFrame, path: str, ids: str = "ids", keep: list[str] | N
     """The columns ``keep`` of ``encoded``, n_tokens, ids_sha256 and the decoded_sha256 of a
     round trip."""
     keep = [c for c in encoded.columns if c != ids] if keep is None else keep
-    both = decode(encoded, path, ids, [*keep, ids], "tf_decoded")
+    decoded = free_name("tf_decoded", [*keep, ids])
+    both = decode(encoded, path, ids, [*keep, ids], decoded)
     return both.select(
         *keep,
         (F.octet_length(ids) / 4).cast("bigint").alias("n_tokens"),
         F.sha2(F.col(ids), 256).alias("ids_sha256"),
-        F.sha2("tf_decoded", 256).alias("decoded_sha256"),
+        F.sha2(decoded, 256).alias("decoded_sha256"),
     )
 
 

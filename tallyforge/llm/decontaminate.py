@@ -1,10 +1,10 @@
 """Benchmark decontamination: which words of a document lie in windows of benchmark items.
 
 Wu-Manber search over words. For each window length one table of shifts, indexed by the hash of
-a block of words, says how far the search may jump; where it may not jump, the hash of the whole window
-(not of its suffix, as in the published method) picks a bucket of test windows, and a direct
-comparison of the words confirms, so the results are the same. All texts of
-a piece are searched in step: every cursor (one per stretch of a text) jumps by its own shift.
+a block of words, says how far the search may jump; where it may not jump, the hash of that
+block - the window's suffix - picks a bucket of test windows. Those of the bucket whose first
+block has the hash of the block at the window's start are compared word by word. All texts of a
+piece are searched in step: every cursor (one per stretch of a text) jumps by its own shift.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 
 from tallyforge.session import checkpointed
 
-from .textops import ALNUM, Words, hashes_at, pieces, windows_hash
+from .textops import ALNUM, Words, free_name, pieces, windows_hash
 
 WINDOW = 13
 #: At most so much benchmark text is in an executor's memory; a larger set takes more passes.
@@ -36,8 +36,9 @@ class _Length:
     size: int
     block: int
     shift: np.ndarray
-    hashes: np.ndarray  # of the whole window, ascending: the buckets
-    first: np.ndarray  # of each hash in the two lists below
+    suffixes: np.ndarray  # hashes of last blocks, ascending: the buckets
+    first: np.ndarray  # of each bucket in the three lists below
+    prefixes: np.ndarray  # hashes of first blocks, ascending in each bucket
     texts: list[bytes] = field(default_factory=list)
     items: list[list[int]] = field(default_factory=list)
 
@@ -61,22 +62,22 @@ class Patterns:
     def _tables(size: int, found: dict[bytes, set[int]]) -> _Length:
         block = min(3, size)
         texts = list(found)
-        hashes, blocks = [], []
+        blocks = []
         for text in texts:
             raw = np.frombuffer(text, np.uint8)
             own = Words(raw, np.array([0, len(raw)]), ALNUM).hashes()
-            hashes.append(windows_hash(own, size)[0])
             blocks.append(windows_hash(own, block))
         bits = max(10, int(np.ceil(np.log2(len(texts) * size * 8))))
         shift = np.full(1 << bits, size - block + 1, np.int64)
         for own in blocks:
             where = (own >> np.uint64(64 - bits)).astype(np.int64)
             np.minimum.at(shift, where, size - block - np.arange(len(own)))
-        order = np.argsort(np.array(hashes, np.uint64), kind="stable")
-        ordered = np.array(hashes, np.uint64)[order]
-        unique, first = np.unique(ordered, return_index=True)
+        ends = np.array([own[-1] for own in blocks], np.uint64)
+        heads = np.array([own[0] for own in blocks], np.uint64)
+        order = np.lexsort((heads, ends))
+        unique, first = np.unique(ends[order], return_index=True)
         return _Length(
-            size, block, shift, unique, np.append(first, len(ordered)),
+            size, block, shift, unique, np.append(first, len(order)), heads[order],
             [texts[i] for i in order], [sorted(found[texts[i]]) for i in order],
         )
 
@@ -86,17 +87,23 @@ class Patterns:
             return
         hashes = words.hashes()
         for table in self.lengths:
-            for place in self._candidates(table, hashes, words.row):
-                bucket = int(np.searchsorted(table.hashes, windows_hash(hashes[place : place + table.size], table.size)[0]))
+            block = windows_hash(hashes, table.block)
+            places, buckets = self._candidates(table, block, words.row)
+            for place, bucket in zip(places.tolist(), buckets.tolist()):
+                low, high = table.first[bucket], table.first[bucket + 1]
+                k = low + int(np.searchsorted(table.prefixes[low:high], block[place]))
+                if k == high or table.prefixes[k] != block[place]:
+                    continue
                 text = words.text(place, place + table.size)
-                for k in range(table.first[bucket], table.first[bucket + 1]):
+                while k < high and table.prefixes[k] == block[place]:
                     if table.texts[k] == text:
                         yield place, table.size, table.items[k]
+                    k += 1
 
     @staticmethod
-    def _candidates(table: _Length, hashes: np.ndarray, row: np.ndarray) -> list[int]:
-        """Places whose window hash has a bucket."""
-        block = windows_hash(hashes, table.block)
+    def _candidates(table: _Length, block: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places whose window ends in the block of a bucket, and which bucket."""
+        none = np.zeros(0, np.int64)
         bits = np.uint64(65 - len(table.shift).bit_length())
         jump = table.shift[(block >> bits).astype(np.int64)]
         reach = table.size - table.block  # from a window's start to its last block
@@ -108,7 +115,7 @@ class Patterns:
                 starts.append(own)
                 ends.append(np.minimum(own + _STRETCH, last + 1))
         if not starts:
-            return []
+            return none, none
         at, end = np.concatenate(starts), np.concatenate(ends)
         hits = []
         while len(at):
@@ -120,19 +127,20 @@ class Patterns:
             keep = at < end
             at, end = at[keep], end[keep]
         if not hits:
-            return []
+            return none, none
         places = np.sort(np.concatenate(hits))
-        whole = hashes_at(hashes, places, table.size)
-        slot = np.minimum(np.searchsorted(table.hashes, whole), len(table.hashes) - 1)
-        return places[table.hashes[slot] == whole].tolist()
+        ends = block[places + reach]
+        slot = np.minimum(np.searchsorted(table.suffixes, ends), len(table.suffixes) - 1)
+        met = table.suffixes[slot] == ends
+        return places[met], slot[met]
 
 
-def _searcher(shared, keep: list[str], names: list[str], text: str, last: bool):
+def _searcher(shared, keep: list[str], names: list[str], text: str, tf: list[str], last: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         patterns = shared.value
         for batch in batches:
-            old_hits = batch.column("tf_hits").to_pylist()
-            old_items = batch.column("tf_items").to_pylist()
+            old_hits = batch.column(tf[0]).to_pylist()
+            old_items = batch.column(tf[1]).to_pylist()
             hits, items, total = [], [], []
             for first, end, raw, at in pieces(batch.column(text)):
                 words = Words(raw, at, ALNUM)
@@ -195,22 +203,23 @@ def contamination(
     if clash := set(keep) & set(new):
         raise ValueError(f"columns {sorted(clash)} are there already: give a prefix")
     spark = docs.sparkSession
-    base = docs.select(*keep, F.col(text).alias("tf_text")).withColumns(
-        {"tf_hits": F.lit(None).cast("binary"), "tf_items": F.lit(None).cast("array<string>"), "tf_words": F.lit(0).cast("bigint")}
+    own, *tf = (free_name(c, keep) for c in ("tf_text", "tf_hits", "tf_items", "tf_words"))
+    base = docs.select(*keep, F.col(text).alias(own)).withColumns(
+        {tf[0]: F.lit(None).cast("binary"), tf[1]: F.lit(None).cast("array<string>"), tf[2]: F.lit(0).cast("bigint")}
     )
     passes = _passes(benchmark, item_id, item_text)
     work = next(passes, [])
     while True:
         after = next(passes, None)
-        kept = list(keep) if after is None else [*keep, "tf_text"]
+        kept = list(keep) if after is None else [*keep, own]
         fields = [base.schema[c] for c in kept]
         if after is None:
             fields += [T.StructField(n, t) for n, t in zip(new[:5], [T.LongType()] * 3 + [T.StringType(), T.ArrayType(T.StringType())])]
         else:
-            fields += [base.schema[c] for c in ("tf_hits", "tf_items", "tf_words")]
+            fields += [base.schema[c] for c in tf]
         schema = T.StructType(fields)
         shared = spark.sparkContext.broadcast(Patterns(work, window))
-        base = base.mapInArrow(_searcher(shared, kept, schema.names, "tf_text", after is None), schema)
+        base = base.mapInArrow(_searcher(shared, kept, schema.names, own, tf, after is None), schema)
         if after is None:
             hit, total = F.col(new[1]), F.col(new[0])
             return base.withColumn(new[5], (hit > 0) & (hit * share >= total))

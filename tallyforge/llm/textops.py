@@ -7,7 +7,7 @@ Nulls count as empty texts. All hashes are 64 bits wide and the same on every ma
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,15 @@ SPACED = byte_class(" \t\n\v\f\r")
 ALNUM = byte_class("".join(map(chr, [*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])))
 
 
+def free_name(stem: str, taken: Iterable[str]) -> str:
+    """``stem``, or with underscores behind it: a name that is not among ``taken`` (Spark does
+    not tell upper from lower case in names)."""
+    used = {c.lower() for c in taken}
+    while stem.lower() in used:
+        stem += "_"
+    return stem
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Bijective scrambling of 64-bit values (the finalizer of MurmurHash3)."""
     h = h ^ (h >> np.uint64(33))
@@ -139,15 +148,6 @@ def windows_hash(words: np.ndarray, size: int) -> np.ndarray:
     return mix(out + np.uint64(size))
 
 
-def hashes_at(words: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
-    """The same as ``windows_hash`` at some places only."""
-    out = words[places].copy()
-    for k in range(1, size):
-        out *= np.uint64(_BASE)
-        out += words[places + k]
-    return mix(out + np.uint64(size))
-
-
 def window_starts(row: np.ndarray, size: int) -> np.ndarray:
     """True for each word from which ``size`` words follow in the same text."""
     ok = np.zeros(int(row[-1]), bool)

@@ -18,6 +18,7 @@ import pyspark.sql.types as T
 import regex
 from pyspark.sql import DataFrame
 
+from .textops import free_name
 from .vocab import PIECES, PieceCache, merge_file, read_file
 
 
@@ -90,15 +91,15 @@ def token_counts(
         raise ValueError(f"columns {sorted(clash)} are there already: give a prefix")
     shared = docs.sparkSession.sparkContext.broadcast(read_file(path))
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(c, T.LongType()) for c in new[:2]])
-    names = schema.names
+    names, own = schema.names, free_name("tf_text", keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(shared.value)
         for batch in batches:
-            texts = batch.column("tf_text")
+            texts = batch.column(own)
             sizes = pc.coalesce(pc.binary_length(texts).cast(pa.int64()), pa.scalar(0, pa.int64()))
             counts = pa.array([counter.text(x.as_py() or "") for x in texts], pa.int64())
             yield pa.RecordBatch.from_arrays([*map(batch.column, keep), sizes, counts], names=names)
 
-    counted = docs.select(*keep, F.col(text).alias("tf_text")).mapInArrow(run, schema)
+    counted = docs.select(*keep, F.col(text).alias(own)).mapInArrow(run, schema)
     return counted.withColumn(new[2], F.col(new[1]) > limit)

@@ -13,13 +13,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyspark.sql.functions as F
 import pyspark.sql.types as T
 from pyspark.sql import DataFrame
 
 from tallyforge.session import checkpointed
 
-from .textops import ALNUM, Words, pieces
+from .textops import ALNUM, Words, free_name, pieces
 
 #: At most so many labelled texts, and so many of their words, are fetched to train on.
 SAMPLE_ROWS = 12_000
@@ -83,7 +84,8 @@ class Model:
         self.mark_hash, self.mark_language = self.mark_hash[order], self.mark_language[order]
 
     def buckets(self, hashes: np.ndarray) -> np.ndarray:
-        return (hashes >> np.uint64(64 - self.bits)).astype(np.int32)
+        """The leading bits of word hashes, or of what is left of them in 16 bits."""
+        return (hashes >> hashes.dtype.type(8 * hashes.itemsize - self.bits)).astype(np.int32)
 
     def languages(self, hashes: np.ndarray, row: np.ndarray) -> np.ndarray:
         """The language with most function words in each text; without any, "other"."""
@@ -141,7 +143,7 @@ class Model:
 
 
 def train(texts: list[np.ndarray], labels: np.ndarray, epochs: int = 6, rate: float = 0.01, decay: float = 1e-4, languages: np.ndarray | None = None, **shape) -> Model:
-    """``texts`` holds the word features of each text, of which only the leading bits are used
+    """``texts`` holds the word features of each text, of which the 16 leading bits are enough
     if ``languages`` (the number of each text's language) is given. Adam on logistic loss, both labels
     weighing the same, a third of the words' own buckets left out at random at each step; a
     fifth of the texts is kept back for the thresholds. With one label only (or no texts) every
@@ -243,11 +245,14 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     that does not fit what is left of SAMPLE_WORDS is passed over alone. Null
     texts, keys and labels teach nothing. Conflicting labels of a key: the larger counts; of
     several texts with one key, the one whose hashes sort first."""
+    there = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("tf_key"))
     marks = (
         labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & (fold_of(F.col(key)) != 0))
         .groupBy(F.col(key).alias("tf_key")).agg(F.max(label).cast("int").alias("tf_label"))
+        .join(there, "tf_key", "left_semi")  # labels of absent documents take no place in the sample
         .orderBy(F.xxhash64("tf_key"), "tf_key").limit(SAMPLE_ROWS)
     )
+    marks = checkpointed(marks)
     chosen = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("tf_key"), F.col(text).alias("tf_text")).join(F.broadcast(marks), "tf_key")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,9 +281,14 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             left -= n
     fitting = docs.sparkSession.createDataFrame(chosen, T.StructType([found.schema["tf_key"]]))
     rows = found.join(F.broadcast(fitting), "tf_key").toArrow()
-    rows = rows.sort_by("tf_key")
-    texts = [np.frombuffer(w, np.uint16).reshape(-1, 1 + len(PREFIXES)).astype(np.uint64) << np.uint64(48) for w in rows.column("words").to_pylist()]
-    return train(texts, rows.column("tf_label").to_numpy().astype(np.int64), languages=rows.column("language").to_numpy())
+    order = pc.sort_indices(rows.column("tf_key")).to_numpy()
+    # Views of the fetched buffers, 16 bits a feature from here to the training steps.
+    texts = [
+        np.frombuffer(value.as_buffer(), np.uint16).reshape(-1, 1 + len(PREFIXES))
+        for chunk in rows.column("words").chunks for value in chunk
+    ]
+    marks = rows.column("tf_label").to_numpy().astype(np.int64)
+    return train([texts[i] for i in order], marks[order], languages=rows.column("language").to_numpy()[order])
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, prefix: str = "") -> DataFrame:
@@ -294,16 +304,17 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
     if clash := set(keep) & set(new):
         raise ValueError(f"columns {sorted(clash)} are there already: give a prefix")
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    own = free_name("tf_text", keep)
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(new[0], T.DoubleType())])
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [np.zeros(0)]
-            for _, _, raw, at in pieces(batch.column("tf_text")):
+            for _, _, raw, at in pieces(batch.column(own)):
                 words = Words(raw, at, ALNUM)
                 found.append(shared.value.scores(features(words), words.row))
             yield pa.RecordBatch.from_arrays([*map(batch.column, keep), pa.array(np.concatenate(found))], names=names)
 
-    scored = docs.select(*keep, F.col(text).alias("tf_text")).mapInArrow(run, schema)
+    scored = docs.select(*keep, F.col(text).alias(own)).mapInArrow(run, schema)
     return scored.withColumn(new[1], (F.col(new[0]) >= 0.5).cast("int"))

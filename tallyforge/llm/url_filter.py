@@ -65,7 +65,7 @@ def judge(urls: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "u
         )
     )
     reach = known.agg(F.count("*"), F.coalesce(F.max("labels"), F.lit(0)), F.sort_array(F.collect_set("path_size"))).first()
-    table = known.select(F.substring("rule_digest", 1, PREFIX_HEX).alias("rule_prefix"), "rule_digest", "found")
+    table = known.groupBy(F.substring("rule_digest", 1, PREFIX_HEX).alias("rule_prefix")).agg(F.collect_list(F.struct("rule_digest", "found")).alias("near"))
     if reach[0] <= BROADCAST_RULES:
         table = F.broadcast(table)
 
@@ -83,7 +83,8 @@ def judge(urls: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "u
         .select("tf_key", "tf_url", "host", "path", F.greatest(F.size("expressions"), F.lit(1)).alias("times"), F.explode_outer("expressions").alias("digest"))
         .withColumn("prefix", F.substring("digest", 1, PREFIX_HEX))
     )
-    met = expanded.join(table, (F.col("prefix") == F.col("rule_prefix")) & (F.col("digest") == F.col("rule_digest")), "left")
+    confirmed = F.filter("near", lambda r: r["rule_digest"] == F.col("digest"))
+    met = expanded.join(table, F.col("prefix") == F.col("rule_prefix"), "left").withColumn("found", F.get(confirmed, F.lit(0))["found"])
     best = met.groupBy("tf_key", "tf_url").agg(
         F.first("host").alias("host"), F.first("path").alias("path"),
         F.max("found").alias("found"), (F.count("*") / F.first("times")).cast("int").alias("rows"),

@@ -31,6 +31,8 @@ _RECORD = "urn:x-tallyforge:page:"
 
 ARCHIVE_BYTES = 256 << 20
 BLOCK_BYTES = 8 << 20
+#: The most that one task reads, about.
+TASK_BYTES = 512 << 20
 #: Most headers end within so many bytes; for longer ones more is read.
 HEADER_BYTES = 64 << 10
 BROADCAST_ROWS = 500_000
@@ -119,7 +121,7 @@ def write_archives(
     return checkpointed(marked.mapInArrow(write, "path string, size bigint"))
 
 
-_LENGTH = re.compile(rb"\r\ncontent-length:[ \t]*(\d+)[ \t]*\r\n", re.I)
+_LENGTH = re.compile(rb"\r\ncontent-length:[ \t]*(\d{1,18})[ \t]*\r\n", re.I)
 
 
 def successor(head: bytes, at: int, size: int) -> int | None:
@@ -150,9 +152,16 @@ def _successor(file, head: bytes, at: int, size: int) -> int | None:
     return None
 
 
+def _spread(work: DataFrame, archives: DataFrame) -> DataFrame:
+    """``work`` (narrow rows that stand for much reading) dealt evenly to a number of tasks that
+    follows from the bytes to be read; without a number adaptive execution would merge them."""
+    total, cores = archives.agg(F.sum("size")).first()[0] or 0, work.sparkSession.sparkContext.defaultParallelism
+    return work.repartition(max(1, min(total // (1 << 20), 3 * cores), total // TASK_BYTES))
+
+
 def _blocks(archives: DataFrame, block: int) -> DataFrame:
     rows = archives.where("size > 0").select("path", "size", F.explode(F.sequence(F.lit(0).cast("bigint"), ((F.col("size") - 1) / block).cast("bigint"))).alias("block"))
-    return rows.repartition("path", "block")
+    return _spread(rows, archives)
 
 
 def candidates(archives: DataFrame, block: int = BLOCK_BYTES) -> DataFrame:
@@ -185,9 +194,9 @@ def entries(archives: DataFrame, block: int = BLOCK_BYTES) -> DataFrame:
     """path and at: the first true record in each block, by pointer jumping from the start."""
     reached = archives.where("size > 0").select("path", F.lit(0).cast("bigint").alias("at"))
     most = archives.agg(F.max("size")).first()[0] or 0
-    rounds = math.ceil(math.log2(max(1, math.ceil(most / block))))
-    if not rounds:
+    if not most:
         return reached
+    rounds = max(1, math.ceil(math.log2(math.ceil(most / block))))
     found = checkpointed(candidates(archives, block))
     targets = found.select("path", F.col("out").alias("at")).union(reached).distinct()
     jump = checkpointed(found.join(targets, ["path", "at"], "left_semi"))
@@ -214,7 +223,7 @@ def read_archives(spark: SparkSession, archives: DataFrame, block: int = BLOCK_B
     longer than a block; one record at a time is in memory. No archives: no rows.
     """
     starts = entries(archives, block).withColumn("block", (F.col("at") / block).cast("bigint"))
-    work = archives.join(starts, "path").select("path", "size", "at", "block").where("at < size").repartition("path", "block")
+    work = _spread(archives.join(starts, "path").select("path", "size", "at", "block").where("at < size"), archives)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

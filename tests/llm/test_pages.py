@@ -65,7 +65,7 @@ def test_archives(spark, tmp_path, monkeypatch, block, small):
     """Payloads full of what looks like records, split at any byte."""
     monkeypatch.setattr(warc, "BROADCAST_ROWS", small)
     fake = warc.page_record(99, "http://x", b"inner", None, "2024-01-01T00:00:00Z").decode()
-    payloads = [None, "", fake, fake * 3, "WARC/1.1\r\nContent-Length: 5\r\n\r\nWARC/1.", "same é", "same é", "same é", "\r\n\r\n" * 50, "y" * 3000]
+    payloads = [None, "", fake, fake * 3, "WARC/1.1\r\nContent-Length: 5\r\n\r\nWARC/1.", "same é", "same é", "same é", "\r\n\r\n" * 50, "y" * 3000, "WARC/1.1\r\nContent-Length: " + "9" * 5000 + "\r\n\r\n"]
     rows = [(7 * k % 31, f"http://u/{k}\r\nX: y", p, "z") for k, p in enumerate(payloads)] + [(None, None, "same é", "z"), (None, None, "alone", "z")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, record_type string").coalesce(2)
     archives = warc.write_archives(df, f"{tmp_path}/w")
