@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyforge.session import scratch_path
 
-from . import ann, bpe_codec, decontaminate, ngram_join, substring_dedup, token_count, token_store, toxicity, url_filter, warc
+from . import ann, bpe_codec, decontaminate, hard_negatives, ngram_join, substring_dedup, token_count, token_store, toxicity, url_filter, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -149,3 +149,32 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Documents without the passages that earlier documents hold, and which those are."""
     found = substring_dedup.deduplicated(_table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", "kept_in", "text")
+
+
+@_query(
+    "op11_hard_negatives",
+    """
+    WITH base AS (
+        SELECT row_number() OVER () AS k, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    ), scores AS (
+        SELECT a.k, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+        FROM base a JOIN base b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+    ), positives AS (
+        SELECT * FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY k ORDER BY score DESC, vec_id) <= 5
+    )
+    SELECT p.anchor_id, p.vec_id AS positive_id,
+        (row_number() OVER (PARTITION BY p.k, p.vec_id ORDER BY n.score DESC, n.vec_id))::INTEGER AS rank,
+        n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+    FROM positives p JOIN scores n ON n.k = p.k AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+    QUALIFY rank <= 3
+    """,
+)
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Negatives whose score lies close below that of each anchor's positives."""
+    vectors = _table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", label))
