@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyforge.session import scratch_path
 
-from . import ann, bpe_codec, decontaminate, hard_negatives, ngram_join, substring_dedup, token_count, token_store, toxicity, url_filter, warc
+from . import ann, bpe_codec, decontaminate, hard_negatives, ngram_join, prefix_trie, substring_dedup, token_count, token_store, toxicity, url_filter, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -178,3 +178,53 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     vectors = _table(spark, folder, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(vectors.withColumn("label", label))
+
+
+@_query(
+    "op12_prefix_trie",
+    """
+    WITH turns AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+            row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS at
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), heads AS (
+        SELECT conv_id, conv_id - conv_id % 5 AS base, xor(list_reduce(
+            list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+            lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+                lambda c, k: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))
+        ), 4294967295::BIGINT) % 9 AS h
+        FROM (SELECT DISTINCT conv_id FROM turns)
+    ), rebuilt AS (
+        SELECT heads.conv_id, 0 AS part, at, role, text FROM heads JOIN turns ON turns.conv_id = base AND at < h
+        UNION ALL SELECT conv_id, 1, at, role, text FROM heads JOIN turns USING (conv_id) WHERE at >= h
+    ), placed AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY part, at) AS d FROM rebuilt
+    ), paths AS (
+        SELECT conv_id, d, strlen(text) AS size,
+            string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (PARTITION BY conv_id ORDER BY d) AS path
+        FROM placed
+        UNION ALL SELECT conv_id, 0, 0, '' FROM heads
+    ), linked AS (
+        SELECT *, lag(path) OVER (PARTITION BY conv_id ORDER BY d) AS above, lead(d) OVER (PARTITION BY conv_id ORDER BY d) IS NULL AS ends FROM paths
+    ), nodes AS (
+        SELECT d, path, any_value(above) AS above, min(conv_id) AS conv, count(*) AS n, (count(*) - 1) * any_value(size) AS saved,
+            sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+        FROM linked GROUP BY d, path
+    ), kids AS (
+        SELECT d - 1 AS d, above AS path, count(*) AS kids FROM nodes WHERE d > 0 GROUP BY ALL
+    ), full_nodes AS (
+        SELECT nodes.*, coalesce(kids, 0) AS kids FROM nodes LEFT JOIN kids USING (d, path)
+    ), sums AS (
+        SELECT m.d, m.path, sum(CASE WHEN y.kids = 0 THEN 1 ELSE 0 END) AS leaves, sum(y.saved) AS saved
+        FROM linked m JOIN full_nodes y ON y.conv = m.conv_id AND y.d >= m.d GROUP BY m.d, m.path
+    )
+    SELECT n.conv AS conv_id, n.d::BIGINT AS depth, p.conv AS parent_conv_id, n.n::BIGINT AS n_convs, n.kids::BIGINT AS n_children,
+        s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, n.ends_sha256
+    FROM full_nodes n JOIN sums s USING (d, path) LEFT JOIN nodes p ON n.d > 0 AND p.d = n.d - 1 AND p.path = n.above
+    """,
+)
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The trie of all conversations, each rebuilt on the head of another."""
+    rows = prefix_trie.numbered(_table(spark, folder, "conversations"))
+    return prefix_trie.trie(*prefix_trie.with_shared_heads(rows))
