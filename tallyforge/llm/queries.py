@@ -186,7 +186,7 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     WITH turns AS (
         SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
-                sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS at
+                sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS place
         FROM conversations WHERE conv_id IS NOT NULL
     ), heads AS (
         SELECT conv_id, conv_id - conv_id % 5 AS base, xor(list_reduce(
@@ -196,10 +196,10 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
         ), 4294967295::BIGINT) % 9 AS h
         FROM (SELECT DISTINCT conv_id FROM turns)
     ), rebuilt AS (
-        SELECT heads.conv_id, 0 AS part, at, role, text FROM heads JOIN turns ON turns.conv_id = base AND at < h
-        UNION ALL SELECT conv_id, 1, at, role, text FROM heads JOIN turns USING (conv_id) WHERE at >= h
+        SELECT heads.conv_id, 0 AS part, place, role, text FROM heads JOIN turns ON turns.conv_id = base AND place < h
+        UNION ALL SELECT conv_id, 1, place, role, text FROM heads JOIN turns USING (conv_id) WHERE place >= h
     ), placed AS (
-        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY part, at) AS d FROM rebuilt
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY part, place) AS d FROM rebuilt
     ), paths AS (
         SELECT conv_id, d, strlen(text) AS size,
             string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (PARTITION BY conv_id ORDER BY d) AS path
