@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyforge.session import scratch_path
 
-from . import ann, bpe_codec, decontaminate, hard_negatives, ngram_join, prefix_trie, substring_dedup, token_count, token_store, toxicity, url_filter, warc
+from . import ann, bpe_codec, decontaminate, hard_negatives, license_scan, ngram_join, prefix_trie, substring_dedup, token_count, token_store, toxicity, url_filter, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -228,3 +228,49 @@ def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     """The trie of all conversations, each rebuilt on the head of another."""
     rows = prefix_trie.numbered(_table(spark, folder, "conversations"))
     return prefix_trie.trie(*prefix_trie.with_shared_heads(rows))
+
+
+#: Fixed phrases of the query.
+LICENSE_PHRASES = [
+    ("gnu general public license", "gpl"),
+    ("apache license", "apache"),
+    ("cc by", "cc-by"),
+    ("mit license", "mit"),
+]
+
+# Fixed texts: versions as they are usually named, and the wording of common licences.
+LICENSE_TEXTS = [
+    ("gnu general public license version 2", "gpl-2"),
+    ("gnu general public license version 3", "gpl-3"),
+    ("apache license version 2 0", "apache-2"),
+    ("cc by nc 4 0", "cc-by-nc-4"),
+    ("cc by sa 4 0", "cc-by-sa-4"),
+    ("cc by nd 4 0", "cc-by-nd-4"),
+    (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
+        "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+        "permit persons to whom the Software is furnished to do so",
+        "mit",
+    ),
+    (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer",
+        "bsd",
+    ),
+    (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation",
+        "gpl",
+    ),
+    ("you may not use this file except in compliance with the License. You may obtain a copy of the License at", "apache"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "mpl-2"),
+    ("This is free and unencumbered software released into the public domain", "unlicense"),
+]
+
+
+@_query("op13_license_scan")
+def op13_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Places of licence phrases in every document, and licences told from their wording."""
+    return license_scan.scan(_table(spark, folder, "documents"), LICENSE_PHRASES, LICENSE_TEXTS, keep=["doc_id"]).drop("found")
