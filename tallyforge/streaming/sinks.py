@@ -13,7 +13,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-BATCH = "batch_id"
+from .compaction import BATCH, compact, read_log
+
 
 
 def _trigger(writer, every: str | None):
@@ -26,15 +27,21 @@ def upsert_stream(
     checkpoint: str,
     every: str | None = None,
     order: Callable[[DataFrame], DataFrame] | None = None,
+    keys: Sequence[str] | None = None,
 ) -> StreamingQuery:
     """Start an update-mode query into a change log at ``path``.
 
     Without ``every`` it takes all input there is and stops; with it (say ``'2
     seconds'``) it runs until stopped. ``order`` sorts each micro-batch before it is
-    written.
+    written. With ``keys`` the log is compacted as it grows, so that reading it costs as much
+    as the table, however long the query has run.
     """
 
-    return _batches(stream, "update", path, checkpoint, every, order)
+    def compacted(batch_id: int) -> None:
+        if keys:
+            compact(stream.sparkSession, path, keys, before=batch_id)
+
+    return _batches(stream, "update", path, checkpoint, every, order, compacted)
 
 
 def append_batches(
@@ -48,8 +55,10 @@ def append_batches(
     return _batches(stream, "append", path, checkpoint, every, transform)
 
 
-def _batches(stream, mode, path, checkpoint, every, transform) -> StreamingQuery:
+def _batches(stream, mode, path, checkpoint, every, transform, before=None) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
+        if before:
+            before(batch_id)
         rows = transform(batch) if transform else batch
         rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
@@ -62,8 +71,9 @@ def _batches(stream, mode, path, checkpoint, every, transform) -> StreamingQuery
 
 
 def latest_rows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Current table of a change log: for each key the row of its last micro-batch."""
-    log = spark.read.parquet(path)
+    """Current table of a change log: for each key the row of its last micro-batch. A log that is
+    compacted (:mod:`tallyforge.streaming.compaction`) is read by its runs and young batches."""
+    log = read_log(spark, path)
     values = [c for c in log.columns if c not in keys and c != BATCH]
     return log.groupBy(*keys).agg(*[F.max_by(v, BATCH).alias(v) for v in values])
 
