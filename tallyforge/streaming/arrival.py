@@ -8,7 +8,6 @@ it vanishes from the table that the stream keeps.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -16,19 +15,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
 
+from .durations import millis
 from .sinks import latest_rows, upsert_stream
 
-_UNITS = {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}
-
-
-def millis(duration: str) -> int:
-    """Milliseconds of a text such as ``'90 seconds'``."""
-    found = re.fullmatch(r"\s*(\d+)\s*([a-z]+?)s?\s*", duration.lower())
-    if not found or found[2] not in _UNITS or not int(found[1]):
-        raise ValueError(f"no duration: {duration!r}")
-    return int(found[1]) * _UNITS[found[2]]
-
-
 class ArrivalPanes(StatefulProcessor):
     """The panes of one key: pane number (time / slide) to count. At most size/slide + 1 of
     them are held, whatever the number of rows."""

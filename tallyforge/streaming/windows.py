@@ -3,9 +3,11 @@ result can be compared with the batch result over the same rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.columns import text_of
+from ..session import checkpointed
+from .durations import millis
 
 
 def with_watermark(df: DataFrame, ts: str, delay: str | None) -> DataFrame:
@@ -54,6 +56,49 @@ def slide_panes(panes: DataFrame, key: str, size: str, slide: str) -> DataFrame:
     )
 
 
+def slide_differences(panes: DataFrame, key: str, size: str, slide: str, per_range: int = 4096) -> DataFrame:
+    """The same as :func:`slide_panes`, by difference events: a pane of n raises the count by n
+    at the first window that holds it and lowers it by n behind the last.
+
+    Two rows per pane are shuffled, whatever size/slide is, and the running sum of the events is
+    the count. Time is cut into ranges of ``per_range`` slides, so that a key's events are spread
+    over many tasks; each range begins with the sum of the ranges before it, which are few rows.
+    A count holds until the key's next event, in a later range perhaps: the windows in between
+    are made where the event is, after the shuffle.
+    """
+    step = millis(slide)
+    width, rest = divmod(millis(size), step)
+    if rest:
+        raise ValueError(f"{size} is no multiple of {slide}")
+    number = F.floor(F.unix_millis("pane") / F.lit(step)).cast("bigint")
+    events = panes.select(
+        F.col(key).alias("tf_key"), F.explode(F.array(
+            F.struct((number - (width - 1)).alias("at"), F.col("count").alias("by")),
+            F.struct((number + 1).alias("at"), (-F.col("count")).alias("by")),
+        )).alias("e"),
+    ).groupBy("tf_key", F.col("e.at").alias("at")).agg(F.sum("e.by").alias("by")).where("by <> 0")
+    events = checkpointed(events.withColumn("range", F.floor(F.col("at") / F.lit(per_range)).cast("bigint")))
+    whole = Window.partitionBy("tf_key").orderBy("range")
+    ranges = (
+        events.groupBy("tf_key", "range").agg(F.sum("by").alias("by"), F.min("at").alias("opens"))
+        .select(
+            F.col("tf_key").alias("same"), F.col("range").alias("part"), F.lead("opens").over(whole).alias("next_opens"),
+            (F.sum("by").over(whole) - F.col("by")).alias("carry"),
+        )
+    )
+    inside = Window.partitionBy("tf_key", "range").orderBy("at")
+    levels = (
+        events.join(ranges, F.col("tf_key").eqNullSafe(F.col("same")) & (F.col("range") == F.col("part")))
+        .withColumn("count", F.col("carry") + F.sum("by").over(inside))
+        .withColumn("until", F.coalesce(F.lead("at").over(inside), F.col("next_opens")))
+        .where("count > 0")
+    )
+    starts = levels.select("tf_key", "count", F.explode(F.sequence("at", F.col("until") - 1)).alias("n"))
+    return starts.select(
+        F.timestamp_millis(F.col("n") * step).alias("start"), F.timestamp_millis((F.col("n") + width) * step).alias("end"), F.col("tf_key").alias(key), "count"
+    )
+
+
 def seconds_watched(
     df: DataFrame,
     ts: str = "timestamp",

@@ -4,7 +4,8 @@ import time
 
 import pytest
 
-from tallyforge.streaming.arrival import arrival_counts, current_counts, millis, start_arrivals
+from tallyforge.streaming.arrival import arrival_counts, current_counts, start_arrivals
+from tallyforge.streaming.durations import millis
 
 
 def put(spark, folder, name, keys):

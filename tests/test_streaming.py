@@ -165,3 +165,21 @@ def test_ordered_batches(spark, folder, tmp_path):
     finish(upsert_stream(counts, str(tmp_path / "log"), str(tmp_path / "cp"), order=order))
     got = [(r["start"], -r["count"]) for r in spark.read.parquet(str(tmp_path / "log" / "batch_id=0")).collect()]
     assert len(got) > 2 and got == sorted(got)
+
+
+@pytest.mark.parametrize("size,slide,per_range", [("1 minute", "20 seconds", 4096), ("10 minutes", "10 seconds", 7), ("20 seconds", "20 seconds", 3)])
+def test_difference_events_are_sliding_windows(spark, folder, size, slide, per_range):
+    """Gaps, several ranges, null keys, times before 1970."""
+    late = [(1, dt.datetime(2024, 1, 3), "A"), (2, dt.datetime(1969, 12, 31, 23, 59, 55), None), (3, dt.datetime(1969, 12, 31, 23, 59), "B")]
+    table = batch_of(spark, folder).union(spark.createDataFrame(late, "id long, ts timestamp, kind string"))
+    panes = W.pane_counts(table, "ts", "kind", slide)
+    found = W.slide_differences(panes, "kind", size, slide, per_range)
+    expected = W.window_counts(table, "ts", "kind", size, slide)
+    assert found.columns == expected.columns and sorted(rows(found), key=repr) == sorted(rows(expected), key=repr)
+
+
+def test_difference_events_of_nothing(spark):
+    panes = spark.createDataFrame([], "pane timestamp, kind string, count long")
+    assert W.slide_differences(panes, "kind", "1 minute", "20 seconds").count() == 0
+    with pytest.raises(ValueError):
+        W.slide_differences(panes, "kind", "50 seconds", "20 seconds")
