@@ -7,10 +7,12 @@ from fractions import Fraction
 from functools import reduce
 from itertools import combinations, combinations_with_replacement
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import NumericType
 
 from ..session import checkpointed
+from .moments import moments
 
 
 def key_sizes(df: DataFrame, key: str) -> DataFrame:
@@ -84,6 +86,16 @@ def corr_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "col1 string, col2 string, corr double")
 
 
+def corr_wide(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """The same as :func:`corr_matrix` for hundreds of columns: matrix products over blocks of
+    rows instead of an expression per pair. NaN counts as missing here."""
+    cols = list(cols) if cols is not None else numeric_columns(df)
+    found = moments(df, cols) if cols else {}
+    table = found[None].correlations() if found else np.full((len(cols), len(cols)), np.nan)
+    rows = [(a, b, None if np.isnan(r) else float(r)) for a, line in zip(cols, table) for b, r in zip(cols, line)]
+    return df.sparkSession.createDataFrame(rows, "col1 string, col2 string, corr double")
+
+
 def summary_stats(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """(column, count, mean, stddev, min, max) of numeric columns, from one scan."""
     cols = list(cols) if cols is not None else numeric_columns(df)

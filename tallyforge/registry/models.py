@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..operators import features as feat, metrics, split
 from ..operators.joins import lookup_join
-from ..plans import classification, clusters, recommend, regression, trees, tuning, viewing
+from ..plans import classification, clusters, elastic_path, recommend, regression, trees, tuning, viewing
 from ..plans.trials import trial_rows
 from ..session import checkpointed
 from ..sources.tables import read_table
@@ -330,6 +330,31 @@ def linreg_grid_fits(spark, sf):
     )
 
 
+@query(
+    "elastic_grid_fits",
+    f"""
+    WITH points AS (SELECT l_quantity AS y, l_quantity * (1 - l_discount) AS x, l_orderkey % 3 AS part FROM lineitem),
+    moments AS (
+        SELECT fold, reg, elastic, avg(x) AS mx, avg(y) AS my, stddev_pop(x) AS sx, stddev_pop(y) AS sy, corr(x, y) AS r
+        FROM points, (VALUES (0), (1), (2)) f(fold), (VALUES (0.01::DOUBLE), (0.1), (0.5)) g(reg), (VALUES (0.0::DOUBLE), (0.5), (1.0)) e(elastic)
+        WHERE part <> fold GROUP BY fold, reg, elastic
+    ),
+    {_NET_SQL}
+    SELECT fold::BIGINT AS fold, reg AS reg_param, elastic AS elastic_net_param, round(my - b * mx, 4) AS intercept, round(b, 4) AS slope,
+        round(sqrt(avg((y - (my - b * mx) - b * x) ** 2)), 4) AS rmse
+    FROM slope_of JOIN points ON part = fold GROUP BY fold, reg, elastic, my, mx, b
+    """,
+)
+def elastic_grid_fits(spark, sf):
+    """Every point of the grid for every fold, from one scan."""
+    lines = _net_quantities(spark, sf).withColumn("fold", F.col("l_orderkey") % 3)
+    fits = elastic_path.elastic_grid(lines, "l_quantity", ["net_quantity"], fold="fold")
+    return fits.select(
+        "fold", "reg_param", "elastic_net_param", F.round("intercept", 4).alias("intercept"),
+        F.round(F.col("coefficients")[0], 4).alias("slope"), F.round("rmse", 4).alias("rmse"),
+    )
+
+
 @query(
     "linreg_holdout",
     f"""

@@ -242,6 +242,16 @@ def top_words(spark, sf):
     return text.top_words(read_table(spark, sf, "documents"), "text", _STOP)
 
 
+@query(
+    "top_words_threshold",
+    f"WITH {_WORDS_SQL} SELECT word, count FROM counted WHERE word NOT IN ({_sql_list(_STOP)}) "
+    "ORDER BY count DESC, word LIMIT 25",
+)
+def top_words_threshold(spark, sf):
+    """The most frequent words, counting only candidates over all tasks."""
+    return text.top_words_threshold(read_table(spark, sf, "documents"), "text", _STOP, 25)
+
+
 # --- popularity -------------------------------------------------------------------
 
 _POPULARITY_SQL = """
@@ -379,6 +389,25 @@ def corr_matrix(spark, sf):
     return found.withColumn("corr", F.round("corr", 6))
 
 
+@query("corr_wide", " UNION ALL ".join(_corr_sql(a, b) for a in _NUMERIC for b in _NUMERIC))
+def corr_wide(spark, sf):
+    """The same matrix from products of blocks of rows, for tables of hundreds of columns."""
+    found = profile.corr_wide(read_table(spark, sf, "lineitem"), _NUMERIC)
+    return found.withColumn("corr", F.round("corr", 6))
+
+
+@query(
+    "quartiles",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", {q}::DOUBLE AS quantile, CAST(quantile_disc({c}, {q}) AS DOUBLE) AS value FROM lineitem"
+        for c in _NUMERIC for q in (0.25, 0.5, 0.75)
+    ),
+)
+def quartiles(spark, sf):
+    """The quartiles of the summary, exact."""
+    return profile.quantiles(read_table(spark, sf, "lineitem"), _NUMERIC)
+
+
 @query(
     "summary_stats",
     " UNION ALL ".join(

@@ -10,6 +10,7 @@ from ..session import scratch_path
 from ..sources.streams import table_stream
 from ..sources.tables import read_table, register_view
 from ..streaming import windows as W
+from ..streaming.arrival import current_counts, settle, start_arrivals
 from ..streaming.enrich import enrich_stream
 from ..streaming.sinks import append_stream, latest_rows, upsert_stream
 from .base import query
@@ -118,6 +119,40 @@ def sliding_direct(spark, sf):
     return _naive(table.withColumnRenamed("course_name", "event_type"), "start", "end")
 
 
+def _views(spark, sf):
+    return W.pane_counts(_messages(spark, sf).select("timestamp", F.col("value").cast("string").alias("course_name")), "timestamp", "course_name", "1 minute")
+
+
+@query("sliding_differences", _sliding_sql(3600, 60))
+def sliding_differences(spark, sf):
+    """60-minute windows every minute, from two difference events per pane."""
+    panes = _upserted(spark, _views(spark, sf), "panes_difference", ["pane", "course_name"])
+    windows = W.slide_differences(panes, "course_name", "60 minutes", "1 minute")
+    return _naive(windows.withColumnRenamed("course_name", "event_type"), "start", "end")
+
+
+@query("tumbling_compacted", _TUMBLING_SQL)
+def tumbling_compacted(spark, sf):
+    """The seconds watched, in a change log that is compacted as it grows."""
+    path, keys = scratch_path(spark, "tumbling_compacted"), ["start", "end", "course_name"]
+    events = table_stream(spark, sf, "events", max_files=1)
+    messages = events.select(F.encode("event_type", "utf-8").alias("value"), F.col("ts").alias("timestamp"))
+    upsert_stream(_flat(jobs.course_seconds(messages)), path, f"{path}-checkpoint", keys=keys).awaitTermination()
+    return _naive(latest_rows(spark, path, keys), "start", "end")
+
+
+@query("arrival_views", "SELECT event_type, count(*) AS count FROM events GROUP BY ALL")
+def arrival_views(spark, sf):
+    """Views that arrived within the last day: all of them, as the replay has just begun."""
+    path = scratch_path(spark, "arrival")
+    running = start_arrivals(_events(spark, sf).select("event_type"), "event_type", "24 hours", "1 minute", path, f"{path}-checkpoint", "1 second")
+    try:
+        settle(running)
+    finally:
+        running.stop()
+    return current_counts(spark, path, ["event_type"]).select("event_type", "count")
+
+
 @query(
     "windowed_append",
     """

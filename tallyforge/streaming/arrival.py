@@ -8,6 +8,7 @@ it vanishes from the table that the stream keeps.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -83,3 +84,20 @@ def start_arrivals(stream: DataFrame, key: str, size: str, slide: str, path: str
 def current_counts(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """The windows as they are now: keys whose window is empty are not there."""
     return latest_rows(spark, path, keys).where("count > 0")
+
+
+def settle(query: StreamingQuery, wait: float = 0.2) -> None:
+    """Wait until a running query has taken all input there is: a micro-batch without rows
+    follows one that had some. (The query itself goes on for ever, for the timers.)"""
+    seen = False
+    while query.isActive:
+        for progress in query.recentProgress:
+            if progress["numInputRows"]:
+                seen = True
+            elif seen:
+                return
+        if not seen and len(query.recentProgress) > 1:
+            return  # nothing to take
+        time.sleep(wait)
+    if query.exception() is not None:
+        raise query.exception()

@@ -118,6 +118,8 @@ def compact(spark: SparkSession, path: str, keys: Sequence[str], before: int | N
     """Merge what is due: young batches (those under ``before``, which are finished) once there
     are ``fanout`` of them, then runs of a level once there are ``fanout`` of it. Returns the
     manifest that counts afterwards. One compaction of a log at a time; readers may go on."""
+    if fanout < 2:
+        raise ValueError("a run is merged from two others at least")
     files, folder, now = _Files(spark, path), _runs(path), manifest(spark, path)
     done = [n for n in _batches(files, path) if n > now.upto and (before is None or n < before)]
     if len(done) < fanout:

@@ -1,0 +1,120 @@
+"""Moments, wide correlations, grids of elastic nets and the threshold for top words."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import functions as F
+
+from tallyforge.operators import moments as M, profile, text
+from tallyforge.operators.features import with_features
+from tallyforge.plans import elastic_path, regression
+
+
+def table(spark, n=400, seed=1):
+    r = np.random.default_rng(seed)
+    a, b, c = r.normal(1e6, 3, n), r.normal(0, 1, n), r.exponential(2, n)
+    y = 2 * (a - 1e6) - b + 0.3 * a * 1e-3 + r.normal(0, 1, n)
+    hole = lambda v, share: [None if r.random() < share else float(x) for x in v]
+    rows = list(zip(hole(a, 0.1), hole(b, 0.3), [float(x) for x in c], [7.0] * n, [None] * n, [float(x) for x in y], [int(x) for x in r.integers(0, 4, n)]))
+    return spark.createDataFrame(rows, "a double, b double, c double, d double, e double, y double, f int").repartition(6)
+
+
+def same(a, b, tolerance=1e-9):
+    assert a.keys() == b.keys()
+    for k in a:
+        assert (a[k] is None) == (b[k] is None) and (a[k] is None or abs(a[k] - b[k]) < tolerance), (k, a[k], b[k])
+
+
+@pytest.mark.parametrize("branch", [256, 2])
+def test_wide_correlations(spark, monkeypatch, branch):
+    """Pairwise nulls, a constant column, an empty one, values far from zero."""
+    monkeypatch.setattr(M, "BRANCH", branch)
+    df = table(spark)
+    as_dict = lambda rows: {(x.col1, x.col2): x.corr for x in rows.collect()}
+    same(as_dict(profile.corr_wide(df)), as_dict(profile.corr_matrix(df)))
+    assert profile.corr_wide(df, []).count() == 0
+    assert {x.corr for x in profile.corr_wide(df.limit(0), ["a", "b"]).collect()} == {None}
+
+
+def test_two_hundred_columns(spark):
+    r = np.random.default_rng(3)
+    rows = r.normal(0, 1, (300, 200))
+    rows[:, 1] = rows[:, 0] * -2
+    df = spark.createDataFrame([tuple(map(float, x)) for x in rows], ", ".join(f"c{i} double" for i in range(200))).repartition(3)
+    got = {(x.col1, x.col2): x.corr for x in profile.corr_wide(df).collect()}
+    expected = np.corrcoef(rows.T)
+    assert len(got) == 40_000 and got["c0", "c1"] == pytest.approx(-1)
+    assert max(abs(got[f"c{i}", f"c{j}"] - expected[i, j]) for i in range(200) for j in range(200)) < 1e-9
+
+
+def test_groups(spark):
+    found = M.moments(table(spark).withColumn("f", F.when(F.col("f") < 3, F.col("f"))), ["c", "y"], "f")
+    assert set(found) == {0, 1, 2, None} and sum(m.n[0, 0] for m in found.values()) == 400
+
+
+def test_grid_is_that_of_spark(spark):
+    # Spark's solver loses digits of columns far from zero, so they are moved first.
+    df = table(spark, 500, 2).na.drop(subset=["a", "b"]).withColumn("a", F.col("a") - 1e6)
+    numeric, grid = ["a", "b", "c", "d"], dict(reg=(0.0, 0.01, 0.1, 0.5, 50.0), elastic=(0.0, 0.5, 1.0))
+    got = {(x.reg_param, x.elastic_net_param): x for x in elastic_path.elastic_grid(df, "y", numeric, **grid).collect()}
+    fits = regression.linreg_grid(df, "y", numeric, tolerance=1e-13, **grid).collect()
+    assert len(fits) == len(got) == 15
+    for x in fits:
+        own = got[x.reg_param, x.elastic_net_param]
+        assert own.coefficients == pytest.approx(x.coefficients, abs=1e-6)
+        assert own.intercept == pytest.approx(x.intercept, rel=1e-6, abs=1e-5)
+
+
+def test_folds(spark):
+    """Fitted on the others, judged on the fold; equal to Spark on the same rows."""
+    df = table(spark, 500, 4).na.drop(subset=["a", "b"]).withColumn("a", F.col("a") - 1e6)
+    numeric = ["a", "b", "c"]
+    got = {x.fold: x for x in elastic_path.elastic_grid(df, "y", numeric, reg=(0.1,), elastic=(0.5,), fold="f").collect()}
+    assert set(got) == {0, 1, 2, 3}
+    data = with_features(df, numeric).withColumnRenamed("y", "label")
+    for fold, x in got.items():
+        model = LinearRegression(regParam=0.1, elasticNetParam=0.5, tol=1e-13).fit(data.where(f"f <> {fold}"))
+        judged = model.evaluate(data.where(f"f = {fold}"))
+        assert x.coefficients == pytest.approx(list(model.coefficients), abs=1e-6)
+        assert x.rmse == pytest.approx(judged.rootMeanSquaredError, rel=1e-6) and x.r2 == pytest.approx(judged.r2, abs=1e-6)
+    best = elastic_path.best_point(elastic_path.elastic_grid(df, "y", numeric, fold="f")).first()
+    assert best.reg_param == 0.01
+
+
+def test_grid_of_odd_tables(spark):
+    df = table(spark)
+    assert elastic_path.elastic_grid(df.limit(0), "y", ["a"]).count() == 0
+    assert elastic_path.elastic_grid(df, "y", ["a", "e"]).count() == 0  # no whole row
+    flat = elastic_path.elastic_grid(df, "d", ["c"], reg=(0.1,), elastic=(1.0,)).first()
+    assert flat.coefficients == [0.0] and flat.intercept == 7.0 and math.isnan(flat.r2)
+    assert elastic_path.elastic_grid(df.where("f = 1"), "y", ["c"], fold="f").count() == 0
+
+
+def letters(n):
+    """A word for a number."""
+    return "".join(chr(97 + int(d)) for d in str(n))
+
+
+@pytest.mark.parametrize("limit", [500_000, 20])
+def test_threshold_finds_the_top_words(spark, monkeypatch, limit):
+    """Ties, stop words, fewer words than asked for, lists cut short."""
+    monkeypatch.setattr(text, "LIST_WORDS", limit)
+    r = random.Random(6)
+    lines = [(" ".join(letters(int(r.paretovariate(0.7)) % 900) for _ in range(30)),) for _ in range(300)] + [(None,), ("",)]
+    df = spark.createDataFrame(lines, "text string").repartition(7)
+    for n, stop in [(1, None), (10, [letters(1), letters(2)]), (25, spark.createDataFrame([(letters(3),)], "word string")), (5000, None)]:
+        expected = [tuple(x) for x in text.top_words(df, "text", stop, n).collect()]
+        assert [tuple(x) for x in text.top_words_threshold(df, "text", stop, n).collect()] == expected
+    assert text.top_words_threshold(df.limit(0), "text").count() == 0
+
+
+def test_threshold_shuffles_few_words(spark):
+    """Of many different words only the candidates are counted over all tasks."""
+    r = random.Random(7)
+    lines = [(" ".join(letters(int(r.paretovariate(0.5))) for _ in range(50)),) for _ in range(800)]
+    words = text.split_words(spark.createDataFrame(lines, "text string").repartition(8), "text")
+    local = words.groupBy(F.spark_partition_id(), "word").count().count()  # what a plain count shuffles
+    assert text.word_candidates(words, 10).count() < 0.1 * local
