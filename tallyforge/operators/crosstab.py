@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.columns import MONTHS, as_double, as_timestamp, fill_numeric, name_of_month
 from ..session import checkpointed
+from .features import frequency_ranks
+from .joins import lookup_join
 
 
 def month_counts(df: DataFrame, level: str, ts: str) -> DataFrame:
@@ -97,3 +99,23 @@ def pivot_sum(
     if values is None:
         sums = checkpointed(sums)
     return sums.groupBy(row).pivot(column, list(values) if values is not None else None).agg(F.sum("_s"))
+
+
+def pivot_sparse(df: DataFrame, row: str, column: str, value: str) -> tuple[DataFrame, DataFrame]:
+    """The sums of ``pivot_sum`` for any number of column values, as sparse vectors.
+
+    The first table has (row, size, indices, values): indices ascending, of the column values
+    that the row key has, among ``size``. The second names the indices (column, rank), the most
+    frequent value first. Sums of nulls alone are null and left out, as are null column values.
+    The names never reach the driver; a row key's vector has as many entries as it has items.
+    """
+    known = df.where(F.col(column).isNotNull())
+    names = checkpointed(frequency_ranks(known, column))
+    sums = known.groupBy(row, F.col(column).cast("string").alias(column)).agg(F.sum(value).alias("tf_sum")).where("tf_sum is not null")
+    placed = lookup_join(sums, names, column)
+    entry = F.sort_array(F.collect_list(F.struct("rank", "tf_sum")))
+    size = names.agg(F.count(F.lit(1)).alias("size"))
+    vectors = placed.groupBy(row).agg(entry.alias("tf_entries")).select(
+        row, F.lit(size.first()["size"]).cast("bigint").alias("size"), F.col("tf_entries.rank").alias("indices"), F.col("tf_entries.tf_sum").alias("values")
+    )
+    return vectors, names

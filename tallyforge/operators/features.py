@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import checkpointed
+from .joins import lookup_join
+
 
 def index_stage(cols: Sequence[str], handle_invalid: str = "error") -> StringIndexer:
     """0 for the most frequent value, then by falling frequency, ties in alphabetical order."""
@@ -75,3 +79,29 @@ def vector_columns(df: DataFrame, vector: str, names: Sequence[str]) -> DataFram
     """The entries of a vector column as plain columns."""
     entries = vector_to_array(F.col(vector))
     return df.withColumns({name: entries[i] for i, name in enumerate(names)})
+
+
+def frequency_ranks(df: DataFrame, column: str, number: str = "rank") -> DataFrame:
+    """(column, number): the different values but null, numbered from 0 by falling frequency,
+    equal ones in alphabetical order: the numbers of ``StringIndexer`` without a label on the
+    driver. Values are sorted over all tasks, each task numbers its own, and the driver adds up
+    one count per task."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias(column)).agg(F.count(F.lit(1)).alias("tf_n"))
+    placed = checkpointed(counts.orderBy(F.desc("tf_n"), column).select(column, F.monotonically_increasing_id().alias("tf_at")))
+    part, row = F.shiftright("tf_at", 33), F.col("tf_at").bitwiseAND((1 << 33) - 1)
+    placed = placed.select(column, part.alias("tf_part"), row.alias("tf_row"))
+    sizes = sorted(placed.groupBy("tf_part").agg(F.max("tf_row").alias("last")).collect())
+    starts = [0, *accumulate(r["last"] + 1 for r in sizes)]
+    offsets = df.sparkSession.createDataFrame([(r["tf_part"], n) for r, n in zip(sizes, starts)], "tf_part long, tf_start long")
+    joined = placed.join(F.broadcast(offsets), "tf_part")
+    return joined.select(column, (F.col("tf_start") + F.col("tf_row")).alias(number))
+
+
+def rank_indexed(df: DataFrame, column: str, into: str) -> DataFrame:
+    """``df`` with the number of its value in a new column (as a double, like an index; null for
+    null). Few values are broadcast; with more of them the rows meet them in a join that splits
+    frequent values."""
+    ranks = frequency_ranks(df, column, "tf_rank").withColumnRenamed(column, "tf_value")
+    keyed = df.withColumn("tf_value", F.col(column).cast("string"))
+    joined = lookup_join(keyed, checkpointed(ranks), "tf_value", "left")
+    return joined.withColumn(into, F.col("tf_rank").cast("double")).drop("tf_rank", "tf_value")

@@ -146,6 +146,22 @@ def string_index(spark, sf):
     return feat.string_index(orders, ["o_orderpriority"])
 
 
+@query(
+    "rank_index",
+    """
+    WITH ranked AS (
+        SELECT o_custkey, CAST(row_number() OVER (ORDER BY count(*) DESC, CAST(o_custkey AS VARCHAR)) - 1 AS DOUBLE) AS customer_index
+        FROM orders GROUP BY o_custkey
+    )
+    SELECT o_orderkey, o_custkey, customer_index FROM orders JOIN ranked USING (o_custkey)
+    """,
+)
+def rank_index(spark, sf):
+    """Numbers for a column of many values, none of them on the driver."""
+    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return feat.rank_indexed(orders, "o_custkey", "customer_index")
+
+
 @query(
     "index_to_string",
     f"WITH {_PRIORITY_INDEX_SQL} "

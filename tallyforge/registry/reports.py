@@ -343,6 +343,30 @@ def key_sizes(spark, sf):
     return profile.key_sizes(read_table(spark, sf, "events"), "event_type")
 
 
+@query("key_count_bitmaps", "SELECT count(DISTINCT l_orderkey) AS keys FROM lineitem")
+def key_count_bitmaps(spark, sf):
+    """The number of orders, a bit each."""
+    return profile.integer_key_count(read_table(spark, sf, "lineitem"), "l_orderkey")
+
+
+@query(
+    "pivot_sparse",
+    """
+    WITH names AS (
+        SELECT l_partkey, row_number() OVER (ORDER BY count(*) DESC, CAST(l_partkey AS VARCHAR)) - 1 AS rank FROM lineitem GROUP BY l_partkey
+    ), sums AS (SELECT l_suppkey, l_partkey, CAST(sum(l_linenumber) AS BIGINT) AS total FROM lineitem GROUP BY ALL)
+    SELECT l_suppkey, (SELECT count(*) FROM names) AS size, string_agg(rank || ':' || total, ' ' ORDER BY rank) AS entries
+    FROM sums JOIN names USING (l_partkey) GROUP BY l_suppkey
+    """,
+)
+def pivot_sparse(spark, sf):
+    """Lines by supplier and part, one sparse vector per supplier."""
+    lines = read_table(spark, sf, "lineitem").select("l_suppkey", "l_partkey", F.col("l_linenumber").cast("bigint").alias("n"))
+    vectors, _ = crosstab.pivot_sparse(lines, "l_suppkey", "l_partkey", "n")
+    pairs = F.transform(F.arrays_zip("indices", "values"), lambda x: F.concat_ws(":", x["indices"], x["values"]))
+    return vectors.select("l_suppkey", "size", F.array_join(pairs, " ").alias("entries"))
+
+
 @query("key_count", "SELECT count(DISTINCT user_id) AS keys FROM events")
 def key_count(spark, sf):
     return profile.key_count(read_table(spark, sf, "events"), "user_id")

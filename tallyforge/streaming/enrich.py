@@ -24,14 +24,13 @@ def enrich_stream(
     """Start a left join of a stream with a static table into a parquet table at ``path``.
 
     An unknown id gives null. Batches are joined one by one and written to folders of their
-    own (``batch_id``), whatever the size of the table, so it may grow between two runs on one
-    checkpoint. A small table is broadcast; with a larger one the hot keys of each batch are
-    found and split.
+    own (``batch_id``), whatever the size of the table, so it may grow while the query runs: each
+    batch measures it anew. A small table is broadcast; with a larger one the hot keys of each
+    batch are found and split.
     """
-    small = is_small(dim, max_rows)
 
     def join(batch: DataFrame) -> DataFrame:
-        if small:
+        if is_small(dim, max_rows):
             return batch.join(F.broadcast(dim), key, "left")
         return salted_join(batch, dim, key, "left", spread)
 
