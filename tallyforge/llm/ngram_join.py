@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 
 from tallyforge.session import checkpointed
 
-from .components import components
+from .components import more_components
 from .textops import SPACED, Words, mix, pieces, windows_hash
 
 #: Sizes of a band lie within this factor; a set near the upper end also joins the next bands.
@@ -302,9 +302,8 @@ def _set_components(join: _Join) -> DataFrame:
     that no link is lost; these are the sets that agree in a block and yet have no link.
     """
     plan, spark = join.plan, join.docs.sparkSession
-    edges = spark.createDataFrame([], "a bigint, b bigint")
     labels = spark.createDataFrame([], "node bigint, component bigint")
-    tried = edges
+    tried = spark.createDataFrame([], "a bigint, b bigint")
     whole = Window.partitionBy("bucket")
     members = join.docs.mapInArrow(_keyed(plan), "bucket bigint, set bigint")
     shared = members.select("*", F.min("set").over(whole).alias("a"), F.max("set").over(whole).alias("z")).where("a <> z")
@@ -326,8 +325,7 @@ def _set_components(join: _Join) -> DataFrame:
         pairs = checkpointed(pairs.where("a <> b").distinct().join(tried, ["a", "b"], "left_anti"))
         if not pairs.isEmpty():
             tried = tried.union(pairs)
-            edges = checkpointed(edges.union(join.links(pairs)))
-            labels = components(edges)
+            labels = more_components(labels, join.links(pairs))
     return labels
 
 

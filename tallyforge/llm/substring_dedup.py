@@ -20,12 +20,12 @@ from pyspark.sql import DataFrame, Window
 
 from tallyforge.session import checkpointed
 
-from .components import components
+from .components import more_components
 from .textops import SPACED, Words, mix, pieces, sliding, windows_hash
 
 SHINGLE = 5
 PARAGRAPH = 32
-WINNOW = 16
+WINNOW = 19
 #: Any passage of so many words shared word by word is found.
 REACH = PARAGRAPH + WINNOW - 1
 #: Bands of ROWS MinHash values: at a similarity of 0.8 one pair of paragraphs collides with
@@ -36,6 +36,8 @@ ROWS = 2
 BAND_MASK = 7
 #: Members besides the first holder that all members of a bucket are compared with.
 PIVOTS = 3
+#: 64-bit words of a paragraph's parity sketch.
+SKETCH_WORDS = 4
 #: Contents a task remembers, to send copies once.
 SEEN = 200_000
 BROADCAST_ROWS = 500_000
@@ -128,10 +130,11 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _sketch(shingles: np.ndarray) -> int:
-    """64 parity bits: those of two sets differ in no more places than the sets in shingles."""
-    flips = np.bincount((mix(shingles) % np.uint64(64)).astype(np.int64), minlength=64) & 1
-    return int(np.packbits(flips.astype(np.uint8), bitorder="little").view(np.int64)[0])
+def _sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parity bits: those of two sets differ in no more places than the sets in shingles."""
+    bits = 64 * SKETCH_WORDS
+    flips = np.bincount((mix(shingles) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +154,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         contents.append(c)
                         shingles.append(distinct.view(np.int64))
                         sketches.append(_sketch(distinct))
-        yield pa.RecordBatch.from_arrays([pa.array(contents, pa.int64()), pa.array(shingles, pa.list_(pa.int64())), pa.array(sketches, pa.int64())], names=["content", "shingles", "sketch"])
+        yield pa.RecordBatch.from_arrays([pa.array(contents, pa.int64()), pa.array(shingles, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))], names=["content", "shingles", "sketch"])
 
 
 def _bounded(df: DataFrame) -> DataFrame:
@@ -172,9 +175,9 @@ def _member_pairs(members: DataFrame, above: float) -> DataFrame:
     """a and b of the members of a bucket that are in different components and that the Hamming
     distance of their sketches, a lower bound of the difference, does not rule out. The bounds
     are part of the join's condition: paragraphs alike below the threshold make no rows."""
-    names = ("bucket", "content", "low", "high", "label", "n", "sketch")
+    names = ("bucket", "content", "low", "high", "label", "n", *(f"s{k}" for k in range(SKETCH_WORDS)))
     left, right = (members.select(*[F.col(c).alias(f"{side}_{c}") for c in names]) for side in "ab")
-    apart = F.bit_count(F.col("a_sketch").bitwiseXOR(F.col("b_sketch")))
+    apart = sum((F.bit_count(F.col(f"a_s{k}").bitwiseXOR(F.col(f"b_s{k}"))) for k in range(1, SKETCH_WORDS)), F.bit_count(F.col("a_s0").bitwiseXOR(F.col("b_s0"))))
     fits = (
         (F.col("a_bucket") == F.col("b_bucket")) & (F.col("a_content") < F.col("b_content")) & (F.col("a_label") != F.col("b_label"))
         & (F.least("a_low", "b_low") != F.greatest("a_high", "b_high"))
@@ -191,17 +194,18 @@ def _passages(members: DataFrame, sets: DataFrame, above: float) -> DataFrame:
     component, every two members of different components are compared (sketches first). Contents of one and the same document are never
     linked to each other: its windows overlap.
     """
-    spark, whole = members.sparkSession, Window.partitionBy("bucket")
-    edges = spark.createDataFrame([], "a bigint, b bigint")
+    spark = members.sparkSession
     labels = spark.createDataFrame([], "node bigint, component bigint")
-    tried = edges
+    tried = spark.createDataFrame([], "a bigint, b bigint")
+    members = members.withColumn("label", F.col("content"))  # of buckets with several contents and documents
     for step in ("pivots", "all"):
-        known = labels.select(F.col("node").alias("content"), "component")
-        placed = members.drop("label").join(known, "content", "left").withColumn("label", F.coalesce("component", "content")).drop("component")
-        ends = placed.select("*", F.min("label").over(whole).alias("least"), F.max("label").over(whole).alias("most"), F.min("low").over(whole).alias("from"), F.max("high").over(whole).alias("to"))
-        members = checkpointed(ends.where("least <> most and from <> to").select("bucket", "content", "low", "high", "label"))
         if step == "all":
-            joined = _member_pairs(members.join(sets.select("content", F.size("s").alias("n"), "sketch"), "content"), above)
+            known = labels.select(F.col("node").alias("content"), "component")
+            placed = checkpointed(members.drop("label").join(known, "content", "left").withColumn("label", F.coalesce("component", "content")).drop("component"))
+            ends = placed.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.min("low").alias("from"), F.max("high").alias("to"))
+            open_ones = ends.where("least <> most and from <> to").select("bucket")
+            members = checkpointed(placed.join(open_ones, "bucket", "left_semi"))
+            joined = _member_pairs(members.join(sets.select("content", F.size("s").alias("n"), *[F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH_WORDS)]), "content"), above)
         else:
             chosen = F.struct("content", "low", "high", "label")
             some = F.array(F.min_by(chosen, F.struct("low", "content")), *[F.min_by(chosen, F.xxhash64("content", F.lit(k))) for k in range(PIVOTS)])
@@ -211,8 +215,7 @@ def _passages(members: DataFrame, sets: DataFrame, above: float) -> DataFrame:
         pairs = checkpointed(joined.distinct().join(tried, ["a", "b"], "left_anti"))
         if not pairs.isEmpty():
             tried = tried.union(pairs)
-            edges = checkpointed(edges.union(_similar(pairs, sets, above)))
-            labels = components(edges)
+            labels = more_components(labels, _similar(pairs, sets, above))
     return labels
 
 
@@ -231,7 +234,7 @@ def repeated(docs: DataFrame, key: str, text: str, above: float = 0.8) -> DataFr
     if not members.isEmpty():
         wanted = members.select("low", "content").distinct().groupBy(F.col("low").alias("doc")).agg(F.collect_list("content").alias("wanted"))
         sets = base.join(_bounded(wanted), F.col("key") == F.col("doc")).select("text", "wanted")
-        sets = sets.mapInArrow(_extract, "content bigint, shingles array<bigint>, sketch bigint")
+        sets = sets.mapInArrow(_extract, "content bigint, shingles array<bigint>, sketch array<bigint>")
         sets = checkpointed(sets.groupBy("content").agg(F.first("shingles").alias("s"), F.first("sketch").alias("sketch")))
         labels = _passages(members, sets, above)
     copies = shared.where("low <> high").select("content").distinct()
@@ -240,7 +243,7 @@ def repeated(docs: DataFrame, key: str, text: str, above: float = 0.8) -> DataFr
     places = base.mapInArrow(_places, "doc bigint, at int, content bigint")
     placed = checkpointed(places.join(_bounded(passages), "content"))
     firsts = placed.groupBy("passage").agg(F.min("doc").alias("first"))
-    return placed.join(firsts, "passage").where("doc <> first").select("doc", "at", "content", "first")
+    return placed.join(_bounded(firsts), "passage").where("doc <> first").select("doc", "at", "content", "first")
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", above: float = 0.8, prefix: str = "") -> DataFrame:

@@ -140,7 +140,7 @@ def test_recall_of_near_copies():
     ``repeated`` finds what collides, as the test above says."""
     r = random.Random(12)
     docs = {}
-    for k in range(1500):
+    for k in range(1800):
         own = words(r, 49).split()
         near = own[:]
         near[31 if k % 2 else 17] = "changed"
