@@ -1,6 +1,6 @@
 """Words, word hashes and shingle hashes of Arrow text columns, computed on whole batches.
 
-A batch is worked on in pieces of a few megabytes, so memory stays bounded however long the
+A batch is worked on in pieces of a megabyte, so memory stays bounded however long the
 batch; one text is never split, and needs about 30 bytes of memory per byte of its own.
 Nulls count as empty texts. All hashes are 64 bits wide and the same on every machine.
 """
@@ -12,7 +12,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
