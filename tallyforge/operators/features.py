@@ -8,7 +8,7 @@ from itertools import accumulate
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import checkpointed
 from .joins import lookup_join
@@ -81,20 +81,26 @@ def vector_columns(df: DataFrame, vector: str, names: Sequence[str]) -> DataFram
     return df.withColumns({name: entries[i] for i, name in enumerate(names)})
 
 
+def numbered(df: DataFrame, order: Sequence[Column], number: str) -> DataFrame:
+    """``df`` with its rows numbered from 0 in the given order. Rows are sorted over all tasks,
+    each task numbers its own, and the driver adds up one count per task."""
+    part, row = F.shiftright("tf_at", 33), F.col("tf_at").bitwiseAND((1 << 33) - 1)
+    placed = checkpointed(df.orderBy(*order).withColumn("tf_at", F.monotonically_increasing_id()))
+    placed = placed.withColumns({"tf_part": part, "tf_row": row})
+    sizes = sorted(placed.groupBy("tf_part").agg(F.max("tf_row").alias("last")).collect())
+    starts = [0, *accumulate(r["last"] + 1 for r in sizes)]
+    offsets = df.sparkSession.createDataFrame([(r["tf_part"], n) for r, n in zip(sizes, starts)], "tf_part long, tf_start long")
+    joined = placed.join(F.broadcast(offsets), "tf_part")
+    return joined.select(*df.columns, (F.col("tf_start") + F.col("tf_row")).alias(number))
+
+
 def frequency_ranks(df: DataFrame, column: str, number: str = "rank") -> DataFrame:
     """(column, number): the different values but null, numbered from 0 by falling frequency,
     equal ones in alphabetical order: the numbers of ``StringIndexer`` without a label on the
     driver. Values are sorted over all tasks, each task numbers its own, and the driver adds up
     one count per task."""
     counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias(column)).agg(F.count(F.lit(1)).alias("tf_n"))
-    placed = checkpointed(counts.orderBy(F.desc("tf_n"), column).select(column, F.monotonically_increasing_id().alias("tf_at")))
-    part, row = F.shiftright("tf_at", 33), F.col("tf_at").bitwiseAND((1 << 33) - 1)
-    placed = placed.select(column, part.alias("tf_part"), row.alias("tf_row"))
-    sizes = sorted(placed.groupBy("tf_part").agg(F.max("tf_row").alias("last")).collect())
-    starts = [0, *accumulate(r["last"] + 1 for r in sizes)]
-    offsets = df.sparkSession.createDataFrame([(r["tf_part"], n) for r, n in zip(sizes, starts)], "tf_part long, tf_start long")
-    joined = placed.join(F.broadcast(offsets), "tf_part")
-    return joined.select(column, (F.col("tf_start") + F.col("tf_row")).alias(number))
+    return numbered(counts, [F.desc("tf_n"), F.asc(column)], number).select(column, number)
 
 
 def rank_indexed(df: DataFrame, column: str, into: str) -> DataFrame:
