@@ -25,17 +25,18 @@ def tree_vs_forest(
     key: str | None = None,
     seed: int = 42,
     models: Sequence[str] = ("tree", "forest"),
+    bootstrap: bool = True,
 ) -> DataFrame:
     """(model, holdout_rows, accuracy, rules), one row per model.
 
     Categories enter as indices with their metadata, so trees split them as sets of
-    values; ``bins`` must reach the largest number of categories.
+    values; ``bins`` must reach the largest number of categories. Without ``bootstrap`` each tree of the forest is grown on all rows.
     """
     data = with_features(with_mark(df, key, holdout, seed), numeric, categorical, encode=False)
     columns = [F.col(label).cast("double").alias("label"), "features", "_held"]
     makers = {
         "tree": DecisionTreeClassifier(maxDepth=depth, maxBins=bins, seed=seed),
-        "forest": RandomForestClassifier(maxDepth=depth, numTrees=trees, maxBins=bins, seed=seed),
+        "forest": RandomForestClassifier(maxDepth=depth, numTrees=trees, maxBins=bins, seed=seed, bootstrap=bootstrap),
     }
     rows = []
     with persisted(data.select(*columns)) as kept:

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import features as feat, metrics, split
+from ..operators.inner_products import best_products
 from ..operators.joins import lookup_join
-from ..plans import classification, clusters, elastic_path, recommend, regression, trees, tuning, viewing
+from ..plans import classification, clusters, elastic_path, recommend, regression, shared_clusters, trees, tuning, viewing
 from ..plans.trials import trial_rows
 from ..session import checkpointed
 from ..sources.tables import read_table
@@ -371,9 +372,7 @@ def elastic_grid_fits(spark, sf):
     )
 
 
-@query(
-    "linreg_holdout",
-    f"""
+_HOLDOUT_SQL = f"""
     WITH points AS (
         SELECT l_quantity AS y, l_quantity * (1 - l_discount) AS x,
                CAST('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || '/42'), 1, 8) AS BIGINT)
@@ -397,11 +396,23 @@ def elastic_grid_fits(spark, sf):
            round(h.rmse, 5) AS rmse_holdout, round(h.r2, 6) AS r2_holdout,
            reg AS reg_param, elastic AS elastic_net_param
     FROM slope_of, quality t, quality h WHERE NOT t.held AND h.held
-    """,
-)
+"""
+
+
+@query("linreg_holdout", _HOLDOUT_SQL)
 def linreg_holdout(spark, sf):
     """The tuned job with a grid of one point, where SQL can follow all of it."""
-    report = tuning.tune_linreg(
+    return _holdout(tuning.tune_linreg, spark, sf)
+
+
+@query("pipeline_holdout", _HOLDOUT_SQL)
+def pipeline_holdout(spark, sf):
+    """The same as one pipeline."""
+    return _holdout(tuning.tune_linreg_pipeline, spark, sf)
+
+
+def _holdout(tune, spark, sf):
+    report = tune(
         _net_quantities(spark, sf), "l_quantity", ["net_quantity"],
         reg=[0.1], elastic=[0.0], key="l_orderkey",
     ).report
@@ -480,26 +491,37 @@ _RULE_SQL = """
 """
 
 
-@query(
-    "tree_one_category",
-    f"""
+def _one_category_sql(model):
+    return f"""
     WITH {_RULE_SQL}
-    SELECT 'tree' AS model, count(*) AS holdout_rows,
+    SELECT '{model}' AS model, count(*) AS holdout_rows,
            round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END::DOUBLE), 8) AS accuracy
     FROM rows_of JOIN rule USING (o_orderpriority) WHERE held
-    """,
-)
-def tree_one_category(spark, sf):
-    """Dear orders by priority. A tree over one category says each category's majority."""
+    """
+
+
+def _one_category(spark, sf, model):
     orders = read_table(spark, sf, "orders").select(
         "o_orderkey", "o_orderpriority", C.at_least("o_totalprice", 250000).alias("label")
     )
     found = trees.tree_vs_forest(
-        orders, "label", [], ["o_orderpriority"], key="o_orderkey", models=["tree"]
+        orders, "label", [], ["o_orderpriority"], key="o_orderkey", models=[model], bootstrap=False
     )
     return found.select("model", "holdout_rows", F.round("accuracy", 8).alias("accuracy"))
 
 
+@query("tree_one_category", _one_category_sql("tree"))
+def tree_one_category(spark, sf):
+    """Dear orders by priority. A tree over one category says each category's majority."""
+    return _one_category(spark, sf, "tree")
+
+
+@query("forest_one_category", _one_category_sql("forest"))
+def forest_one_category(spark, sf):
+    """Trees that all see every row of one category agree: the forest says the same."""
+    return _one_category(spark, sf, "forest")
+
+
 @query("churn_logistic")
 def churn_logistic(spark, sf):
     return viewing.stop_watching(_customers(spark, sf), key="c_custkey").report
@@ -663,6 +685,33 @@ def kmeans_sweep(spark, sf):
     return clusters.kmeans_sweep(_vectors(spark, sf), features="features")
 
 
+@query("kmeans_shared")
+def kmeans_shared(spark, sf):
+    """The sweep with all numbers of clusters fitted by the same scans."""
+    return shared_clusters.kmeans_shared(_vectors(spark, sf)).drop("distances")
+
+
+@query(
+    "kmeans_shared_separated",
+    """
+    WITH flags AS (SELECT l_returnflag AS f, count(*)::DOUBLE AS n FROM lineitem GROUP BY f),
+    merged AS (
+        SELECT 2 * a.n * b.n / (a.n + b.n) AS cost, a.n + b.n AS together
+        FROM flags a JOIN flags b ON a.f < b.f ORDER BY cost LIMIT 1
+    )
+    SELECT 3 AS k, 0.0::DOUBLE AS sse, n::BIGINT AS size FROM flags
+    UNION ALL SELECT 2, round(cost, 4), unnest([together, (SELECT sum(n) FROM flags) - together])::BIGINT FROM merged
+    """,
+)
+def kmeans_shared_separated(spark, sf):
+    """Lines at three places of equal distances: three clusters are those places, and two join
+    the pair of places that costs least."""
+    flags = [F.when(F.col("l_returnflag") == f, 1.0).otherwise(0.0) for f in "ANR"]
+    places = read_table(spark, sf, "lineitem").select(F.array(*flags).alias("features"))
+    found = shared_clusters.kmeans_shared(places, ks=[2, 3])
+    return found.select("k", F.round("sse", 4).alias("sse"), F.explode("sizes").alias("size"))
+
+
 @query(
     "cluster_sizes",
     "SELECT CAST(label AS DOUBLE) AS prediction, count(*) AS count FROM embeddings GROUP BY label",
@@ -724,6 +773,62 @@ def als_top5(spark, sf):
     return recommend.recommend(_ratings(spark, sf), 5)
 
 
+@query(
+    "als_pruned_agrees",
+    """
+    SELECT count(DISTINCT o_custkey) AS users, count(DISTINCT o_custkey) AS agreeing
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    """,
+)
+def als_pruned_agrees(spark, sf):
+    """Users whose five best ratings are the same with and without scoring all pairs."""
+    model = recommend.fit_ratings(_ratings(spark, sf))
+    full = model.recommendForAllUsers(5)
+    pruned = recommend.best_for_all(model, 5).withColumnRenamed("recommendations", "pruned")
+    paired = F.zip_with("recommendations", "pruned", lambda a, b: F.abs(a["rating"] - b["rating"]) <= 1e-4 * (1 + F.abs(a["rating"])))
+    same = F.forall(paired, lambda x: F.coalesce(x, F.lit(False)))
+    return full.join(pruned, "userId", "full").agg(
+        F.count(F.lit(1)).alias("users"), F.sum(F.coalesce(same, F.lit(False)).cast("bigint")).alias("agreeing")
+    )
+
+
+#: The priorities of orders.
+_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+def _sums(values):
+    return ", ".join(f"sum(CASE WHEN o_orderpriority = '{p}' THEN {values} ELSE 0 END)::DOUBLE AS p{n}" for n, p in enumerate(_PRIORITIES))
+
+
+@query(
+    "affinity_top5",
+    f"""
+    WITH users AS (SELECT o_custkey, {_sums("1")} FROM orders GROUP BY o_custkey),
+    items AS (SELECT l_partkey, {_sums("l_quantity")} FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_partkey),
+    scored AS (
+        SELECT o_custkey, l_partkey, {" + ".join(f"u.p{n} * i.p{n}" for n in range(len(_PRIORITIES)))} AS score
+        FROM users u, items i
+    )
+    SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY score DESC, l_partkey)::INTEGER AS rank,
+           l_partkey AS item, score
+    FROM scored QUALIFY rank <= 5
+    """,
+)
+def affinity_top5(spark, sf):
+    """Parts whose quantities by priority go best with a customer's orders by priority."""
+    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    lines = read_table(spark, sf, "lineitem").select("l_partkey", "l_linenumber", "l_quantity", F.col("l_orderkey").alias("o_orderkey"))
+    lines = lookup_join(lines, orders, "o_orderkey", spread=["l_partkey", "l_linenumber"])
+
+    def vector(value):
+        return F.array(*[F.sum(F.when(F.col("o_orderpriority") == p, value).otherwise(0)).cast("double") for p in _PRIORITIES]).alias("features")
+
+    found = best_products(
+        orders.groupBy("o_custkey").agg(vector(F.lit(1))), lines.groupBy("l_partkey").agg(vector(F.col("l_quantity"))), 5, "o_custkey", "l_partkey"
+    )
+    return found.drop("n_scored")
+
+
 @query(
     "recs_with_history",
     """
