@@ -49,17 +49,26 @@ def build_session(
 
 
 @contextmanager
-def shuffle_partitions(spark: SparkSession, n: int):
-    """Run the enclosed actions with ``n`` shuffle partitions, then put the old value back."""
-    key = "spark.sql.shuffle.partitions"
+def _setting(spark: SparkSession, key: str, value: str):
     old = spark.conf.get(key)
-    spark.conf.set(key, str(n))
+    spark.conf.set(key, value)
     try:
         yield spark
     finally:
         spark.conf.set(key, old)
 
 
+def shuffle_partitions(spark: SparkSession, n: int):
+    """Run the enclosed actions with ``n`` shuffle partitions, then put the old value back."""
+    return _setting(spark, "spark.sql.shuffle.partitions", str(n))
+
+
+def arrow_rows(spark: SparkSession, n: int):
+    """Run the enclosed actions with at most ``n`` rows in each Arrow batch handed to Python,
+    then put the old value back. Whole texts are held twice per batch, here and there."""
+    return _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(n))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -1,11 +1,12 @@
 from pathlib import Path
 
+import pyarrow as pa
 import pyspark.sql.functions as F
 import pytest
 
 from tallyforge import session
 from tallyforge.plans import files as jobs
-from tallyforge.session import checkpoint_root, scratch_path, shuffle_partitions
+from tallyforge.session import arrow_rows, checkpoint_root, scratch_path, shuffle_partitions
 from tallyforge.sources import streams, tables
 
 from .fixtures import CHAPTERS, TITLES, VIEWS, rows
@@ -100,6 +101,18 @@ def test_scratch_paths_are_new_and_shared(spark):
     assert a != b and a.startswith(checkpoint_root(spark))
 
 
+def test_arrow_batches_are_bounded_and_put_back(spark):
+    def longest():
+        sizes = spark.range(0, 100, 1, 1).mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"id": [b.num_rows]}) for b in batches), "id long")
+        return max(r["id"] for r in sizes.collect())
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    with pytest.raises(ZeroDivisionError), arrow_rows(spark, 30):
+        assert longest() == 30
+        1 / 0
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before and longest() == 100
+
+
 def test_shuffle_partitions_are_put_back(spark):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     with shuffle_partitions(spark, 10):
