@@ -20,7 +20,7 @@ import pyspark.sql.functions as F
 import xxhash
 from pyspark.sql import DataFrame, Window
 
-from tallyforge.session import checkpointed
+from tallyforge.session import arrow_rows, checkpointed
 
 from .components import more_components
 from .textops import SPACED, Words, mix, pieces, windows_hash
@@ -39,6 +39,8 @@ SHORT_LEAST = 64
 WORDS = 8
 #: Narrow rows that are broadcast at most.
 BROADCAST_ROWS = 500_000
+#: Rows of an Arrow batch, which holds whole texts, or two of them.
+BATCH_ROWS = 1000
 #: Further members that all members of an unsettled bucket are compared with.
 PIVOTS = 3
 
@@ -345,8 +347,9 @@ def linked(
     Sets are told apart by 64-bit hashes of 64-bit shingle hashes.
     """
     plan = Plan(above, below, shingle)
-    join = _Join(docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text")), plan)
-    labels = checkpointed(_set_components(join))
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        join = _Join(docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text")), plan)
+        labels = checkpointed(_set_components(join))
     placed = _labelled(join.sets.select("set", "key"), labels, "set")
     names = placed.groupBy("in_set").agg(F.min("key").alias("component_id"))
     named = placed.join(names, "in_set").select("set", "component_id")
@@ -367,9 +370,10 @@ def one_of_each(
     by one, so a key with two texts may lose one and keep the other. Rows without words stay.
     Rows are told apart by key and a 64-bit hash of the text.
     """
-    join = _Join(docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text")), Plan(above, below, shingle))
-    rows = join.profiles.where("set is not null").groupBy("key", "copy", "set").agg(F.count("*").alias("n"))
-    rows = checkpointed(_labelled(rows, _set_components(join), "set").select("key", "copy", "n", "in_set"))
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        join = _Join(docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text")), Plan(above, below, shingle))
+        rows = join.profiles.where("set is not null").groupBy("key", "copy", "set").agg(F.count("*").alias("n"))
+        rows = checkpointed(_labelled(rows, _set_components(join), "set").select("key", "copy", "n", "in_set"))
     order = F.struct(F.col("key").isNull().alias("nameless"), "key", "copy")
     best = rows.groupBy("in_set").agg(F.min(order).alias("best"), F.sum("n").alias("total")).where("total > 1")
     placed = checkpointed(rows.join(best, "in_set").select(F.col("key").alias("tf_key"), F.col("copy").alias("tf_copy"), "n", (order == F.col("best")).alias("stays")).where("n > 1 or not stays"))
