@@ -9,6 +9,7 @@ of the documents' ids; a Parquet table beside them lists them.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -24,35 +25,75 @@ from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Tokenizer
 
 from . import storage
-from .vocab import PieceCache, read_file
+from .vocab import PieceCache, byte_letters, read_file
 
 # Fixed values of the seekable format.
 KEYS_MAGIC = 0x184D2A50
 SEEK_MAGIC = 0x184D2A5E
 FOOTER_MAGIC = 0x8F92EAB1
 
+#: Latin-1 letters, each a composed letter with one lower-case form, and one mark.
+SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]*)([.,;:!?]?)").fullmatch
+#: Bytes, read as Latin-1, to the letters that stand for them.
+BYTE_LETTERS = {byte: letter for letter, byte in byte_letters().items()}
+
 ROWS_PER_SHARD = 50_000
 MOST_SHARDS = 20_000
 
 
 class LibraryEncoder:
     """Ids by the tokenizers library. White space ends every match of these vocabularies'
-    split, so a text is cut at spaces and line ends and each different chunk goes through the
-    library once. With another kind of split, ``whole`` sends whole texts."""
+    split, so a text is cut at spaces and line ends. Each different chunk is normalised and
+    split by the library once, and each different match merged by it once, so ``word,`` and
+    ``word.`` share the work. A run of Latin-1 letters with at most one mark behind it needs no
+    library to be split: the letters, lower-cased, are a match and the mark another. Chunks that
+    hold an added token go through the library as they are. With another kind of split,
+    ``whole`` sends whole texts."""
 
     def __init__(self, data: bytes, whole: bool = False):
         self.library = Tokenizer.from_str(data.decode())
         self.whole = whole
-        self.cache = PieceCache(self._encode, limit=500_000)
-
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(chunks, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.chunks = PieceCache(self._chunks, limit=400_000)
+        self.matches = PieceCache(self._matches, limit=200_000)
+
+    def _matches(self, matches: list[str]) -> list[bytes]:
+        merge = self.library.model.tokenize
+        return [_packed([t.id for t in merge(x)]) for x in matches]
+
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        normal, split = self.library.normalizer.normalize_str, self.library.pre_tokenizer.pre_tokenize_str
+        found: list = [None] * len(chunks)
+        ends, matches = [], []
+        for k, chunk in enumerate(chunks):
+            simple = SIMPLE(chunk)
+            if simple:
+                word, mark = simple.groups()
+                if word:
+                    word = word.lower()
+                    matches.append(word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS))
+                if mark:
+                    matches.append(mark)
+            elif any(x in chunk for x in self.added):
+                found[k] = _packed(self.library.encode(chunk, add_special_tokens=False).ids)
+            else:
+                matches += [x[0] for x in split(normal(chunk))]
+            ends.append(len(matches))
+        ids, start = self.matches.values(matches), 0
+        for k, end in enumerate(ends):
+            if found[k] is None:
+                found[k] = ids[start] if end == start + 1 else b"".join(ids[start:end])
+            start = end
+        return found
 
     def encode(self, text: str) -> bytes:
         if self.whole:
-            return self._encode([text])[0]
-        return b"".join(self.cache.values(text.replace("\n", " ").split(" ")))
+            return _packed(self.library.encode(text, add_special_tokens=False).ids)
+        return b"".join(self.chunks.values(text.replace("\n", " ").split(" ")))
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=2)

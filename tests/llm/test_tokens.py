@@ -106,6 +106,16 @@ def test_store_equals_library(spark):
     assert sorted(map(tuple, rows)) == expected_store(sorted(all_texts(spark)))
 
 
+def test_store_encoder_equals_library_on_random_texts():
+    rng, library = random.Random(5), Tokenizer.from_file(WORDS)
+    encoder = token_store.LibraryEncoder(vocab.read_file(WORDS))
+    signs = list("aBzÉßÀ×÷ÿªµº'strevmld9٣éǅΣİıſK<|>.,;!?\x00\t\r\x0b\x85\xa0\u2028\u3000漢한½ⅷﬁ \n")
+    signs += ["\u0301", "\u0327", "\u0345", "\u200d", "👍🏽", "'re", "'LL", "can't", "<|startoftext|>", "<|endoftext|>", " déjà,", " mots"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(signs) for _ in range(rng.randint(0, 30)))
+        assert encoder.encode(text) == u32(library.encode(text, add_special_tokens=False).ids), repr(text)
+
+
 def test_store_odd_texts_and_single_documents(spark, tmp_path):
     texts = odd_texts()
     docs = [(7 * k - 30, t) for k, t in enumerate(texts)] + [(5000, None), (5000, None), (5001, "")]
