@@ -41,6 +41,8 @@ SKETCH_WORDS = 4
 #: Contents a task remembers, to send copies once.
 SEEN = 200_000
 BROADCAST_ROWS = 500_000
+#: Members of a bucket that meet all of its members in one task.
+TILE = 1024
 
 
 class Paragraphs:
@@ -174,12 +176,18 @@ def _similar(pairs: DataFrame, sets: DataFrame, above: float) -> DataFrame:
 def _member_pairs(members: DataFrame, above: float) -> DataFrame:
     """a and b of the members of a bucket that are in different components and that the Hamming
     distance of their sketches, a lower bound of the difference, does not rule out. The bounds
-    are part of the join's condition: paragraphs alike below the threshold make no rows."""
+    are part of the join's condition: paragraphs alike below the threshold make no rows. A
+    bucket of more than TILE members is split into tiles of about that many, each met by all
+    members in a task of its own."""
+    tiles = F.ceil(F.col("size") / TILE).cast("int")
     names = ("bucket", "content", "low", "high", "label", "n", *(f"s{k}" for k in range(SKETCH_WORDS)))
-    left, right = (members.select(*[F.col(c).alias(f"{side}_{c}") for c in names]) for side in "ab")
+    left, right = (
+        members.select(*[F.col(c).alias(f"{side}_{c}") for c in names], tile.alias(f"{side}_tile"))
+        for side, tile in (("a", F.pmod(F.xxhash64("content"), tiles).cast("int")), ("b", F.explode(F.sequence(F.lit(0), tiles - 1))))
+    )
     apart = sum((F.bit_count(F.col(f"a_s{k}").bitwiseXOR(F.col(f"b_s{k}"))) for k in range(1, SKETCH_WORDS)), F.bit_count(F.col("a_s0").bitwiseXOR(F.col("b_s0"))))
     fits = (
-        (F.col("a_bucket") == F.col("b_bucket")) & (F.col("a_content") < F.col("b_content")) & (F.col("a_label") != F.col("b_label"))
+        (F.col("a_bucket") == F.col("b_bucket")) & (F.col("a_tile") == F.col("b_tile")) & (F.col("a_content") < F.col("b_content")) & (F.col("a_label") != F.col("b_label"))
         & (F.least("a_low", "b_low") != F.greatest("a_high", "b_high"))
         & (apart * (1 + above) <= (F.col("a_n") + F.col("b_n")) * (1 - above) + 1e-6)
     )
@@ -202,9 +210,9 @@ def _passages(members: DataFrame, sets: DataFrame, above: float) -> DataFrame:
         if step == "all":
             known = labels.select(F.col("node").alias("content"), "component")
             placed = checkpointed(members.drop("label").join(known, "content", "left").withColumn("label", F.coalesce("component", "content")).drop("component"))
-            ends = placed.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.min("low").alias("from"), F.max("high").alias("to"))
-            open_ones = ends.where("least <> most and from <> to").select("bucket")
-            members = checkpointed(placed.join(open_ones, "bucket", "left_semi"))
+            ends = placed.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.min("low").alias("from"), F.max("high").alias("to"), F.count("*").alias("size"))
+            open_ones = ends.where("least <> most and from <> to").select("bucket", "size")
+            members = checkpointed(placed.join(open_ones, "bucket"))
             joined = _member_pairs(members.join(sets.select("content", F.size("s").alias("n"), *[F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH_WORDS)]), "content"), above)
         else:
             chosen = F.struct("content", "low", "high", "label")
