@@ -147,3 +147,25 @@ def test_recall_of_near_copies():
         docs[k], docs[10_000 + k] = " ".join(own), " ".join(near)
     found, wanted = brute_force(docs, colliding=True), brute_force(docs, colliding=False)
     assert len(wanted) > 200 and found <= wanted and len(found) >= 0.99 * len(wanted)
+
+
+def test_tiles_of_a_hot_bucket_lose_no_pair(spark, monkeypatch):
+    rows = []
+    for bucket, count in ((8, 40), (16, 7), (24, 2), (32, 1)):
+        for k in range(count):
+            sketch = [(1 << (k % 50)) - 1, k % 3, 0, 0]
+            rows.append((bucket, 1000 * bucket + k * 37 % 101, k % 5, k % 5 + k % 2, k // 4, 20 + k % 4, *sketch, count))
+    names = "bucket bigint, content bigint, low bigint, high bigint, label bigint, n int, s0 bigint, s1 bigint, s2 bigint, s3 bigint, size bigint"
+    members = spark.createDataFrame(rows, names)
+    expected = []
+    for a in rows:
+        for b in rows:
+            if a[0] != b[0] or a[1] >= b[1] or a[4] == b[4] or min(a[2], b[2]) == max(a[3], b[3]):
+                continue
+            apart = sum((x ^ y).bit_count() for x, y in zip(a[6:10], b[6:10]))
+            if apart * 1.8 <= (a[5] + b[5]) * 0.2 + 1e-6:
+                expected.append((a[1], b[1]))
+    assert len(expected) > 50
+    for tile in (1, 3, 1024):
+        monkeypatch.setattr(substring_dedup, "TILE", tile)
+        assert sorted(map(tuple, substring_dedup._member_pairs(members, 0.8).collect())) == sorted(expected)
