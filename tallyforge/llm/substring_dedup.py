@@ -41,8 +41,9 @@ SKETCH_WORDS = 4
 #: Contents a task remembers, to send copies once.
 SEEN = 200_000
 BROADCAST_ROWS = 500_000
-#: Members of a bucket that meet all of its members in one task.
-TILE = 1024
+#: Members of a bucket that meet all of its members in one task: so many that comparing a row
+#: costs far more than sending it to one more task.
+TILE = 4096
 
 
 class Paragraphs:
