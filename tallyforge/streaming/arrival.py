@@ -8,17 +8,25 @@ it vanishes from the table that the stream keeps.
 
 from __future__ import annotations
 
+import sys
 import time
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
 
+from ..session import rocksdb_state
 from .durations import millis
 from .sinks import latest_rows, upsert_stream
 
+# The processor travels whole, not by its name: Spark first runs it in a worker on the driver,
+# which does not see the files that are sent to the tasks (--py-files).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 class ArrivalPanes(StatefulProcessor):
     """The panes of one key: pane number (time / slide) to count. At most size/slide + 1 of
     them are held, whatever the number of rows."""
@@ -77,8 +85,11 @@ def arrival_counts(stream: DataFrame, key: str, size: str, slide: str) -> DataFr
 
 def start_arrivals(stream: DataFrame, key: str, size: str, slide: str, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Start the counts into the change log at ``path``, a micro-batch every ``every`` (by
-    default every ``slide``): panes leave the windows also while nothing arrives."""
-    return upsert_stream(arrival_counts(stream, key, size, slide), path, checkpoint, every or f"{millis(slide)} milliseconds")
+    default every ``slide``): panes leave the windows also while nothing arrives. The state is
+    held in RocksDB, whatever the session's own setting."""
+    counts = arrival_counts(stream, key, size, slide)
+    with rocksdb_state(stream.sparkSession):
+        return upsert_stream(counts, path, checkpoint, every or f"{millis(slide)} milliseconds")
 
 
 def current_counts(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:

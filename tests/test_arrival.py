@@ -1,10 +1,16 @@
 """Windows over the time of arrival: keys come, stay for the window, and vanish."""
 
+import os
+import subprocess
+import sys
 import time
 
 import pytest
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
-from tallyforge.streaming.arrival import arrival_counts, current_counts, start_arrivals
+from tallyforge.registry import QUERIES
+from tallyforge.streaming.arrival import ArrivalPanes, arrival_counts, current_counts, start_arrivals
 from tallyforge.streaming.durations import millis
 
 
@@ -65,3 +71,29 @@ def test_keys_vanish_and_survive_a_restart(spark, tmp_path):
     query.stop()
     query.awaitTermination()
     assert query.exception() is None
+
+
+def test_processor_needs_no_import(tmp_path):
+    """Spark's worker on the driver does not see what --py-files has sent to the tasks."""
+    file = tmp_path / "processor"
+    file.write_bytes(cloudpickle.dumps(ArrivalPanes("kind", 5, 1000)))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    load = f"import sys; from pyspark import cloudpickle; p = cloudpickle.load(open({str(file)!r}, 'rb')); print(p.width, 'tallyforge' in sys.modules)"
+    found = subprocess.run([sys.executable, "-c", load], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=60)
+    assert found.stdout.split() == ["5", "False"], found.stderr
+
+
+def test_query_in_a_session_with_another_state_store(spark, tmp_path):
+    """As in a session that build_session has not made; a missing type is counted too."""
+    rows = [("x",), ("x",), ("y",), ("",), (None,), (None,), (None,)]
+    spark.createDataFrame(rows, "event_type string").withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/events.parquet")
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key)
+    plain = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(key, plain)
+    try:
+        found = QUERIES["arrival_views"](spark, str(tmp_path)).collect()
+        assert spark.conf.get(key) == plain
+    finally:
+        spark.conf.set(key, old)
+    assert {r.event_type: r["count"] for r in found} == {"x": 2, "y": 1, "": 1, None: 3}
