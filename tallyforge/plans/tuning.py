@@ -18,6 +18,10 @@ from ..operators.split import marked_split, with_mark
 from ..session import persisted
 
 
+#: A grid search passes over its rows some hundred times, in tasks of so many rows.
+ROWS_PER_TASK = 250_000
+
+
 @dataclass
 class Tuned:
     """A chosen model, its one-row report, the grid it was chosen from and its
@@ -113,7 +117,7 @@ def tune_linreg(
     """
     data = with_features(with_mark(df, key, holdout, seed), numeric, categorical)
     columns = [F.col(label).cast("double").alias("label"), "features"]
-    with persisted(data.select(*columns, "_held")) as kept:
+    with persisted(data.select(*columns, "_held"), ROWS_PER_TASK) as kept:
         train, held = marked_split(kept, holdout, seed)
         search = _search(
             LinearRegression(), RegressionEvaluator(metricName="r2"),
@@ -151,7 +155,7 @@ def tune_linreg_pipeline(
         reg, elastic, train_ratio, seed, parallelism,
     )
     stages: list[Estimator] = feature_stages(numeric, categorical, handle_invalid="keep")
-    with persisted(data.select("label", *inputs, "_held")) as kept:
+    with persisted(data.select("label", *inputs, "_held"), ROWS_PER_TASK) as kept:
         train, held = marked_split(kept, holdout, seed)
         fitted = Pipeline(stages=[*stages, search]).fit(train)
         *steps, tuned = fitted.stages
@@ -199,7 +203,7 @@ def tune_logreg(
     )
     data = with_features(with_mark(df, key, holdout, seed), numeric, categorical)
     columns = [F.col(label).cast("double").alias("label"), "features"]
-    with persisted(data.select(*columns, "_held")) as kept:
+    with persisted(data.select(*columns, "_held"), ROWS_PER_TASK) as kept:
         train, held = marked_split(kept, holdout, seed)
         search = _search(
             LogisticRegression(), evaluator, reg, elastic, train_ratio, seed, parallelism

@@ -5,6 +5,8 @@ import pyspark.sql.functions as F
 import pytest
 
 from tallyforge import session
+from tallyforge.operators.split import marked_split
+from tallyforge.plans import tuning
 from tallyforge.plans import files as jobs
 from tallyforge.session import arrow_rows, checkpoint_root, scratch_path, shuffle_partitions
 from tallyforge.sources import streams, tables
@@ -157,3 +159,22 @@ def test_checkpointed_table_keeps_types(spark):
     df = spark.sql("SELECT 1 AS `a b`, CAST('x' AS BINARY) AS raw, array(named_struct('c', 1.5D)) AS nested, DATE'2024-01-01' AS day WHERE 1 = 0")
     kept = session.checkpointed(df)
     assert kept.count() == 0 and kept.schema.simpleString() == df.schema.simpleString()
+
+
+def test_kept_rows_are_passed_over_in_few_tasks(spark):
+    """Each task of each pass sends something to the driver: a grid search over many small
+    partitions does not take one task for each of them."""
+    cores = spark.sparkContext.defaultParallelism
+    for parts, per_task, tasks in ((200, 100_000, cores), (200, 10, 100), (3, 10, 3), (200, None, 200)):
+        with session.persisted(spark.range(0, 1000, 1, parts), per_task) as kept:
+            assert kept.rdd.getNumPartitions() == max(tasks, min(parts, cores)) and kept.count() == 1000
+
+
+def test_grid_search_bounds_its_tasks(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(tuning, "marked_split", lambda df, *more: (seen.append(df.rdd.getNumPartitions()), marked_split(df, *more))[1])
+    df = spark.range(0, 400, 1, 100).selectExpr("id", "id % 7 AS x", "CAST(id % 3 = 0 AS INT) AS y")
+    for tune in (tuning.tune_logreg, tuning.tune_linreg, tuning.tune_linreg_pipeline):
+        seen.clear()
+        tune(df, "y", ["x"], reg=(0.1,), elastic=(0.0,), key="id")
+        assert seen[0] <= spark.sparkContext.defaultParallelism
