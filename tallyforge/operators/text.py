@@ -47,8 +47,8 @@ def top_words(
 LIST_WORDS = 500_000
 
 
-def _lists(words: DataFrame, pick) -> DataFrame:
-    """word, count and lists of what ``pick`` takes from each local list: the counts of the
+def _lists(words: DataFrame, n: int) -> DataFrame:
+    """word, count and whether the word is among the first n of its local list: the counts of the
     words of a task, or of a part of them once there are LIST_WORDS different ones. Each task
     adds a row with a null word that says how many lists it had."""
     limit = LIST_WORDS
@@ -58,47 +58,52 @@ def _lists(words: DataFrame, pick) -> DataFrame:
         lists = 0
         for batch in batches:
             found = pc.value_counts(batch.column("word"))
-            for word, n in zip(found.field("values").to_pylist(), found.field("counts").to_pylist()):
-                counts[word] += n
+            for word, k in zip(found.field("values").to_pylist(), found.field("counts").to_pylist()):
+                counts[word] += k
             if len(counts) >= limit:
-                yield _picked(pick(counts), None)
+                yield _listed(counts)
                 counts, lists = Counter(), lists + 1
-        yield _picked(pick(counts), lists + 1)
+        yield _listed(counts)
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.string()), pa.array([lists + 1], pa.int64()), pa.array([True])], names=["word", "count", "first"])
 
-    def _picked(rows: list[tuple[str, int]], lists: int | None) -> pa.RecordBatch:
-        if lists is not None:
-            rows = [*rows, (None, lists)]
-        return pa.RecordBatch.from_arrays([pa.array([w for w, _ in rows], pa.string()), pa.array([n for _, n in rows], pa.int64())], names=["word", "count"])
+    def _listed(counts: Counter[str]) -> pa.RecordBatch:
+        top = {w for w, _ in nsmallest(n, counts.items(), key=lambda x: (-x[1], x[0]))}
+        first = pa.array([w in top for w in counts], pa.bool_())
+        return pa.RecordBatch.from_arrays([pa.array(counts, pa.string()), pa.array(counts.values(), pa.int64()), first], names=["word", "count", "first"])
 
-    return words.mapInArrow(run, "word string, count bigint")
+    return words.mapInArrow(run, "word string, count bigint, first boolean")
+
+
+def _candidates(lists: DataFrame, n: int) -> DataFrame:
+    """The words of stored lists that :func:`word_candidates` lets through."""
+    sums = lists.where("first").groupBy("word").agg(F.sum("count").alias("count"))
+    top = sums.orderBy(F.col("word").isNotNull(), F.desc("count")).limit(n + 1).collect()
+    number = max(1, top[0]["count"]) if top else 1
+    threshold = top[n]["count"] if len(top) > n else 1
+    least = -(-threshold // number)
+    return lists.where(F.col("word").isNotNull() & (F.col("count") >= least)).select("word").distinct()
 
 
 def word_candidates(words: DataFrame, n: int) -> DataFrame:
     """The only words that can be among the ``n`` most frequent (column ``word``).
 
-    Two passes count locally. Sums over the lists' own first n are lower bounds of counts; the
-    n-th largest of them is the threshold t. A word with t occurrences or more has at least
-    t / m of them in one of the m lists, so words with fewer in each list are out.
+    Words are counted locally, once. Sums over the lists' own first n are lower bounds of
+    counts; the n-th largest of them is the threshold t. A word with t occurrences or more has
+    at least t / m of them in one of the m lists, so words with fewer in each list are out.
     """
-    first = _lists(words, lambda counts: nsmallest(n, counts.items(), key=lambda x: (-x[1], x[0])))
-    sums = first.groupBy("word").agg(F.sum("count").alias("count"))
-    top = sums.orderBy(F.col("word").isNotNull(), F.desc("count")).limit(n + 1).collect()
-    lists = max(1, top[0]["count"]) if top else 1
-    threshold = top[n]["count"] if len(top) > n else 1
-    least = -(-threshold // lists)
-    often = _lists(words, lambda counts: [x for x in counts.items() if x[1] >= least])
-    return often.where(F.col("word").isNotNull()).select("word").distinct()
+    return _candidates(checkpointed(_lists(words, n)), n)
 
 
 def top_words_threshold(df: DataFrame, text: str, stop: DataFrame | Iterable[str] | None = None, n: int = 10) -> DataFrame:
-    """The same as :func:`top_words` without shuffling the counts of all words: a third pass
-    counts the candidates alone. Three scans instead of one, so it pays where different words
-    are many and their counts, not the scan, are what costs."""
+    """The same as :func:`top_words` without shuffling the counts of all words: the local lists
+    are stored, and only the candidates' counts in them are shuffled and added up. The texts are
+    read once; the lists take as much disk as their different words."""
     words = split_words(df, text)
     if isinstance(stop, DataFrame):
         words = lookup_join(words, stop.select("word"), "word", "left_anti", skewed=False)
     elif stop is not None:
         words = words.filter(~F.col("word").isin(*stop))
-    candidates = checkpointed(word_candidates(words, n))
-    exact = lookup_join(words, candidates, "word", "left_semi", skewed=False).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    lists = checkpointed(_lists(words, n))
+    candidates = checkpointed(_candidates(lists, n))
+    exact = lookup_join(lists, candidates, "word", "left_semi", skewed=False).groupBy("word").agg(F.sum("count").alias("count"))
     return exact.orderBy(F.desc("count"), "word").limit(n)

@@ -118,3 +118,16 @@ def test_threshold_shuffles_few_words(spark):
     words = text.split_words(spark.createDataFrame(lines, "text string").repartition(8), "text")
     local = words.groupBy(F.spark_partition_id(), "word").count().count()  # what a plain count shuffles
     assert text.word_candidates(words, 10).count() < 0.1 * local
+
+
+def test_threshold_reads_the_texts_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(x):
+        seen.add(1)
+        return x
+
+    df = spark.createDataFrame([("a b b",), ("b c",), (None,), ("d",)] * 50, "text string").repartition(3)
+    df = df.select(F.udf(noted, "string").asNondeterministic()("text").alias("text"))
+    assert [tuple(x) for x in text.top_words_threshold(df, "text", None, 2).collect()] == [("b", 150), ("a", 50)]
+    assert seen.value == 200
