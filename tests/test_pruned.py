@@ -38,6 +38,32 @@ def test_products_are_those_of_all_pairs(spark, monkeypatch, pass_bytes):
     assert sorted((x["id"], x["rank"], x["item"], x["score"]) for x in few) == _best(users, items[:2], 4)
 
 
+@pytest.mark.parametrize("pass_bytes", [2000, 32 << 20])
+def test_all_pairs_without_bounds(spark, monkeypatch, pass_bytes):
+    """Every item is multiplied, also for users of zeros, in one pass or in some."""
+    monkeypatch.setattr(inner_products, "PASS_BYTES", pass_bytes)
+    r = random.Random(9)
+    items = [(k, [float(r.randrange(-3, 4)) * (1 + 9 * (k % 7 == 0)) for _ in range(3)]) for k in range(120)]
+    users = [(k, [float(r.randrange(-3, 4)) for _ in range(3)]) for k in range(20)] + [(20, [0.0] * 3)]
+    got = inner_products.best_products(_vectors(spark, users), _vectors(spark, items), 4, bounded=False).collect()
+    assert sorted((x["id"], x["rank"], x["item"], x["score"]) for x in got) == _best(users, items, 4)
+    assert {x["n_scored"] for x in got} == {120}
+
+
+def test_no_query_shuffles_lists_per_block(spark, monkeypatch):
+    """Spark's own top lists cost a shuffled row for each user and block of items."""
+    def refused(*_):
+        raise AssertionError("all pairs by blocks")
+
+    for name in ("recommendForAllUsers", "recommendForUserSubset"):
+        monkeypatch.setattr(recommend.ALSModel, name, refused)
+    ratings = spark.createDataFrame([(u, i, 1.0 + (u * i) % 5) for u in range(8) for i in range(u % 3, 12, 2)], "userId int, courseId int, rating double")
+    some = ratings.where("userId < 3").select("userId")
+    for options in ({}, {"pruned": False}):
+        assert recommend.recommend(ratings, 4, iterations=2, **options).count() == 8
+        assert recommend.recommend(ratings, 4, users=some, iterations=2, **options).count() == 3
+
+
 def test_rows_that_take_no_part(spark):
     odd = [(None, [1.0, 1.0]), (7, None), (8, [1.0, None]), (9, [float("nan"), 0.0]), (10, [float("inf"), 0.0])]
     users, items = _vectors(spark, [(1, [1.0, 2.0]), *odd]), _vectors(spark, [(5, [3.0, 4.0]), *odd])
