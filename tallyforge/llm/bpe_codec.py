@@ -23,6 +23,10 @@ from .vocab import PIECES, PieceCache, rank_file, read_file
 
 _NONE = 1 << 62
 _POSITION = 32
+#: Pieces kept per generation of the cache, and rows encoded or decoded at a time: with two cores
+#: an executor holds four workers (encoders and decoders) beside its heap.
+CACHED = 150_000
+ROWS = 500
 
 
 class ByteBpe:
@@ -31,7 +35,7 @@ class ByteBpe:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.cache = PieceCache(lambda pieces: [self._ids(p.encode()) for p in pieces])
+        self.cache = PieceCache(lambda pieces: [self._ids(p.encode()) for p in pieces], limit=CACHED)
 
     def _ids(self, piece: bytes) -> bytes:
         whole = self.ranks.get(piece)
@@ -99,10 +103,16 @@ def _codec(data: bytes) -> ByteBpe:
     return ByteBpe(rank_file(data))
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first in range(0, batch.num_rows, ROWS):
+            yield batch.slice(first, ROWS)
+
+
 def _encoder(shared, keep: list[str], names: list[str], text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared.value)
-        for batch in batches:
+        for batch in _parts(batches):
             ids = [codec.encode(x.as_py() or "") for x in batch.column(text)]
             yield pa.RecordBatch.from_arrays([*map(batch.column, keep), pa.array(ids, pa.binary())], names=names)
 
@@ -112,7 +122,7 @@ def _encoder(shared, keep: list[str], names: list[str], text: str):
 def _decoder(shared, keep: list[str], names: list[str], ids: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared.value)
-        for batch in batches:
+        for batch in _parts(batches):
             found = [codec.decode(x.as_py() or b"") for x in batch.column(ids)]
             yield pa.RecordBatch.from_arrays([*map(batch.column, keep), pa.array(found, pa.binary())], names=names)
 

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -141,3 +142,19 @@ def test_store_odd_texts_and_single_documents(spark, tmp_path):
         token_store.read_ids(spark, f"{tmp_path}/a").collect()
     assert token_store.write_ids(df.limit(0), WORDS, f"{tmp_path}/b").count() == 0
     assert token_store.read_ids(spark, f"{tmp_path}/b").count() == 0
+
+
+def test_codec_holds_little(spark):
+    """Large batches are worked on in parts, and the cache of pieces stays small."""
+    from types import SimpleNamespace
+
+    data = vocab.read_file(RANKS)
+    texts = [f"line {k} of a text" for k in range(1201)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1202)), pa.array(texts)], names=["id", "text"])
+    out = list(bpe_codec._encoder(SimpleNamespace(value=data), ["id"], ["id", "ids"], "text")(iter([batch])))
+    assert [x.num_rows for x in out] == [500, 500, 202]
+    back = list(bpe_codec._decoder(SimpleNamespace(value=data), ["id"], ["id", "text"], "ids")(iter(out)))
+    assert [x.num_rows for x in back] == [500, 500, 202]
+    assert [x.as_py().decode() for b in back for x in b.column("text")] == [x or "" for x in texts]
+    assert [x.as_py() for b in back for x in b.column("id")] == list(range(1202))
+    assert bpe_codec._codec(data).cache.limit <= 150_000
