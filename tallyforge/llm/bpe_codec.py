@@ -4,7 +4,8 @@ The merges of a piece are found with a segment tree over its byte positions. A l
 rank of the pair that starts there, a node the leftmost smallest rank below it, so the root is
 the next merge. A merge changes three leaves - the pair itself, its right part, which is gone,
 and the pair to its left - and the nodes above them: O(log n) each, O(n log n) a piece, however
-long the piece.
+long the piece. In pieces of up to SHORT bytes the next merge is found by looking at all pairs
+left, which is several times faster there.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyspark.sql.types as T
 from pyspark.sql import DataFrame
 
 from .textops import free_name
-from .vocab import PIECES, PieceCache, rank_file, read_file
+from .vocab import PIECES, PieceCache, packed, rank_file, read_file
 
 _NONE = 1 << 62
 _POSITION = 32
@@ -27,6 +28,8 @@ _POSITION = 32
 #: an executor holds four workers (encoders and decoders) beside its heap.
 CACHED = 150_000
 ROWS = 500
+#: Bytes of a piece whose merges are found without a tree.
+SHORT = 64
 
 
 class ByteBpe:
@@ -39,11 +42,27 @@ class ByteBpe:
 
     def _ids(self, piece: bytes) -> bytes:
         whole = self.ranks.get(piece)
-        ids = self.merge(piece) if whole is None else [whole]
-        return np.array(ids, "<u4").tobytes()
+        return packed(self.merge(piece) if whole is None else [whole])
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of the tokens left when no neighbours can be merged."""
+        return self._short(piece) if len(piece) <= SHORT else self._long(piece)
+
+    def _short(self, piece: bytes) -> list[int]:
+        ranks, rank = self.ranks, self.ranks.get
+        token = [piece[k : k + 1] for k in range(len(piece))]
+        pairs = [rank(piece[k : k + 2], _NONE) for k in range(len(piece) - 1)]
+        while pairs and (least := min(pairs)) != _NONE:
+            at = pairs.index(least)
+            del pairs[at]
+            token[at] += token.pop(at + 1)
+            if at < len(pairs):
+                pairs[at] = rank(token[at] + token[at + 1], _NONE)
+            if at:
+                pairs[at - 1] = rank(token[at - 1] + token[at], _NONE)
+        return [ranks[t] for t in token]
+
+    def _long(self, piece: bytes) -> list[int]:
         ranks, n = self.ranks, len(piece)
         token = [piece[k : k + 1] for k in range(n)]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import json
+import struct
 from collections.abc import Callable
 
 import public_tokenizers
@@ -48,6 +49,11 @@ def merge_file(data: bytes) -> tuple[list[int], dict[tuple[int, int], tuple[int,
     return ids, merges, [t["content"] for t in parsed.get("added_tokens", [])]
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class PieceCache:
     """Values of pieces, computed once while they are among the recently used. Two
     generations of up to ``limit`` entries; pieces over ``longest`` characters are not kept."""
@@ -58,25 +64,23 @@ class PieceCache:
         self.old: dict = {}
 
     def values(self, pieces: list[str]) -> list:
-        found = list(map(self.young.get, pieces))
+        young, old = self.young, self.old
+        found = list(map(young.get, pieces))
         if None not in found:
             return found
-        holes = [k for k, v in enumerate(found) if v is None]
-        unknown = {}
-        for k in holes:
-            piece = pieces[k]
-            value = self.old.get(piece)
+        unknown = []
+        for piece in {p for p, v in zip(pieces, found) if v is None}:
+            value = old.get(piece)
             if value is None:
-                unknown[piece] = None
+                unknown.append(piece)
             else:
-                self.young[piece] = value
+                young[piece] = value
         if unknown:
-            unknown = dict(zip(unknown, self.compute(list(unknown))))
-            self.young.update(x for x in unknown.items() if len(x[0]) <= self.longest)
-        for k in holes:
-            piece = pieces[k]
-            value = self.young.get(piece)
-            found[k] = unknown[piece] if value is None else value
-        if len(self.young) > self.limit:
-            self.old, self.young = self.young, {}
+            young.update(zip(unknown, self.compute(unknown)))
+        found = list(map(young.__getitem__, pieces))
+        for piece in unknown:
+            if len(piece) > self.longest:
+                del young[piece]
+        if len(young) > self.limit:
+            self.old, self.young = young, {}
         return found

@@ -158,3 +158,20 @@ def test_codec_holds_little(spark):
     assert [x.as_py().decode() for b in back for x in b.column("text")] == [x or "" for x in texts]
     assert [x.as_py() for b in back for x in b.column("id")] == list(range(1202))
     assert bpe_codec._codec(data).cache.limit <= 150_000
+
+
+def test_short_pieces_merge_without_a_tree(monkeypatch):
+    codec, rng = bpe_codec.ByteBpe(vocab.rank_file(vocab.read_file(RANKS))), random.Random(9)
+    pieces = ["".join(rng.choice("aabcdeéß漢 ._") for _ in range(rng.randint(1, 20))).encode() for _ in range(3000)]
+    expected = [codec._long(p) for p in pieces]
+    monkeypatch.setattr(codec, "_long", None)
+    assert [codec.merge(p) for p in pieces] == expected
+
+
+def test_piece_cache_computes_each_piece_once():
+    asked = []
+    cache = vocab.PieceCache(lambda pieces: asked.extend(pieces) or [p.encode() for p in pieces], limit=3, longest=4)
+    for pieces in (["a", "b", "a"], [], ["b", "longer", "longer", "c"], ["d", "a"], ["longer", "b"], ["e", "f", "g"]):
+        assert cache.values(pieces) == [p.encode() for p in pieces]
+    assert sorted(asked) == ["a", "b", "c", "d", "e", "f", "g", "longer", "longer"]
+    assert "longer" not in cache.young and "longer" not in cache.old
