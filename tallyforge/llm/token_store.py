@@ -25,15 +25,17 @@ from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Tokenizer
 
 from . import storage
-from .vocab import PieceCache, byte_letters, read_file
+from .vocab import PieceCache, byte_letters, packed, read_file
 
 # Fixed values of the seekable format.
 KEYS_MAGIC = 0x184D2A50
 SEEK_MAGIC = 0x184D2A5E
 FOOTER_MAGIC = 0x8F92EAB1
 
-#: Latin-1 letters, each a composed letter with one lower-case form, and one mark.
-SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]*)([.,;:!?]?)").fullmatch
+#: Printable ASCII and composed Latin-1 letters, each with one lower-case form, and the split of
+#: such texts in lower case.
+TYPED = re.compile("[ \n!-~À-ÖØ-öø-ÿ]*").fullmatch
+MATCHES = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^ \na-zß-öø-ÿ0-9]+").findall
 #: Bytes, read as Latin-1, to the letters that stand for them.
 BYTE_LETTERS = {byte: letter for letter, byte in byte_letters().items()}
 
@@ -42,60 +44,47 @@ MOST_SHARDS = 20_000
 
 
 class LibraryEncoder:
-    """Ids by the tokenizers library. White space ends every match of these vocabularies'
-    split, so a text is cut at spaces and line ends. Each different chunk is normalised and
-    split by the library once, and each different match merged by it once, so ``word,`` and
-    ``word.`` share the work. A run of Latin-1 letters with at most one mark behind it needs no
-    library to be split: the letters, lower-cased, are a match and the mark another. Chunks that
-    hold an added token go through the library as they are. With another kind of split,
-    ``whole`` sends whole texts."""
+    """Ids by the tokenizers library, which merges each different match of these vocabularies'
+    split once. Printable ASCII and Latin-1 letters need no library to be lower-cased and split.
+    Other texts are cut at white space, which ends every match: each different chunk of them is
+    normalised and split by the library once. What holds an added token goes through the library
+    as it is. With another kind of split, ``whole`` sends whole texts."""
 
     def __init__(self, data: bytes, whole: bool = False):
         self.library = Tokenizer.from_str(data.decode())
         self.whole = whole
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.chunks = PieceCache(self._chunks, limit=400_000)
-        self.matches = PieceCache(self._matches, limit=200_000)
+        self.words = PieceCache(self._words, limit=400_000)
+        self.chunks = PieceCache(self._chunks, limit=150_000)
+        self.matches = PieceCache(self._matches, limit=50_000)
 
     def _matches(self, matches: list[str]) -> list[bytes]:
         merge = self.library.model.tokenize
-        return [_packed([t.id for t in merge(x)]) for x in matches]
+        return [packed([t.id for t in merge(x)]) for x in matches]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        return self._matches([x if x.isascii() else x.encode().decode("latin-1").translate(BYTE_LETTERS) for x in words])
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
         normal, split = self.library.normalizer.normalize_str, self.library.pre_tokenizer.pre_tokenize_str
-        found: list = [None] * len(chunks)
-        ends, matches = [], []
-        for k, chunk in enumerate(chunks):
-            simple = SIMPLE(chunk)
-            if simple:
-                word, mark = simple.groups()
-                if word:
-                    word = word.lower()
-                    matches.append(word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS))
-                if mark:
-                    matches.append(mark)
-            elif any(x in chunk for x in self.added):
-                found[k] = _packed(self.library.encode(chunk, add_special_tokens=False).ids)
+        found = []
+        for chunk in chunks:
+            if any(x in chunk for x in self.added):
+                found.append(packed(self.library.encode(chunk, add_special_tokens=False).ids))
+            elif TYPED(chunk):
+                found.append(b"".join(self.words.values(MATCHES(chunk.lower()))))
             else:
-                matches += [x[0] for x in split(normal(chunk))]
-            ends.append(len(matches))
-        ids, start = self.matches.values(matches), 0
-        for k, end in enumerate(ends):
-            if found[k] is None:
-                found[k] = ids[start] if end == start + 1 else b"".join(ids[start:end])
-            start = end
+                found.append(b"".join(self.matches.values([x[0] for x in split(normal(chunk))])))
         return found
 
     def encode(self, text: str) -> bytes:
         if self.whole:
-            return _packed(self.library.encode(text, add_special_tokens=False).ids)
+            return packed(self.library.encode(text, add_special_tokens=False).ids)
+        if TYPED(text) and not any(x in text for x in self.added):
+            return b"".join(self.words.values(MATCHES(text.lower())))
         return b"".join(self.chunks.values(text.replace("\n", " ").split(" ")))
 
 
-def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
-
-
 @lru_cache(maxsize=2)
 def _library(data: bytes, whole: bool) -> LibraryEncoder:
     return LibraryEncoder(data, whole)

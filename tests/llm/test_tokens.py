@@ -175,3 +175,11 @@ def test_piece_cache_computes_each_piece_once():
         assert cache.values(pieces) == [p.encode() for p in pieces]
     assert sorted(asked) == ["a", "b", "c", "d", "e", "f", "g", "longer", "longer"]
     assert "longer" not in cache.young and "longer" not in cache.old
+
+
+def test_store_splits_typed_texts_without_library(monkeypatch):
+    library = Tokenizer.from_file(WORDS)
+    encoder = token_store.LibraryEncoder(vocab.read_file(WORDS))
+    monkeypatch.setattr(encoder.chunks, "compute", None)
+    for text in ("Été*** l'ÀME d'été, 2024!!\nit's $5.20 (x_y) <|end", "", " ", "'''sVE we'LL \n 'd"):
+        assert encoder.encode(text) == u32(library.encode(text, add_special_tokens=False).ids), text
