@@ -44,6 +44,10 @@ BROADCAST_ROWS = 500_000
 #: Members of a bucket that meet all of its members in one task: so many that comparing a row
 #: costs far more than sending it to one more task.
 TILE = 4096
+#: Members of a bucket whose pairs may all become rows. Those of larger ones are compared in blocks
+#: of two times BLOCK members, and make no more rows than members.
+DENSE = 64
+BLOCK = 512
 
 
 class Paragraphs:
@@ -166,10 +170,27 @@ def _bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept
 
 
+def _fits(above: float) -> F.Column:
+    """Whether the Hamming distance of the sketches of a and b, a lower bound of the difference,
+    does not rule the pair out."""
+    apart = sum((F.bit_count(F.col(f"a_s{k}").bitwiseXOR(F.col(f"b_s{k}"))) for k in range(1, SKETCH_WORDS)), F.bit_count(F.col("a_s0").bitwiseXOR(F.col("b_s0"))))
+    return apart * (1 + above) <= (F.col("a_n") + F.col("b_n")) * (1 - above) + 1e-6
+
+
+def _near(pairs: DataFrame, sets: DataFrame, above: float) -> DataFrame:
+    """The pairs that their sketches do not rule out; no shingles are sent for it."""
+    side = lambda c: sets.select(F.col("content").alias(c), F.col("n").alias(f"{c}_n"), *[F.col("sketch")[k].alias(f"{c}_s{k}") for k in range(SKETCH_WORDS)])
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(_fits(above)).select("a", "b")
+
+
 def _similar(pairs: DataFrame, sets: DataFrame, above: float) -> DataFrame:
-    """The pairs (a, b) of contents whose shingles are similar."""
-    side = lambda c, s: sets.select(F.col("content").alias(c), F.col("s").alias(s))
-    both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
+    """The pairs (a, b) of contents whose shingles are similar. Only the shingles of pairs that
+    their sketches leave are sent."""
+    near = checkpointed(_near(pairs, sets, above))
+    needed = near.select(F.col("a").alias("content")).union(near.select("b")).distinct()
+    needed = sets.join(_bounded(needed), "content", "left_semi")
+    side = lambda c, s: needed.select(F.col("content").alias(c), F.col("s").alias(s))
+    both = near.join(side("a", "x"), "a").join(side("b", "y"), "b")
     common = F.size(F.array_intersect("x", "y"))
     return both.where(common >= F.lit(above) * (F.size("x") + F.size("y") - common)).select("a", "b")
 
@@ -186,22 +207,73 @@ def _member_pairs(members: DataFrame, above: float) -> DataFrame:
         members.select(*[F.col(c).alias(f"{side}_{c}") for c in names], tile.alias(f"{side}_tile"))
         for side, tile in (("a", F.pmod(F.xxhash64("content"), tiles).cast("int")), ("b", F.explode(F.sequence(F.lit(0), tiles - 1))))
     )
-    apart = sum((F.bit_count(F.col(f"a_s{k}").bitwiseXOR(F.col(f"b_s{k}"))) for k in range(1, SKETCH_WORDS)), F.bit_count(F.col("a_s0").bitwiseXOR(F.col("b_s0"))))
     fits = (
         (F.col("a_bucket") == F.col("b_bucket")) & (F.col("a_tile") == F.col("b_tile")) & (F.col("a_content") < F.col("b_content")) & (F.col("a_label") != F.col("b_label"))
         & (F.least("a_low", "b_low") != F.greatest("a_high", "b_high"))
-        & (apart * (1 + above) <= (F.col("a_n") + F.col("b_n")) * (1 - above) + 1e-6)
+        & _fits(above)
     )
     return left.join(right, fits).select(F.col("a_content").alias("a"), F.col("b_content").alias("b"))
 
 
+def _forest(above: float):
+    """Links between the members of a block that lie in different components, as few as connect
+    what they connect. A block has the members of one part of a bucket, or those of two parts,
+    which then only meet across."""
+
+    def run(key: tuple[pa.Scalar, ...], block: pa.Table) -> pa.Table:
+        content, label, low, high, part = (block.column(c).to_numpy() for c in ("content", "label", "low", "high", "part"))
+        size = block.column("n").to_numpy().astype(np.int64)
+        sketch = np.stack([block.column(f"s{k}").to_numpy() for k in range(SKETCH_WORDS)], 1).view(np.uint64)
+        sets = block.column("s")
+        root: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while (up := root.get(x, x)) != x:
+                root[x] = root.get(up, up)
+                x = up
+            return x
+
+        one, two = key[1].as_py(), key[2].as_py()
+        rows, others = np.flatnonzero(part == one), np.flatnonzero(part == two)
+        out: list[tuple[int, int]] = []
+        for k in rows.tolist():
+            apart = np.bitwise_count(sketch[others] ^ sketch[k]).sum(1)
+            near = (apart * (1 + above) <= (size[others] + size[k]) * (1 - above) + 1e-6) & (label[others] != label[k])
+            near &= np.minimum(low[others], low[k]) != np.maximum(high[others], high[k])
+            if one == two:
+                near &= content[others] > content[k]
+            for m in others[near].tolist():
+                x, y = top(int(label[k])), top(int(label[m]))
+                if x != y:
+                    common = len(np.intersect1d(sets[k].values.to_numpy(), sets[m].values.to_numpy(), assume_unique=True))
+                    if common >= above * (size[k] + size[m] - common):
+                        root[x] = y
+                        out.append((int(content[k]), int(content[m])))
+        found = np.sort(np.array(out, np.int64).reshape(-1, 2), 1)
+        return pa.table({"a": found[:, 0], "b": found[:, 1]})
+
+    return run
+
+
+def _block_links(members: DataFrame, sets: DataFrame, above: float) -> DataFrame:
+    """Links (a, b) that connect the members of each bucket as all their links do. Every two
+    members meet, in blocks of bounded size that are tasks of their own, with their shingles; a
+    block makes at most a row for each member, however many are alike."""
+    parts = F.ceil(F.col("size") / BLOCK).cast("int")
+    placed = members.withColumn("part", F.pmod(F.xxhash64("content"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    wide = placed.join(sets.select("content", "n", "s", *[F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH_WORDS)]), "content")
+    ends = wide.withColumn("one", F.least("part", "other")).withColumn("two", F.greatest("part", "other")).drop("other", "size")
+    return ends.groupBy("bucket", "one", "two").applyInArrow(_forest(above), "a bigint, b bigint")
+
+
 def _passages(members: DataFrame, sets: DataFrame, above: float) -> DataFrame:
     """node and component of every content that is similar to one of another document.
 
     The members of a bucket are first compared with its first holder and with PIVOTS others
     picked by hash, at a cost linear in the bucket. In buckets that still hold more than one
-    component, every two members of different components are compared (sketches first). Contents of one and the same document are never
-    linked to each other: its windows overlap.
+    component, every two members of different components are compared (sketches first): as a
+    join in buckets of up to DENSE members, else in blocks. Contents of one and the same document
+    are never linked to each other: its windows overlap.
     """
     spark = members.sparkSession
     labels = spark.createDataFrame([], "node bigint, component bigint")
@@ -214,7 +286,11 @@ def _passages(members: DataFrame, sets: DataFrame, above: float) -> DataFrame:
             ends = placed.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.min("low").alias("from"), F.max("high").alias("to"), F.count("*").alias("size"))
             open_ones = ends.where("least <> most and from <> to").select("bucket", "size")
             members = checkpointed(placed.join(open_ones, "bucket"))
-            joined = _member_pairs(members.join(sets.select("content", F.size("s").alias("n"), *[F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH_WORDS)]), "content"), above)
+            few = members.where(F.col("size") <= DENSE)
+            joined = _member_pairs(few.join(sets.select("content", "n", *[F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH_WORDS)]), "content"), above)
+            links = checkpointed(_block_links(members.where(F.col("size") > DENSE), sets, above))
+            if not links.isEmpty():
+                labels = more_components(labels, links)
         else:
             chosen = F.struct("content", "low", "high", "label")
             some = F.array(F.min_by(chosen, F.struct("low", "content")), *[F.min_by(chosen, F.xxhash64("content", F.lit(k))) for k in range(PIVOTS)])
@@ -244,7 +320,7 @@ def repeated(docs: DataFrame, key: str, text: str, above: float = 0.8) -> DataFr
         wanted = members.select("low", "content").distinct().groupBy(F.col("low").alias("doc")).agg(F.collect_list("content").alias("wanted"))
         sets = base.join(_bounded(wanted), F.col("key") == F.col("doc")).select("text", "wanted")
         sets = sets.mapInArrow(_extract, "content bigint, shingles array<bigint>, sketch array<bigint>")
-        sets = checkpointed(sets.groupBy("content").agg(F.first("shingles").alias("s"), F.first("sketch").alias("sketch")))
+        sets = checkpointed(sets.groupBy("content").agg(F.first("shingles").alias("s"), F.first("sketch").alias("sketch")).withColumn("n", F.size("s")))
         labels = _passages(members, sets, above)
     copies = shared.where("low <> high").select("content").distinct()
     known = labels.select(F.col("node").alias("content"), "component")

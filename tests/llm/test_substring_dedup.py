@@ -2,6 +2,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyforge.llm import substring_dedup
@@ -169,3 +170,42 @@ def test_tiles_of_a_hot_bucket_lose_no_pair(spark, monkeypatch):
     for tile in (1, 3, 1024):
         monkeypatch.setattr(substring_dedup, "TILE", tile)
         assert sorted(map(tuple, substring_dedup._member_pairs(members, 0.8).collect())) == sorted(expected)
+
+
+def test_blocks_of_hot_buckets_lose_no_link(spark, monkeypatch):
+    """As ``test_members_of_a_bucket_meet``, with every open bucket compared in small blocks."""
+    monkeypatch.setattr(substring_dedup, "DENSE", 1)
+    monkeypatch.setattr(substring_dedup, "BLOCK", 8)
+    docs = template_documents(random.Random(11), 150)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(4)
+    found = {(x.doc, x["at"]) for x in substring_dedup.repeated(df, "doc_id", "text").collect()}
+    assert found == brute_force(docs, colliding=True)
+
+
+def test_blocks_make_no_more_rows_than_members():
+    """A group of near copies has links by the square of its size; a block gives a forest."""
+    r, n, rows = random.Random(3), 60, []
+    base = [r.randrange(1 << 62) for _ in range(28)]
+    for k in range(n):
+        own = np.unique(np.array([*base[:26], k * 1000 + 1, k * 1000 + 2], np.uint64))
+        rows.append((k * 37 % 101, k * 37 % 101, k, k, 0, len(own), *substring_dedup._sketch(own).tolist(), own.view(np.int64).tolist()))
+    names = ["content", "label", "low", "high", "part", "n", *(f"s{k}" for k in range(substring_dedup.SKETCH_WORDS)), "s"]
+    block = pa.table(dict(zip(names, map(list, zip(*rows)))))
+    links = substring_dedup._forest(0.8)((pa.scalar(1), pa.scalar(0), pa.scalar(0)), block).to_pylist()
+    assert len(links) == n - 1 and all(x["a"] < x["b"] for x in links)
+    reached = {links[0]["a"]}
+    for _ in range(n):
+        reached |= {y for x in links for y in x.values() if reached & set(x.values())}
+    assert len(reached) == n
+
+
+def test_sketches_rule_pairs_out_before_shingles_are_sent(spark):
+    r, sets = random.Random(4), []
+    base = [r.randrange(1 << 62) for _ in range(28)]
+    for k, shared in enumerate((28, 26, 20, 5, 0)):
+        own = np.unique(np.array([*base[:shared], *(r.randrange(1 << 62) for _ in range(28 - shared))], np.uint64))
+        sets.append((k, own.view(np.int64).tolist(), substring_dedup._sketch(own).tolist(), len(own)))
+    sets = spark.createDataFrame(sets, "content bigint, s array<bigint>, sketch array<bigint>, n int")
+    pairs = spark.createDataFrame([(0, k) for k in range(1, 5)], "a bigint, b bigint")
+    assert [tuple(x) for x in substring_dedup._near(pairs, sets, 0.8).collect()] == [(0, 1)]
+    assert [tuple(x) for x in substring_dedup._similar(pairs, sets, 0.8).collect()] == [(0, 1)]
