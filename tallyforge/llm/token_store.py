@@ -12,7 +12,8 @@ from __future__ import annotations
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -35,7 +36,7 @@ FOOTER_MAGIC = 0x8F92EAB1
 #: Printable ASCII and composed Latin-1 letters, each with one lower-case form, and the split of
 #: such texts in lower case.
 TYPED = re.compile("[ \n!-~À-ÖØ-öø-ÿ]*").fullmatch
-MATCHES = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^ \na-zß-öø-ÿ0-9]+").findall
+MATCHES = re.compile("[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^ \na-zß-öø-ÿ0-9]+").findall
 #: Bytes, read as Latin-1, to the letters that stand for them.
 BYTE_LETTERS = {byte: letter for letter, byte in byte_letters().items()}
 
@@ -43,6 +44,33 @@ ROWS_PER_SHARD = 50_000
 MOST_SHARDS = 20_000
 
 
+class MergedWords(dict):
+    """Ids of matches, merged one by one when they are met first: a match that is there costs one
+    look-up. Two generations of up to ``limit`` entries; matches over ``longest`` characters are
+    not kept."""
+
+    def __init__(self, merge: Callable[[str], bytes], limit: int, longest: int = 200):
+        super().__init__()
+        self.merge, self.limit, self.longest = merge, limit, longest
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        value = self.old.get(word)
+        if value is None:
+            value = self.merge(word)
+            if len(word) > self.longest:
+                return value
+        self[word] = value
+        return value
+
+    def joined(self, words: list[str]) -> bytes:
+        found = b"".join(map(self.__getitem__, words))
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()
+        return found
+
+
 class LibraryEncoder:
     """Ids by the tokenizers library, which merges each different match of these vocabularies'
     split once. Printable ASCII and Latin-1 letters need no library to be lower-cased and split.
@@ -54,16 +82,17 @@ class LibraryEncoder:
         self.library = Tokenizer.from_str(data.decode())
         self.whole = whole
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.words = PieceCache(self._words, limit=400_000)
+        self.merge = self.library.model.tokenize
+        self.words = MergedWords(self._word, limit=400_000)
         self.chunks = PieceCache(self._chunks, limit=150_000)
         self.matches = PieceCache(self._matches, limit=50_000)
 
     def _matches(self, matches: list[str]) -> list[bytes]:
-        merge = self.library.model.tokenize
-        return [packed([t.id for t in merge(x)]) for x in matches]
+        return [packed([t.id for t in self.merge(x)]) for x in matches]
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        return self._matches([x if x.isascii() else x.encode().decode("latin-1").translate(BYTE_LETTERS) for x in words])
+    def _word(self, word: str) -> bytes:
+        letters = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return array("I", [t.id for t in self.merge(letters)]).tobytes()
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
         normal, split = self.library.normalizer.normalize_str, self.library.pre_tokenizer.pre_tokenize_str
@@ -72,7 +101,7 @@ class LibraryEncoder:
             if any(x in chunk for x in self.added):
                 found.append(packed(self.library.encode(chunk, add_special_tokens=False).ids))
             elif TYPED(chunk):
-                found.append(b"".join(self.words.values(MATCHES(chunk.lower()))))
+                found.append(self.words.joined(MATCHES(chunk.lower())))
             else:
                 found.append(b"".join(self.matches.values([x[0] for x in split(normal(chunk))])))
         return found
@@ -81,7 +110,7 @@ class LibraryEncoder:
         if self.whole:
             return packed(self.library.encode(text, add_special_tokens=False).ids)
         if TYPED(text) and not any(x in text for x in self.added):
-            return b"".join(self.words.values(MATCHES(text.lower())))
+            return self.words.joined(MATCHES(text.lower()))
         return b"".join(self.chunks.values(text.replace("\n", " ").split(" ")))
 
 

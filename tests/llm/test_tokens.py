@@ -183,3 +183,12 @@ def test_store_splits_typed_texts_without_library(monkeypatch):
     monkeypatch.setattr(encoder.chunks, "compute", None)
     for text in ("Été*** l'ÀME d'été, 2024!!\nit's $5.20 (x_y) <|end", "", " ", "'''sVE we'LL \n 'd"):
         assert encoder.encode(text) == u32(library.encode(text, add_special_tokens=False).ids), text
+
+
+def test_store_words_are_merged_once():
+    asked = []
+    cache = token_store.MergedWords(lambda word: asked.append(word) or word.encode(), limit=3, longest=4)
+    for words in (["a", "b", "a"], [], ["b", "longer", "c"], ["d", "a"], ["longer", "b"], ["e", "f", "g"]):
+        assert cache.joined(words) == "".join(words).encode()
+    assert sorted(asked) == ["a", "b", "c", "d", "e", "f", "g", "longer", "longer"]
+    assert "longer" not in cache and "longer" not in cache.old and len(cache) <= 3
