@@ -48,6 +48,8 @@ TILE = 4096
 #: of two times BLOCK members, and make no more rows than members.
 DENSE = 64
 BLOCK = 512
+#: Shingles are counted in so many slots (by their leading bits) to tell rare ones from frequent.
+SLOT_BITS = 16
 
 
 class Paragraphs:
@@ -266,13 +268,65 @@ def _block_links(members: DataFrame, sets: DataFrame, above: float) -> DataFrame
     return ends.groupBy("bucket", "one", "two").applyInArrow(_forest(above), "a bigint, b bigint")
 
 
+def _rare(sets: DataFrame, above: float) -> DataFrame:
+    """content and rare: the rarest shingles of each set, so many that two similar sets share one
+    of them. A set of n shingles shares at least above * n with a similar one; in one order of
+    all shingles, n + 1 less that number from its start cannot miss those of the other."""
+    bits = np.uint64(64 - SLOT_BITS)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << SLOT_BITS, np.int64)
+        for batch in batches:
+            flat = batch.column("s").flatten().to_numpy().view(np.uint64)
+            total += np.bincount((flat >> bits).astype(np.int64), minlength=len(total))
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["slot", "times"])
+
+    counted = sets.select("s").mapInArrow(count, "slot bigint, times bigint").groupBy("slot").agg(F.sum("times").alias("times")).toArrow()
+    often = np.zeros(1 << SLOT_BITS, np.int64)
+    often[counted.column("slot").to_numpy()] = counted.column("times").to_numpy()
+    shared = sets.sparkSession.sparkContext.broadcast(often)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = batch.column("s").flatten().to_numpy().view(np.uint64)
+            size = batch.column("s").value_lengths().to_numpy()
+            row = np.repeat(np.arange(len(size)), size)
+            order = np.lexsort((flat, shared.value[flat >> bits], row))
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+            first = size + 1 - np.ceil(above * size - 1e-9).astype(np.int64)
+            keep = place < first[row]
+            yield pa.RecordBatch.from_arrays([batch.column("content").take(pa.array(row[keep])), _signed(flat[order][keep])], names=["content", "rare"])
+
+    return sets.select("content", "s").mapInArrow(pick, "content bigint, rare bigint")
+
+
+def _finer(members: DataFrame, sets: DataFrame, above: float) -> DataFrame:
+    """The members of open buckets in finer ones, of those that share a rare shingle too. Similar
+    members of a bucket still meet; those that share what is frequent alone do not. A member
+    makes a row for each of its rare shingles, however large its bucket."""
+    keyed = members.join(_rare(sets, above), "content").select(F.xxhash64("bucket", "rare").alias("bucket"), "content", "low", "high", "label")
+    return checkpointed(_open(keyed))
+
+
+def _open(members: DataFrame) -> DataFrame:
+    """The members, with its size, of each bucket that holds several components and documents."""
+    whole = Window.partitionBy("bucket")
+    ends = members.select(
+        "*", F.count("*").over(whole).alias("size"), F.min("label").over(whole).alias("least"), F.max("label").over(whole).alias("most"),
+        F.min("low").over(whole).alias("from"), F.max("high").over(whole).alias("to"),
+    )
+    return ends.where("least <> most and from <> to").drop("least", "most", "from", "to")
+
+
 def _passages(members: DataFrame, sets: DataFrame, above: float) -> DataFrame:
     """node and component of every content that is similar to one of another document.
 
     The members of a bucket are first compared with its first holder and with PIVOTS others
-    picked by hash, at a cost linear in the bucket. In buckets that still hold more than one
-    component, every two members of different components are compared (sketches first): as a
-    join in buckets of up to DENSE members, else in blocks. Contents of one and the same document
+    picked by hash, at a cost linear in the bucket. Buckets that still hold more than one
+    component are cut finer, by the rare shingles of their members; in those, every two members
+    of different components are compared (sketches first): as a join in buckets of up to DENSE
+    members, else in blocks. Contents of one and the same document
     are never linked to each other: its windows overlap.
     """
     spark = members.sparkSession
@@ -282,10 +336,8 @@ def _passages(members: DataFrame, sets: DataFrame, above: float) -> DataFrame:
     for step in ("pivots", "all"):
         if step == "all":
             known = labels.select(F.col("node").alias("content"), "component")
-            placed = checkpointed(members.drop("label").join(known, "content", "left").withColumn("label", F.coalesce("component", "content")).drop("component"))
-            ends = placed.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.min("low").alias("from"), F.max("high").alias("to"), F.count("*").alias("size"))
-            open_ones = ends.where("least <> most and from <> to").select("bucket", "size")
-            members = checkpointed(placed.join(open_ones, "bucket"))
+            placed = members.drop("label").join(known, "content", "left").withColumn("label", F.coalesce("component", "content")).drop("component")
+            members = _finer(_open(placed), sets, above)
             few = members.where(F.col("size") <= DENSE)
             joined = _member_pairs(few.join(sets.select("content", "n", *[F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH_WORDS)]), "content"), above)
             links = checkpointed(_block_links(members.where(F.col("size") > DENSE), sets, above))

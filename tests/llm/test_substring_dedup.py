@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pyspark.sql.functions as F
 import pytest
 
 from tallyforge.llm import substring_dedup
@@ -209,3 +210,24 @@ def test_sketches_rule_pairs_out_before_shingles_are_sent(spark):
     pairs = spark.createDataFrame([(0, k) for k in range(1, 5)], "a bigint, b bigint")
     assert [tuple(x) for x in substring_dedup._near(pairs, sets, 0.8).collect()] == [(0, 1)]
     assert [tuple(x) for x in substring_dedup._similar(pairs, sets, 0.8).collect()] == [(0, 1)]
+
+
+def test_large_buckets_are_cut_by_rare_shingles(spark):
+    """Members alike below the threshold make rows in proportion to their number and do not meet;
+    similar ones do."""
+    r, sets, members = random.Random(8), [], []
+    base = [r.randrange(1 << 62) for _ in range(20)]
+    for k in range(300):
+        own = base + [r.randrange(1 << 62) for _ in range(8)]
+        for copy in range(2 if k % 10 == 0 else 1):
+            own = [*own[:26], *(r.randrange(1 << 62) for _ in range(2))]
+            content = 2 * k + copy
+            sets.append((content, own, len(own)))
+            members.append((7, content, content, content, content))
+    sets = spark.createDataFrame(sets, "content bigint, s array<bigint>, n int")
+    rare = substring_dedup._rare(sets, 0.8)
+    assert rare.count() == 6 * len(members)
+    members = spark.createDataFrame(members, "bucket bigint, content bigint, low bigint, high bigint, label bigint")
+    found = substring_dedup._finer(members, sets, 0.8).groupBy("bucket").agg(F.collect_set("content").alias("c")).collect()
+    met = {tuple(sorted(x.c)) for x in found}
+    assert met <= {(20 * k, 20 * k + 1) for k in range(30)} and len(met) == 30
