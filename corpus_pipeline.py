@@ -18,7 +18,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject (a score under 0.5); all of them where no
     labelled text is there to train on."""
-    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), in_task=True)
     if not model.trained:
         return docs
     return toxicity.score(docs, model, prefix="tf_").where("tf_predicted = 0").select(*docs.columns)

@@ -8,6 +8,7 @@ column - and moved to 0.5.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -238,10 +239,11 @@ def fold_of(key: F.Column) -> F.Column:
     return F.crc32(key.cast("string").cast("binary")) % 5
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", in_task: bool = False) -> Model:
     """Train on labelled texts outside fold 0. At most SAMPLE_ROWS of them (those with the
     smallest hash of the key, so the same at any layout) and SAMPLE_WORDS of their words are
-    fetched, as the 16 leading bits of each word hash; nothing else reaches the driver. A text
+    fetched, as the 16 leading bits of each word hash; nothing else reaches the driver. With
+    ``in_task`` a task fetches them and trains, and the driver holds their sizes and the model alone. A text
     that does not fit what is left of SAMPLE_WORDS is passed over alone. Null
     texts, keys and labels teach nothing. Conflicting labels of a key: the larger counts; of
     several texts with one key, the one whose hashes sort first."""
@@ -280,7 +282,14 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             chosen.append((own,))
             left -= n
     fitting = docs.sparkSession.createDataFrame(chosen, T.StructType([found.schema["tf_key"]]))
-    rows = found.join(F.broadcast(fitting), "tf_key").toArrow()
+    rows = found.join(F.broadcast(fitting), "tf_key")
+    if not in_task:
+        return _of_sample(rows.toArrow())
+    made = rows.coalesce(1).mapInArrow(_in_task, "model binary").collect()
+    return pickle.loads(made[0].model) if made else train([], np.zeros(0, np.int64))
+
+
+def _of_sample(rows: pa.Table) -> Model:
     order = pc.sort_indices(rows.column("tf_key")).to_numpy()
     # Views of the fetched buffers, 16 bits a feature from here to the training steps.
     texts = [
@@ -291,6 +300,13 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     return train([texts[i] for i in order], marks[order], languages=rows.column("language").to_numpy()[order])
 
 
+def _in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = [x for x in batches if x.num_rows]
+    if rows:
+        model = pickle.dumps(_of_sample(pa.Table.from_batches(rows)))
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], names=["model"])
+
+
 def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, prefix: str = "") -> DataFrame:
     """The columns ``keep`` (default all), score (0 to 1) and predicted (1 from 0.5 on), their
     names led by ``prefix``, of every whole text.

@@ -57,3 +57,15 @@ def test_text_over_the_word_bound_is_passed_over_alone(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "train", lambda texts, labels, languages: taught.update(sizes=sorted(map(len, texts))))
     toxicity.fit(docs, rows.withColumn("toxic", F.lit(1)))
     assert taught["sizes"] == [5] * (len(keys) - 1)
+
+
+def test_training_in_a_task_gives_the_same_model(spark, monkeypatch):
+    texts = {k: f"word{k % 7} some text {'ugly' if k % 3 == 0 else 'nice'} number {k % 5}" for k in range(120)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in texts], "doc_id long, toxic int")
+    here = toxicity.fit(docs, labels)
+    monkeypatch.setattr(toxicity, "_of_sample", None)  # the driver does not train
+    there = toxicity.fit(docs, labels, in_task=True)
+    for name in ("embedding", "out", "floor"):
+        np.testing.assert_allclose(getattr(there, name), getattr(here, name), atol=1e-4)
+    assert there.trained and not toxicity.fit(docs, labels.limit(0), in_task=True).trained
