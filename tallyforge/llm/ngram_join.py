@@ -7,6 +7,12 @@ least one is equal in both sketches (pigeonhole): documents of neighbouring size
 equal blocks. Short sketches of single parity bits, whose Hamming distance is a lower bound of
 the difference too, then drop most candidates, and the shingles of the rest are compared. No
 link is lost on the way, whatever the sizes.
+
+Similar sets agree in far more than one block, as the bound is met only by the largest sets of a
+band. Of its blocks that others share, a set may so leave out the most frequent ones, by one
+fewer than it must share with any similar set: in one order of all blocks, the first that two
+similar sets share stays in both (a prefix filter). Wording that many unlike documents share
+then brings few of them together.
 """
 
 from __future__ import annotations
@@ -41,6 +47,8 @@ WORDS = 8
 BROADCAST_ROWS = 500_000
 #: Rows of an Arrow batch, which holds whole texts, or two of them.
 BATCH_ROWS = 1000
+#: The last bits of a bucket are the number of its band, as far as they go.
+BAND_BITS = 7
 #: Further members that all members of an unsettled bucket are compared with.
 PIVOTS = 3
 
@@ -65,10 +73,20 @@ class Plan:
 
     @staticmethod
     def upper(size: int) -> int:
-        high = 1
-        while high < size:
-            high = max(high + 1, int(high * BAND))
-        return high
+        return Plan._ends(size)[-1]
+
+    @staticmethod
+    def _ends(size: int) -> list[int]:
+        """Upper ends of all bands up to that of a set of ``size``."""
+        ends = [1]
+        while ends[-1] < size:
+            ends.append(max(ends[-1] + 1, int(ends[-1] * BAND)))
+        return ends
+
+    @staticmethod
+    def number(high: int) -> int:
+        """The number of a band, as in the last bits of its buckets."""
+        return (len(Plan._ends(high)) - 1) % (1 << BAND_BITS)
 
     def keys(self, shingles: np.ndarray) -> np.ndarray:
         """Join keys of a set: a hash of band, block number and the XOR of the block's shingles."""
@@ -83,14 +101,31 @@ class Plan:
         weak = count * math.exp(-mean) * sum(mean**k / math.factorial(k) for k in range(WEAK))
         return math.ceil(weak + 2 * math.sqrt(weak))
 
-    def _blocks(self, shingles: np.ndarray, high: int) -> np.ndarray:
+    def needs(self, shingles: np.ndarray) -> list[tuple[int, int]]:
+        """For each band of a set its number, and how many of the set's keys there any similar
+        set of the band has too, at least: the blocks that do not differ, without weak ones
+        that are not joined on (by this set, or by the other)."""
+        size, found = len(shingles), []
+        for high in self.bands(size):
+            spare, count, _, block = self._placed(shingles, high)
+            largest = min(high, size * self.below // self.above)
+            weak = int((np.bincount(block, minlength=count) < WEAK).sum())
+            found.append((self.number(high), count - self.difference(size + largest) - min(weak, spare)))
+        return found
+
+    def _placed(self, shingles: np.ndarray, high: int) -> tuple[int, int, np.ndarray, np.ndarray]:
+        """Spare blocks and all blocks of a band, and the values and blocks of the shingles."""
         spare = self.spare(high)
         count = self.difference(2 * high) + 1 + spare
         value = mix(shingles + np.uint64(1))
-        block = ((value >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)).astype(np.int64)
+        return spare, count, value, ((value >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)).astype(np.int64)
+
+    def _blocks(self, shingles: np.ndarray, high: int) -> np.ndarray:
+        spare, count, value, block = self._placed(shingles, high)
         sketch = np.arange(count, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(high)
         sketch = mix(sketch)
         np.bitwise_xor.at(sketch, block, mix(value))
+        sketch = sketch & ~np.uint64((1 << BAND_BITS) - 1) | np.uint64(self.number(high))
         if count == 1:
             return sketch
         weak = np.bincount(block, minlength=count) < WEAK
@@ -146,15 +181,16 @@ _FIXED = [f"s{k}" for k in range(WORDS)]
 def _profiles(plan: Plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets, sizes, sketches, fixed = [], [], [], []
+            sets, sizes, sketches, fixed, needs = [], [], [], [], []
             for shingles in shingle_sets(batch.column("text"), plan.shingle):
                 sets.append(_set_id(shingles) if len(shingles) else None)
                 sizes.append(len(shingles))
                 sketches.append(short_sketch(shingles).tobytes() if len(shingles) else None)
                 fixed.append(fixed_sketch(shingles))
+                needs.append(plan.needs(shingles) if len(shingles) else [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("copy"), pa.array(sets, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary()), *[pa.array([f[k] for f in fixed], pa.int64()) for k in range(WORDS)]],
-                names=["key", "copy", "set", "size", "sketch", *_FIXED],
+                [batch.column("key"), batch.column("copy"), pa.array(sets, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary()), *[pa.array([f[k] for f in fixed], pa.int64()) for k in range(WORDS)], pa.array(needs, pa.map_(pa.int32(), pa.int64()))],
+                names=["key", "copy", "set", "size", "sketch", *_FIXED, "needs"],
             )
 
     return run
@@ -230,10 +266,10 @@ class _Join:
     def __init__(self, docs: DataFrame, plan: Plan):
         self.plan = plan
         self.docs = docs
-        self.profiles = checkpointed(docs.withColumn("copy", F.xxhash64("text")).mapInArrow(_profiles(plan), "key bigint, copy bigint, set bigint, size bigint, sketch binary, " + ", ".join(f"{c} bigint" for c in _FIXED)))
+        self.profiles = checkpointed(docs.withColumn("copy", F.xxhash64("text")).mapInArrow(_profiles(plan), "key bigint, copy bigint, set bigint, size bigint, sketch binary, " + ", ".join(f"{c} bigint" for c in _FIXED) + ", needs map<int, bigint>"))
         self.sets = checkpointed(
             self.profiles.where("set is not null").groupBy("set")
-            .agg(F.min("key").alias("key"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), *[F.first(c).alias(c) for c in _FIXED])
+            .agg(F.min("key").alias("key"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), *[F.first(c).alias(c) for c in [*_FIXED, "needs"]])
         )
 
     def links(self, pairs: DataFrame) -> DataFrame:
@@ -294,11 +330,31 @@ def _bucket_pairs(members: DataFrame, plan: Plan) -> DataFrame:
     return left.join(right, fits).select("set", F.col("b_set").alias("other"))
 
 
+def _open(members: DataFrame) -> DataFrame:
+    """The members of buckets that hold more than one component."""
+    whole = Window.partitionBy("bucket")
+    ends = members.select("*", F.min("in_set").over(whole).alias("low"), F.max("in_set").over(whole).alias("high"))
+    return ends.where("low <> high").drop("low", "high")
+
+
+def _rarest(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """The members of open buckets without those of the most frequent ones of each set and band,
+    by one fewer than any similar set has in common with it. Similar sets of different components
+    agree in open buckets only, so in one order of these they still share the first; what
+    shares fewer buckets than that is no longer brought together by all of them."""
+    sized = members.withColumn("times", F.count("*").over(Window.partitionBy("bucket")))
+    band = F.col("bucket").bitwiseAND(F.lit((1 << BAND_BITS) - 1)).cast("int")
+    known = sized.join(sets.select("set", "needs"), "set").select("bucket", "set", "in_set", "times", band.alias("band"), F.coalesce(F.col("needs")[band], F.lit(1)).alias("need"))
+    place = F.row_number().over(Window.partitionBy("set", "band").orderBy(F.desc("times"), F.desc("bucket")))
+    return _open(known.withColumn("place", place).where("place >= need").select("bucket", "set", "in_set"))
+
+
 def _set_components(join: _Join) -> DataFrame:
     """node and component of every set with a link.
 
-    Each bucket's members are first compared with its smallest, then, where the bucket holds
-    more than one component, with PIVOTS others picked by hash: both at a cost linear in the
+    Each bucket's members are first compared with its smallest. Buckets that then hold more than
+    one component go on without the most frequent ones of each set, and their members are
+    compared with PIVOTS others picked by hash: both at a cost linear in the
     bucket, and enough to join up a group of near copies. In buckets that still hold more than
     one component every two members of different components are compared (sketches first), so
     that no link is lost; these are the sets that agree in a block and yet have no link.
@@ -315,8 +371,8 @@ def _set_components(join: _Join) -> DataFrame:
         if step == "smallest":
             pairs = shared.select("a", F.col("set").alias("b"))
         else:
-            ends = placed.select("*", F.min("in_set").over(whole).alias("low"), F.max("in_set").over(whole).alias("high"))
-            shared = checkpointed(ends.where("low <> high").select("bucket", "set", "in_set"))
+            shared = _open(placed)
+            shared = checkpointed(_rarest(shared, join.sets) if step == "pivots" else shared)
             if step == "pivots":
                 some = F.array(*[F.struct(F.min_by("set", F.xxhash64("set", F.lit(k))).alias("set"), F.min_by("in_set", F.xxhash64("set", F.lit(k))).alias("label")) for k in range(PIVOTS)])
                 chosen = shared.groupBy("bucket").agg(some.alias("p")).select("bucket", F.explode(F.array_distinct("p")).alias("p"))
