@@ -1,3 +1,4 @@
+import time
 from pathlib import Path
 
 import pyarrow as pa
@@ -155,6 +156,21 @@ def test_estimates_stay_small_in_a_loop(spark):
     assert df.count() == 100 and _estimate(df) <= 10 * size
 
 
+def test_checkpointed_table_leaves_no_shuffle_files(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for k in range(found.size()) if (name := found.apply(k).getName()).startswith("shuffle_")}
+
+    key, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", files()
+    setting = spark.conf.get(key)
+    df = session.checkpointed(spark.range(1000).selectExpr("id % 30 AS k", "id").groupBy("k").agg(F.sum("id").alias("s")))
+    for _ in range(50):
+        if not (left := files() - before):
+            break
+        time.sleep(0.2)
+    assert not left and df.count() == 30 and spark.conf.get(key) == setting
+
+
 def test_checkpointed_table_keeps_types(spark):
     df = spark.sql("SELECT 1 AS `a b`, CAST('x' AS BINARY) AS raw, array(named_struct('c', 1.5D)) AS nested, DATE'2024-01-01' AS day WHERE 1 = 0")
     kept = session.checkpointed(df)
