@@ -11,6 +11,7 @@ the smallest id and removed from the others.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,10 @@ TILE = 4096
 #: of two times BLOCK members, and make no more rows than members.
 DENSE = 64
 BLOCK = 512
+#: Open buckets are worked on in up to SLICES slices of at least so many members, one after
+#: another: what is shuffled for a slice goes before the next one begins.
+SLICES = 8
+SLICE_ROWS = 500_000
 #: Shingles are counted in so many slots (by their leading bits) to tell rare ones from frequent.
 SLOT_BITS = 16
 
@@ -301,11 +306,11 @@ def _rare(sets: DataFrame, above: float) -> DataFrame:
     return sets.select("content", "s").mapInArrow(pick, "content bigint, rare bigint")
 
 
-def _finer(members: DataFrame, sets: DataFrame, above: float) -> DataFrame:
+def _finer(members: DataFrame, sets: DataFrame, above: float, rare: DataFrame | None = None) -> DataFrame:
     """The members of open buckets in finer ones, of those that share a rare shingle too. Similar
     members of a bucket still meet; those that share what is frequent alone do not. A member
     makes a row for each of its rare shingles, however large its bucket."""
-    keyed = members.join(_rare(sets, above), "content").select(F.xxhash64("bucket", "rare").alias("bucket"), "content", "low", "high", "label")
+    keyed = members.join(_rare(sets, above) if rare is None else rare, "content").select(F.xxhash64("bucket", "rare").alias("bucket"), "content", "low", "high", "label")
     return checkpointed(_open(keyed))
 
 
@@ -319,6 +324,22 @@ def _open(members: DataFrame) -> DataFrame:
     return ends.where("least <> most and from <> to").drop("least", "most", "from", "to")
 
 
+def _open_pairs(members: DataFrame, sets: DataFrame, above: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) and links (a, b) of the members of open buckets: of finer buckets of up to DENSE
+    members the pairs to compare, of others links. A bucket lies in one slice with all its members,
+    and so do the finer ones cut from it."""
+    slices = min(SLICES, 1 + members.count() // SLICE_ROWS)
+    rare = checkpointed(_rare(sets, above))
+    sketches = sets.select("content", "n", *[F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH_WORDS)])
+    pairs, links = [], []
+    for k in range(slices):
+        finer = _finer(members.where(F.pmod(F.xxhash64("bucket"), F.lit(slices)) == k), sets, above, rare)
+        few = finer.where(F.col("size") <= DENSE)
+        pairs.append(checkpointed(_member_pairs(few.join(sketches, "content"), above).distinct()))
+        links.append(checkpointed(_block_links(finer.where(F.col("size") > DENSE), sets, above)))
+    return reduce(DataFrame.union, pairs), reduce(DataFrame.union, links)
+
+
 def _passages(members: DataFrame, sets: DataFrame, above: float) -> DataFrame:
     """node and component of every content that is similar to one of another document.
 
@@ -337,10 +358,7 @@ def _passages(members: DataFrame, sets: DataFrame, above: float) -> DataFrame:
         if step == "all":
             known = labels.select(F.col("node").alias("content"), "component")
             placed = members.drop("label").join(known, "content", "left").withColumn("label", F.coalesce("component", "content")).drop("component")
-            members = _finer(_open(placed), sets, above)
-            few = members.where(F.col("size") <= DENSE)
-            joined = _member_pairs(few.join(sets.select("content", "n", *[F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH_WORDS)]), "content"), above)
-            links = checkpointed(_block_links(members.where(F.col("size") > DENSE), sets, above))
+            joined, links = _open_pairs(checkpointed(_open(placed).select("bucket", "content", "low", "high", "label")), sets, above)
             if not links.isEmpty():
                 labels = more_components(labels, links)
         else:

@@ -183,6 +183,24 @@ def test_blocks_of_hot_buckets_lose_no_link(spark, monkeypatch):
     assert found == brute_force(docs, colliding=True)
 
 
+def test_slices_of_open_buckets_lose_no_link(spark, monkeypatch):
+    """As ``test_members_of_a_bucket_meet``: no slice holds all open buckets."""
+    seen, finer = [], substring_dedup._finer
+
+    def counted(members, *rest):
+        seen.append(members.count())
+        return finer(members, *rest)
+
+    monkeypatch.setattr(substring_dedup, "_finer", counted)
+    monkeypatch.setattr(substring_dedup, "SLICE_ROWS", 1, raising=False)
+    monkeypatch.setattr(substring_dedup, "SLICES", 3, raising=False)
+    docs = template_documents(random.Random(11), 150)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(4)
+    found = {(x.doc, x["at"]) for x in substring_dedup.repeated(df, "doc_id", "text").collect()}
+    assert found == brute_force(docs, colliding=True)
+    assert len(seen) == 3 and max(seen) < 0.7 * sum(seen)
+
+
 def test_blocks_make_no_more_rows_than_members():
     """A group of near copies has links by the square of its size; a block gives a forest."""
     r, n, rows = random.Random(3), 60, []
