@@ -41,7 +41,10 @@ PIVOTS = 3
 SKETCH_WORDS = 4
 #: Contents a task remembers, to send copies once.
 SEEN = 200_000
+#: A table is broadcast while it has at most so many rows and bytes (the driver holds it several
+#: times); one whose rows hold lists is soon too large for that, however few they are.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 16 << 20
 #: Members of a bucket that meet all of its members in one task: so many that comparing a row
 #: costs far more than sending it to one more task.
 TILE = 4096
@@ -171,10 +174,19 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(contents, pa.int64()), pa.array(shingles, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))], names=["content", "shingles", "sketch"])
 
 
+def _numbers(kind: T.DataType) -> int:
+    """Numbers in a value without lists, and one more for a struct."""
+    return 1 + sum(_numbers(f.dataType) for f in kind.fields) if isinstance(kind, T.StructType) else 1
+
+
 def _bounded(df: DataFrame) -> DataFrame:
-    """Broadcast while it has at most BROADCAST_ROWS narrow rows, else joined by a shuffle."""
+    """Broadcast while it has at most BROADCAST_ROWS rows and BROADCAST_BYTES, its lists counted,
+    else joined by a shuffle."""
     kept = checkpointed(df)
-    return F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept
+    lists = [F.coalesce(F.size(f.name), F.lit(0)) * (8 * _numbers(f.dataType.elementType)) for f in kept.schema.fields if isinstance(f.dataType, T.ArrayType)]
+    own = reduce(lambda a, b: a + b, lists, F.lit(8 * (1 + len(kept.columns))))
+    size = kept.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(own.cast("bigint")), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(kept) if size["rows"] <= BROADCAST_ROWS and size["bytes"] <= BROADCAST_BYTES else kept
 
 
 def _fits(above: float) -> F.Column:

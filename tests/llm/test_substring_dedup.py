@@ -249,3 +249,26 @@ def test_large_buckets_are_cut_by_rare_shingles(spark):
     found = substring_dedup._finer(members, sets, 0.8).groupBy("bucket").agg(F.collect_set("content").alias("c")).collect()
     met = {tuple(sorted(x.c)) for x in found}
     assert met <= {(20 * k, 20 * k + 1) for k in range(30)} and len(met) == 30
+
+
+def test_few_rows_of_long_lists_are_not_broadcast(spark, monkeypatch):
+    """The driver holds what is broadcast: its bytes are bounded, not its rows alone."""
+    def broadcast(df):
+        return "broadcast" in substring_dedup._bounded(df)._jdf.queryExecution().logical().toString()
+
+    narrow = spark.range(300).selectExpr("id as content", "id as passage")
+    wide = spark.range(300).select(F.col("id").alias("doc"), F.transform(F.sequence(F.lit(1), F.lit(20_000)), lambda x: F.struct(x.alias("at"), (x + F.col("id")).alias("content"))).alias("spans"))
+    assert broadcast(narrow) and broadcast(wide.limit(3)) and broadcast(narrow.limit(0))
+    assert not broadcast(wide)
+    monkeypatch.setattr(substring_dedup, "BROADCAST_ROWS", 299)
+    assert not broadcast(narrow)
+
+
+def test_shuffled_joins_find_the_same(spark, monkeypatch):
+    r = random.Random(12)
+    passage = words(r, 120)
+    rows = [(k, words(r, 40) + " " + passage + " " + words(r, 60)) for k in range(12)] + [(None, passage), (None, None), (3, passage), (50, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    small = sorted(map(str, substring_dedup.deduplicated(df).collect()))
+    monkeypatch.setattr(substring_dedup, "BROADCAST_BYTES", 0)
+    assert sorted(map(str, substring_dedup.deduplicated(df).collect())) == small and sum("kept_in=[0]" in x for x in small) == 12
