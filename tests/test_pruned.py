@@ -144,3 +144,29 @@ def test_few_rows_and_odd_rows(spark):
     assert shared_clusters.kmeans_shared(df.limit(0)).collect() == []
     with pytest.raises(ValueError):
         shared_clusters.kmeans_shared(df, ks=[0])
+
+
+def test_blocks_of_the_fit_grow_with_the_ratings(spark, monkeypatch):
+    """A task holds one block: its ratings are bounded, and so are the shuffles on the disk."""
+    made, real = [], recommend.ALS
+
+    def recorded(**options):
+        made.append(options)
+        return real(**options)
+
+    monkeypatch.setattr(recommend, "ALS", recorded)
+    r = random.Random(10)
+    rows = [(u, i, float(r.randrange(1, 6))) for u in range(60) for i in r.sample(range(40), 9)]
+    ratings = spark.createDataFrame(rows, "userId int, courseId int, rating double")
+    few = recommend.recommend(ratings, 5, iterations=3).collect()
+    monkeypatch.setattr(recommend, "BLOCK_RATINGS", 20, raising=False)
+    many = recommend.recommend(ratings, 5, iterations=3).collect()
+    cores = spark.sparkContext.defaultParallelism
+    assert [x["numUserBlocks"] for x in made] == [x["numItemBlocks"] for x in made] == [max(10, cores), max(10, cores, 27)]
+    assert len(few) == len(many) == 60 and all(len(x.recommendations) == 5 for x in many)
+    model = recommend.fit_ratings(ratings, iterations=3)
+    assert made[-1]["numUserBlocks"] == max(10, cores, 27)
+    users, items = ({x.id: np.array(x.features) for x in f.collect()} for f in (model.userFactors, model.itemFactors))
+    for x in recommend.best_for_all(model, 5).collect():
+        best = sorted((float(users[x.userId] @ v) for v in items.values()), reverse=True)[:5]
+        assert [y.rating for y in x.recommendations] == pytest.approx(best, rel=1e-4)
