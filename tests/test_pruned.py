@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
@@ -170,3 +171,20 @@ def test_blocks_of_the_fit_grow_with_the_ratings(spark, monkeypatch):
     for x in recommend.best_for_all(model, 5).collect():
         best = sorted((float(users[x.userId] @ v) for v in items.values()), reverse=True)[:5]
         assert [y.rating for y in x.recommendations] == pytest.approx(best, rel=1e-4)
+
+
+@pytest.mark.parametrize("bounded", [True, False])
+def test_lists_of_earlier_passes_go(spark, monkeypatch, bounded):
+    """Each pass writes the lists of all users that are not done: only the last ones stay."""
+    from pathlib import Path
+
+    root = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "tallyforge"
+    monkeypatch.setattr(inner_products, "PASS_BYTES", 40 * 8)
+    r = random.Random(11)
+    items = [(k, [float(r.randrange(-3, 4)) for _ in range(3)]) for k in range(80)]
+    users = [(k, [float(r.randrange(-3, 4)) for _ in range(3)]) for k in range(20)] + [(20, [0.0] * 3)]
+    before = {p for p in root.glob("table-*") if p.is_dir()}
+    got = inner_products.best_products(_vectors(spark, users), _vectors(spark, items), 4, bounded=bounded).collect()
+    assert sorted((x["id"], x["rank"], x["item"], x["score"]) for x in got) == _best(users, items, 4)
+    held = [p for p in root.glob("table-*") if p.is_dir() and p not in before and any("vector" in x.name for x in pq.read_schema(next(p.glob("*.parquet"))))]
+    assert len(held) <= 3  # the items twice, numbered and not, and the last lists
