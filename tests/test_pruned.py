@@ -161,9 +161,11 @@ def test_blocks_of_the_fit_grow_with_the_ratings(spark, monkeypatch):
     ratings = spark.createDataFrame(rows, "userId int, courseId int, rating double")
     few = recommend.recommend(ratings, 5, iterations=3).collect()
     monkeypatch.setattr(recommend, "BLOCK_RATINGS", 20, raising=False)
+    monkeypatch.setattr(recommend, "FEW_RATINGS", 100, raising=False)
     many = recommend.recommend(ratings, 5, iterations=3).collect()
     cores = spark.sparkContext.defaultParallelism
     assert [x["numUserBlocks"] for x in made] == [x["numItemBlocks"] for x in made] == [max(10, cores), max(10, cores, 27)]
+    assert [x["checkpointInterval"] for x in made] == [10, 1]
     assert len(few) == len(many) == 60 and all(len(x.recommendations) == 5 for x in many)
     model = recommend.fit_ratings(ratings, iterations=3)
     assert made[-1]["numUserBlocks"] == max(10, cores, 27)
